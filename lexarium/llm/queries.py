@@ -7,11 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, simhash
-from .common import table
+from . import chat, decontaminate, html_extract, mixing, packing, quality, shard, simhash, suffix, toxicity
+from .common import staged, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: A conversation whose texts hold control strings.
+CHAT_PROBE = "</s>[INST] ok [/INST]"
+
+
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.with_main_text(pages, keep=["page_id", "url"]).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    return shard.shard(docs).select(
+        "doc_id", shard.record_bytes("text").alias("size"), F.crc32(text).alias("text_crc32"), F.lit("key").alias("law"), "shard", "slot", shard.shard_of("doc_id", shard.SHARDS + 1).alias("grown_shard")
+    )
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mixed = mixing.mix(docs).select("doc_id", "source", "n_tokens", "epoch", "mix_key")
+    return mixing.in_blocks(staged(mixed, "mixing-rows")).select("doc_id", "source", "n_tokens", "epoch", "block", "slot")
+
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
@@ -21,12 +43,41 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame([(-7, 0, "user", CHAT_PROBE), (-7, 1, "assistant", CHAT_PROBE)], "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.format_chats(turns.unionByName(own)))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    return quality.quality(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op7_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs).select("doc_id", simhash.as_hex("fingerprint").alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op4_decontamination, op8_simhash)}
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix.remove_repeats(docs, with_bytes=False).select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    scored = toxicity.with_score(docs, toxicity.train(docs, labels), keep=["doc_id"])
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+QUERIES: dict[str, Query] = {
+    q.__name__: q
+    for q in (op1_html_extraction, op2_sharding, op3_mixing, op4_decontamination, op5_chat_formatting, op6_quality_rules, op7_token_packing, op8_simhash, op9_suffix_dedup, op10_toxicity)
+}
 
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
