@@ -34,6 +34,7 @@ OUTER = frozenset("header siteheader".split())
 REGION = frozenset(("article", "main"))
 PLAIN_P = frozenset("address article aside blockquote details dialog div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 _SPLIT = re.compile(r"[^a-z0-9]+")
+_CUT = re.compile(r"<[a-zA-Z/!?]")
 #: The Gaussian over lines.
 SIGMA, REACH = 1.0, 2
 KERNEL = [math.exp(-(k * k) / (2 * SIGMA * SIGMA)) for k in range(-REACH, REACH + 1)]
@@ -156,6 +157,9 @@ class Page(HTMLParser):
             self.text.append(data)
 
     def close(self) -> None:
+        at = self.rawdata.rfind("<")
+        if at >= 0 and ">" not in self.rawdata[at:] and not self.silent and _CUT.match(self.rawdata, at):
+            self.rawdata = self.rawdata[:at]  # the page ends inside a tag
         super().close()
         self.flush()
 
