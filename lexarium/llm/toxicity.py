@@ -23,9 +23,8 @@ from .common import ALNUM, LOWER, attach, fresh, prefix_hash, span_hash, staged,
 
 BITS = 20
 #: Most labelled rows of each label in the training sample, on average.
-SAMPLE = {1: 4000, 0: 8000}
-#: A longer text gives the sample its features up to so many; scoring takes all.
-PASSES, ALPHA, BETA, L1, L2 = 3, 0.1, 1.0, 1.0, 1.0
+SAMPLE = {1: 6000, 0: 10000}
+PASSES, ALPHA, BETA, L1, L2 = 4, 2.0, 1.0, 3.0, 0.1
 THRESHOLD = 0.3
 SEED = 5
 
