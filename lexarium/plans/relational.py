@@ -29,20 +29,20 @@ def left_distinct_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(known, F.concat(F.lit("c"), "o_custkey") == F.col("k"), "left").select("o_orderkey", "o_custkey", "c_name", "n_name")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)")
 def anti_outstanding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    done = table(spark, sf_dir, "orders").where("o_totalprice > 300000").select(F.col("o_custkey").alias("c_custkey"))
     return ingest.outstanding(table(spark, sf_dir, "customer").select("c_custkey"), done, ["c_custkey"])
 
 
 @query("""
-WITH o AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase'), m AS (SELECT u.user_id FROM (SELECT DISTINCT user_id FROM events) u WHERE u.user_id NOT IN (SELECT user_id FROM o)),
+WITH o AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' AND value > 95), m AS (SELECT u.user_id FROM (SELECT DISTINCT user_id FROM events) u WHERE u.user_id NOT IN (SELECT user_id FROM o)),
 e AS (SELECT user_id, event_type, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events WHERE event_type IN ('error', 'click', 'view'))
 SELECT m.user_id, e.event_type AS last_error, e.event_id AS last_id FROM m LEFT JOIN e ON e.user_id = m.user_id AND r = 1
 """)
 def last_error(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
-    missing = ingest.outstanding(events.select("user_id").distinct(), events.where("event_type = 'purchase'"), ["user_id"])
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    missing = ingest.outstanding(events.select("user_id").distinct(), events.where("event_type = 'purchase' AND value > 95"), ["user_id"])
     last = ingest.last_of(events.where(F.col("event_type").isin("error", "click", "view")), ["user_id"], "event_id", ["event_type", "event_id"])
     return missing.join(last, "user_id", "left").select("user_id", F.col("event_type").alias("last_error"), F.col("event_id").alias("last_id"))
 
