@@ -248,6 +248,13 @@ def test_quality_fences_merge(spark):
     assert all(one[i] for i in range(400)) and not any(one[1000 + i] for i in range(5))
 
 
+def test_quality_keeps_clean_documents(spark, sf_dir):
+    wide = sf_dir.replace("sf0.001", "sf0.1")
+    got = queries.QUERIES["op6_quality_rules"](spark, wide).join(spark.read.parquet(f"{wide}/labels.parquet").select("doc_id", "quality"), "doc_id").where("NOT base_failed").collect()
+    good, bad = [r["kept"] for r in got if r["quality"]], [r["kept"] for r in got if not r["quality"]]
+    assert sum(good) >= 0.995 * len(good) and sum(bad) <= 0.02 * len(bad)
+
+
 def test_quality_odd(odd, none):
     got = quality.quality(odd).collect()
     assert len(got) == odd.count() and all(r["kept"] is not None for r in got)
