@@ -34,7 +34,11 @@ def squeeze(c: Column) -> Column:
 
 def pieces(text: Column, regex: str) -> Column:
     """The text cut at its matches: gap, match, gap, match, ..., gap."""
-    return F.split(F.regexp_replace(F.replace(text, F.lit(MARK), F.lit(" ")), _grouped(regex), F.lit(f"{MARK}$1{MARK}")), MARK)
+    return F.split(F.regexp_replace(_unmarked(text), _grouped(regex), F.lit(f"{MARK}$1{MARK}")), MARK)
+
+
+def _unmarked(text: Column) -> Column:
+    return F.replace(text, F.lit(MARK), F.lit(" "))
 
 
 def _grouped(regex: str) -> str:
@@ -52,7 +56,7 @@ def find_all(text: Column, regex: str) -> Column:
     step = lambda acc, p: F.struct(
         (acc["at"] + F.length(p)).alias("at"), F.when(acc["match"], F.concat(acc["found"], F.array(F.struct(acc["at"].alias("start"), p.alias("text"))))).otherwise(acc["found"]).alias("found"), (~acc["match"]).alias("match")
     )
-    return F.when(F.rlike(text, F.lit(regex)), F.aggregate(cut, start, step, lambda acc: acc["found"])).otherwise(F.array().cast("array<struct<start:int,text:string>>"))
+    return F.when(F.rlike(_unmarked(text), F.lit(regex)), F.aggregate(cut, start, step, lambda acc: acc["found"])).otherwise(F.array().cast("array<struct<start:int,text:string>>"))
 
 
 def page_starts(pages: Column) -> Column:

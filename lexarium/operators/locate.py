@@ -56,11 +56,11 @@ def locate(sections: DataFrame, families: list[str] | None = None, cues: dict[st
     if not own:
         own = {"": {}}
     judged = F.array(*(F.struct(F.lit(f).alias("clause_family"), heading_hits(F.col("heading"), g.get("heading", [])).alias("in_heading"), body_hits(F.col("text"), g).alias("in_body")) for f, g in own.items()))
-    some = F.filter(judged, lambda j: (F.size(j["in_heading"]) > 0) | (F.size(F.array_distinct(F.transform(j["in_body"], lambda h: h["family"]))) >= 2))
-    rows = sections.withColumn("judged", some).where(F.size("judged") > 0).withColumn("negative_signals", negative_signals(F.col("text"), negatives)).withColumn("j", F.explode("judged")).drop("judged")
+    rows = sections.withColumn("j", F.explode(judged)).where((F.size("j.in_heading") > 0) | (F.size("j.in_body") > 1))
+    rows = rows.withColumn("negative_signals", negative_signals(F.col("text"), negatives))
     groups = F.array_sort(F.array_distinct(F.transform("j.in_body", lambda h: h["family"])))
     rows = rows.withColumn("groups", groups).withColumn("heading_match", F.size("j.in_heading") > 0)
-    rows = rows.where(F.col("heading_match") | ~negatives_dominate(F.col("negative_signals"), F.col("groups"), F.length("text")))
+    rows = rows.where(F.col("heading_match") | (F.size("groups") >= 2) & ~negatives_dominate(F.col("negative_signals"), F.col("groups"), F.length("text")))
     return rows.select(
         F.sha2(F.concat_ws("|", F.lit(run_id), "j.clause_family", "section_id"), 256).alias("candidate_id"),
         F.col("j.clause_family").alias("clause_family"),
