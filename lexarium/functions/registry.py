@@ -415,6 +415,28 @@ externallink3 -
 """
 
 
+#: name, pattern of the page scan; any case
+PAGE_PATTERNS = r"""
+CAC (?:collective action|CAC|modification.*resolution|aggregat(?:ed|ion).*clause|modification.*majority|modification.*voting|Reserved Matter)
+PARI_PASSU (?:pari passu|rank equally|equal(?:ly)? (?:and ratably|rank)|same rank|pro[- ]?rata)
+EVENTS_OF_DEFAULT (?:Events? of Default|failure to pay|moratorium)
+GOVERNING_LAW (?:governing law|governed by|subject to (?:the laws of |English law|New York law))
+NEGATIVE_PLEDGE (?:negative pledge|not.*create.*(?:lien|security interest)|Lien|Security Interest)
+SOVEREIGN_IMMUNITY (?:sovereign immunity|waive.*immunity|irrevocably waive|Waiver of Immunity)
+CROSS_DEFAULT (?:cross[- ]?default|cross[- ]?acceleration)
+EXTERNAL_INDEBTEDNESS (?:External Indebtedness|Public External Indebtedness)
+ACCELERATION (?:acceleration|accelerate|immediately due and payable)
+TRUSTEE_FISCAL_AGENT (?:Fiscal Agent|Trustee|Agent Bank)
+"""
+
+#: name, pattern of facts about a document
+METADATA = r"""
+governing_law (?i)(English law|New York law|governed by the laws of [A-Z][a-z]+)
+isin \b[A-Z]{2}[A-Z0-9]{9}[0-9]\b
+listing_exchange (?i)(London Stock Exchange|Euronext Dublin|Irish Stock Exchange|Ghana Stock Exchange|Luxembourg Stock Exchange|Singapore Exchange)
+"""
+
+
 def rows(table: str, width: int, by: str | None = None) -> list[tuple[str, ...]]:
     """The rows of a table; the last column keeps its spaces."""
     return [tuple(x.strip() for x in line.split(by, width - 1)) for line in table.strip("\n").split("\n")]
@@ -432,6 +454,10 @@ def patterns() -> list[dict[str, str]]:
     return [dict(zip(("name", "family", "version", "scope", "pattern"), r, strict=True)) for r in rows(PATTERNS, 5)]
 
 
+def page_patterns() -> list[dict[str, str]]:
+    return [dict(zip(("name", "pattern"), r, strict=True)) for r in rows(PAGE_PATTERNS, 2)]
+
+
 def cues() -> dict[str, dict[str, list[str]]]:
     return grouped(CUES)
 

@@ -66,6 +66,12 @@ def page_hits(pages: DataFrame, patterns: list[dict[str, str]], key: str, page:
     return rows.select(key, page, "m.pattern_name", F.size("m.found").cast("long").alias("match_count"), F.slice(F.array_distinct("m.found"), 1, samples).alias("samples"))
 
 
+def metadata(docs: DataFrame, key: str, body: str = "text") -> DataFrame:
+    """(key, and for each fact of the registry its distinct matches in order)."""
+    found = [F.array_distinct(F.regexp_extract_all(F.coalesce(F.col(body), F.lit("")), F.lit(p), F.lit(0))).alias(name) for name, p in registry.rows(registry.METADATA, 2)]
+    return docs.select(key, *found)
+
+
 def best_page_range(hits: DataFrame, key: str, page: str = "page", gap: int = 2, widen: int = 1, first: int = 1) -> DataFrame:
     """(key, pattern_name, first_page, last_page, matches): of the page clusters at most ``gap`` apart that with most matches (first of ties), widened."""
     from pyspark.sql.window import Window

@@ -62,3 +62,19 @@ def highlight(body: Column, needle: str) -> Column:
         out = F.replace(out, F.lit(raw), F.lit(ref))
     regex = r"\s+".join(re.escape(html.escape(w)) for w in needle.split())
     return F.regexp_replace(out, f"(?iuU)({regex})", "<mark>$1</mark>") if regex else out
+
+
+def filtered(rows: DataFrame, **conditions: object) -> DataFrame:
+    """The rows that meet all conditions that are given: equality, membership for lists; None asks for nothing."""
+    for column, value in conditions.items():
+        if value is not None:
+            rows = rows.where(F.col(column).isin(*value) if isinstance(value, (list, tuple, set)) else F.col(column) == F.lit(value))
+    return rows
+
+
+def browse(rows: DataFrame, needle: str | None, body: str, k: int = 50, order: str = "publication_date", **conditions: object) -> DataFrame:
+    """Up to k rows that meet the conditions and contain the needle in any case, latest first, with a snippet."""
+    own = filtered(rows, **conditions)
+    if needle:
+        own = own.where(F.contains(F.lower(F.col(body)), F.lit(needle.lower()))).withColumn("snippet", snippet(F.col(body), needle))
+    return own.orderBy(F.col(order).desc_nulls_last()).limit(k)

@@ -350,3 +350,16 @@ def status_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT doc_id, length(regexp_replace(regexp_replace(text, '^\\s+', ''), '\\s+$', '')) AS n FROM documents WHERE length(text) >= 100")
 def stub_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").where(F.length("text") >= 100).select("doc_id", F.length(text.strip(F.col("text"))).cast("long").alias("n"))
+
+
+@query("SELECT doc_id, n_chars, substr(text, greatest(strpos(lower(text), 'license') - 200, 1), least(strpos(lower(text), 'license') - 1, 200) + 207) AS snippet FROM documents WHERE lang = 'en' AND source IN ('src1', 'src2', 'src3') AND contains(lower(text), 'license') ORDER BY n_chars DESC NULLS LAST, doc_id LIMIT 50")
+def browse_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import search
+
+    docs = table(spark, sf_dir, "documents")
+    return search.browse(docs, "License", "text", order="n_chars", lang="en", source=["src1", "src2", "src3"], doc_id=None).select("doc_id", "n_chars", "snippet")
+
+
+@query("SELECT o_custkey, max(o_totalprice) AS best, CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY o_custkey HAVING count(*) > 3")
+def having_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.max("o_totalprice").alias("best"), F.count("*").alias("n")).where("n > 3")

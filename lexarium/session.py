@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tomllib
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -36,3 +37,12 @@ def ship(spark: SparkSession) -> SparkSession:
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
     return spark
+
+
+def config(path: str) -> dict:
+    """A TOML file of settings; an absent one is empty."""
+    try:
+        with open(path, "rb") as f:
+            return tomllib.load(f)
+    except FileNotFoundError:
+        return {}

@@ -103,6 +103,19 @@ def pdf_link(html: Column) -> Column:
     return F.nullif(F.regexp_extract(html, r"""(?i)href\s*=\s*["']?([^"'\s>]+\.pdf)(?=["'\s>?#])""", 1), F.lit(""))
 
 
+def binaries(spark: SparkSession, path: str, pattern: str = "*", done: DataFrame | None = None) -> DataFrame:
+    """(path, storage_key, length, content) of files by a name pattern, without those whose key is in ``done``; content is read only if used."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
+    own = found.select("path", stem(F.col("path")).alias("storage_key"), "length", "content")
+    return own if done is None else own.join(done.select("storage_key"), "storage_key", "left_anti").select(*own.columns)
+
+
+def by_size(files: DataFrame, task_bytes: int = 64 << 20) -> DataFrame:
+    """Files dealt to tasks of about so many bytes, by ranges of their sizes, so that a few large ones don't end in one task."""
+    total = files.agg(F.sum("length")).first()[0] or 0
+    return files.repartitionByRange(max(1, -(-total // task_bytes)), "length", "path")
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """One CSV file with a header; arrays are joined by "; ", other nested columns are JSON. For reports, whose rows are few."""
     flat = [F.array_join(c, "; ").alias(c) if k == "array<string>" else F.to_json(c).alias(c) if k.startswith(("array", "map", "struct")) else F.col(c) for c, k in df.dtypes]

@@ -15,20 +15,27 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from ..operators import ingest
 
 
+def timed(rows: DataFrame, time: str) -> DataFrame:
+    """A stream with an event time that watermarks take: one without a zone reads in the session's."""
+    if rows.isStreaming and rows.schema[time].dataType.typeName() == "timestamp_ntz":
+        return rows.withColumn(time, F.col(time).cast("timestamp"))
+    return rows
+
+
 def first_seen(rows: DataFrame, key: list[str], time: str, late: str = "1 day") -> DataFrame:
     """The first row of each key; a key's state is kept as long as rows may be late."""
-    return rows.withWatermark(time, late).dropDuplicatesWithinWatermark(key)
+    return timed(rows, time).withWatermark(time, late).dropDuplicatesWithinWatermark(key)
 
 
 def tumbling(events: DataFrame, by: list[str], time: str = "ts", width: str = "1 hour", late: str = "10 minutes", slide: str | None = None) -> DataFrame:
     """Counts and sums of value by window (sliding with ``slide``) and key."""
-    n = events.withWatermark(time, late).groupBy(F.window(time, width, slide), *by).agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    n = timed(events, time).withWatermark(time, late).groupBy(F.window(time, width, slide), *by).agg(F.count("*").alias("n"), F.sum("value").alias("total"))
     return n.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *by, "n", "total")
 
 
 def sessions(events: DataFrame, by: list[str], time: str = "ts", gap: str = "30 minutes", late: str = "10 minutes") -> DataFrame:
     """Counts by session: events of a key less than ``gap`` apart."""
-    n = events.withWatermark(time, late).groupBy(F.session_window(time, gap), *by).agg(F.count("*").alias("n"))
+    n = timed(events, time).withWatermark(time, late).groupBy(F.session_window(time, gap), *by).agg(F.count("*").alias("n"))
     return n.select(F.col("session_window.start").alias("session_start"), F.col("session_window.end").alias("session_end"), *by, "n")
 
 

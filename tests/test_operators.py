@@ -22,6 +22,23 @@ def test_page_ranges(spark):
     assert (r["first_page"], r["last_page"], r["matches"]) == (1, 5, 3)
 
 
+def test_page_scan_and_metadata(spark):
+    pages = spark.createDataFrame([("d", 1, "Events of Default and the Trustee, trustee. ISIN XS0029456067; English law"), ("d", 2, None)], "k string, page int, text string")
+    hits = {r["pattern_name"]: (r["match_count"], r["samples"]) for r in grep.page_hits(pages, registry.page_patterns(), "k").collect()}
+    assert hits == {"EVENTS_OF_DEFAULT": (1, ["Events of Default"]), "TRUSTEE_FISCAL_AGENT": (2, ["Trustee", "trustee"])}
+    m = grep.metadata(pages.where("page = 1"), "k").first()
+    assert (m["isin"], m["governing_law"], m["listing_exchange"]) == (["XS0029456067"], ["English law"], [])
+
+
+def test_browse_and_files(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a Debt", 3), (2, "debt", 9), (3, "x", 1)], "id int, t string, n int")
+    assert [r["id"] for r in search.browse(rows, "DEBT", "t", order="n", n=[3, 9], id=None).collect()] == [2, 1]
+    (tmp_path / "a.pdf").write_bytes(b"123")
+    (tmp_path / "b.pdf").write_bytes(b"1")
+    found = files.binaries(spark, str(tmp_path), "*.pdf", spark.createDataFrame([("a",)], "storage_key string"))
+    assert [(r["storage_key"], r["length"]) for r in files.by_size(found).collect()] == [("b", 1)]
+
+
 def test_sections_of_headings():
     got = sections.sections_of("# T\n\nlead\n\n## A\nx\n\n### B\ny\n\n## C\nz")
     assert [(s["heading"], s["text"][:6]) for s in got] == [("A", "lead\n\n"), ("C", "## C\nz")]

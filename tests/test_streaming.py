@@ -24,7 +24,8 @@ def _run(df, name, mode="complete"):
 
 def test_windows(source):
     batch, rows = source
-    assert _run(stream.tumbling(rows, ["event_type"]), "tumbling") == sorted(map(str, stream.tumbling(batch, ["event_type"]).collect()))
+    own = lambda df: stream.tumbling(df, ["event_type"]).withColumn("total", F.round("total", 4))  # noqa: E731  sums differ by their order
+    assert _run(own(rows), "tumbling") == sorted(map(str, own(batch).collect()))
 
 
 def test_sessions(source):
