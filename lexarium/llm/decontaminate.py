@@ -156,10 +156,15 @@ def is_contaminated(n_words: Column, n_hit: Column) -> Column:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """The documents that are not contaminated, with the columns of docs."""
-    names = [c for c in docs.columns]
-    inner = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.col(how.get("text", "text")).alias("scanned"))
-    found = find_contamination(inner, benchmark, **(how | {"text": "scanned", "keep": ["row"]})).withColumn("n_hit", hit_words())
-    return found.where(~is_contaminated(F.col("n_words"), F.col("n_hit"))).select(*(F.col("row").getField(c).alias(c) for c in names))
+    own = fresh(docs, "n_hit")[0]
+    if not {"n_words", "hit_spans", "items"} & {c.lower() for c in docs.columns}:
+        found = find_contamination(docs, benchmark, **how)
+        return found.withColumn(own, hit_words()).where(~is_contaminated(F.col("n_words"), F.col(own))).select(*(F.col(f"`{c}`") for c in docs.columns))
+    # columns named like the results travel in a struct
+    text = how.get("text", "text")
+    inner = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text)).alias("row"), F.col(f"`{text}`").alias("scanned"))
+    found = find_contamination(inner, benchmark, **(how | {"text": "scanned"})).withColumn("n_hit", hit_words())
+    return found.where(~is_contaminated(F.col("n_words"), F.col("n_hit"))).select(*((F.col("scanned") if c == text else F.col("row").getField(c)).alias(c) for c in docs.columns))
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **how) -> DataFrame:

@@ -27,7 +27,7 @@ OTHER = frozenset("nav footer aside form menu dialog search fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 #: Words of class and id that mark an element as something other than content.
 MARKS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promoted promotion banner nav navbar navigation menu topbar breadcrumb breadcrumbs sidebar aside rail footer masthead cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login comment comments respond disqus replies reply share sharing social related recommended recommendations pagination pager widget toolbar search skip hidden copyright disclaimer".split()
+    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promoted promotion banner nav navbar navigation menu topbar breadcrumb breadcrumbs sidebar aside rail footer masthead cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login comment comments commentlist respond disqus replies reply share sharing social related recommended recommendations teaser teasers trending popular pagination pager widget toolbar search skip hidden copyright disclaimer".split()
 )
 #: These mark an element only where it is outside an article.
 OUTER = frozenset("header siteheader".split())
