@@ -46,7 +46,7 @@ def split(annotations: DataFrame, family: str, calibration: int = 5, seed: int =
     docs = annotations.where(F.col("label_family") == family).select(doc_id).distinct()
     if (n := docs.count()) < calibration:
         raise ValueError(f"{family}: {n} documents, {calibration} asked for")
-    key = F.xxhash64(F.lit(seed), F.col(doc_id).cast("string"))
+    key = F.md5(F.concat(F.lit(f"{seed}|"), F.col(doc_id).cast("string")))
     chosen = docs.orderBy(key, doc_id).limit(calibration).select(doc_id, F.lit("calibration").alias("part"))
     return docs.join(F.broadcast(chosen), doc_id, "left").withColumn("part", F.coalesce("part", F.lit("evaluation")))
 

@@ -309,7 +309,7 @@ def validation_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.validation_totals(_validation(spark, sf_dir))
 
 
-@query()
+@query("SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY md5('42|' || doc_id), doc_id) <= 2 THEN 'calibration' ELSE 'evaluation' END AS part FROM (SELECT DISTINCT doc_id FROM labels WHERE toxic = 1)")
 def calibration_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id", F.lit("toxic").alias("label_family"))
     return evaluate.split(own, "toxic", 2)
