@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexarium.llm import decontaminate, mixing, shard, simhash, toxicity
-from lexarium.llm.common import staged, table
+from lexarium.llm.common import fresh, staged, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -36,7 +36,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often as the mix of sources asks for."""
-    return mixing.mix(docs).select(*(F.col(f"`{c}`") for c in docs.columns))
+    own = dict(zip(("n_tokens", "epoch", "mix_key"), fresh(docs, "n_tokens", "epoch", "mix_key"), strict=True))
+    return mixing.mix(docs, **own).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def shard_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

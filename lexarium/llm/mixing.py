@@ -107,13 +107,13 @@ def some_size() -> Column:
     return F.col("size") > 0
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: str = SEED, max_repeats: float | None = MAX_REPEATS, entropy: float | None = None, budget: int | None = None, n_tokens: str = "n_tokens") -> DataFrame:
+def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: str = SEED, max_repeats: float | None = MAX_REPEATS, entropy: float | None = None, budget: int | None = None, n_tokens: str = "n_tokens", epoch: str = "epoch", mix_key: str = "mix_key") -> DataFrame:
     """docs, each row as often as its source's budget says, with epoch int, n_tokens long and mix_key string: the mix is the order by mix_key.
 
     A null source is a source; sources without tokens pass once; rows that repeat an id are chosen together; an empty table gives
-    none. Columns of docs named epoch, mix_key or n_tokens are replaced.
+    none. The names of the new columns are parameters; columns of docs that have them are replaced.
     """
-    stay = [c for c in docs.columns if c.lower() not in ("epoch", "mix_key", n_tokens.lower())]
+    stay = [c for c in docs.columns if c.lower() not in (epoch.lower(), mix_key.lower(), n_tokens.lower())]
     counted = staged(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), tokens(text).alias("n_tokens")), "mixing-counts")
     per_source = plan(counted, seed, max_repeats, entropy, budget)
     k1, k2, k3, k4 = fresh(docs, "plan_source", "plan_passes", "plan_cut", "plan_weight")
@@ -121,8 +121,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     rows = docs.join(per_source, F.col(f"`{source}`").eqNullSafe(F.col(k1)))
     times = F.col(k2) + F.when(order_key("pick", seed, f"`{k2}`", f"`{doc_id}`") <= F.col(k3), 1).otherwise(0)
     rows = rows.withColumn(k4, times).where(F.col(k4) > 0)
-    rows = rows.select(*(F.col(f"`{c}`") for c in stay), tokens(text).alias(n_tokens), F.explode(F.sequence(F.lit(0), F.col(k4) - 1)).alias("epoch"))
-    return rows.withColumn("mix_key", order_key("mix", seed, "epoch", f"`{doc_id}`"))
+    rows = rows.select(*(F.col(f"`{c}`") for c in stay), tokens(text).alias(n_tokens), F.explode(F.sequence(F.lit(0), F.col(k4) - 1)).alias(epoch))
+    return rows.withColumn(mix_key, order_key("mix", seed, f"`{epoch}`", f"`{doc_id}`"))
 
 
 def in_blocks(mixed: DataFrame, doc_id: str = "doc_id", block_docs: int = BLOCK_DOCS) -> DataFrame:

@@ -112,6 +112,14 @@ k AS (SELECT *, md5('mix-1|mix|' || epoch || '|' || doc_id) AS mix_key FROM m),
 d AS (SELECT CASE WHEN count(*) <= 4096 THEN 0 WHEN count(*) <= 65536 THEN 1 ELSE 2 END AS digits FROM k),
 b AS (SELECT k.*, CASE WHEN digits = 0 THEN 0 ELSE CAST('0x' || substr(mix_key, 1, digits) AS INTEGER) END AS block FROM k, d)
 SELECT doc_id, source, n_tokens, epoch, block, CAST(row_number() OVER (PARTITION BY block ORDER BY mix_key, doc_id) - 1 AS INTEGER) AS slot FROM b
+""",
+    "op5_chat_formatting": r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')) p(conv_id, turn, role, text)),
+e AS (SELECT *, length(regexp_replace(replace(text, '\', '\\'), '(<</SYS>>|<<SYS>>|\[/INST\]|\[INST\]|<role>|<turn>|</turn>|<s>|</s>)', '.\1', 'g')) + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 ELSE 19 + length(role) END AS n FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(n) AS BIGINT) AS formatted_chars, regexp_matches(string_agg(role, '>' ORDER BY turn, role, text), '^(system|(system>)?user(>assistant>user)*(>assistant)?)$') AS valid FROM e GROUP BY conv_id
 """,
     "op6_quality_rules": r"""
 WITH w AS (SELECT doc_id, lang, source, text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),

@@ -63,3 +63,19 @@ def test_sharding_stage(steps):
 def test_run(spark, sf_dir, steps):
     key = lambda df: sorted((r["doc_id"], r["shard"], r["slot"]) for r in df.select("doc_id", "shard", "slot").collect())
     assert key(corpus_pipeline.run(spark, sf_dir)) == key(steps[-1])
+
+
+def test_stages_on_odd_rows(spark, sf_dir):
+    """Null, empty, long and repeated rows, and columns named like what the stages add, come through as they are."""
+    texts = [(1, None), (2, ""), (3, "plain words of a text that is clean " * 3), (4, "alpha beta " * 20000), (5, "one two three"), (5, "one two three"), (None, "ones two three four"), (None, None), (6, "x" * 5000)]
+    docs = spark.createDataFrame([(i, t, "en" if k % 2 else None, None if k % 3 else "s", k, "own", 1.5, "z") for k, (i, t) in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars int, epoch string, n_words double, component_id string")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and {r["epoch"] for r in rows} == {"own"} and {r["n_words"] for r in rows} == {1.5}, name
+        assert {(r["doc_id"], r["text"]) for r in rows} <= set(texts), name
+        assert {3, 4, 6} <= {r["doc_id"] for r in rows}, name
+        assert stage(spark, docs.where("false"), sf_dir).count() == 0, name
+    last = corpus_pipeline.STAGES[-1][1]
+    assert last(spark, docs, sf_dir).count() == len(texts) and last(spark, docs.where("false"), sf_dir).count() == 0
