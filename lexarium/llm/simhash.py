@@ -26,6 +26,8 @@ from .common import attach, fresh, longs, staged, text_blocks
 SEED, SHINGLE, DISTANCE = 42, 3, 2
 #: A bucket of more nodes is cut further, while more than FREE_BITS bits are free.
 BUCKET, FREE_BITS = 512, 13
+#: Nodes whose variants a task makes.
+TASK_NODES = 1 << 16
 
 
 # --------------------------------------------------------------------------- fingerprints
@@ -133,11 +135,13 @@ def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def links(nodes: DataFrame, node: str = "fingerprint", bucket: int = BUCKET) -> DataFrame:
     """Verified links (a, b) between the distinct values of nodes whose components are those of all links at DISTANCE or fewer bits."""
-    variants = nodes.select(F.col(node).alias("f")).mapInArrow(_variants, "key long, f long")
+    own = nodes.select(F.col(node).alias("f"))
+    parts = max(nodes.sparkSession.sparkContext.defaultParallelism, -(-own.count() // TASK_NODES))
+    variants = own.repartition(parts, "f").mapInArrow(_variants, "key long, f long")
     counted = staged(variants.groupBy("key").agg(F.count("*").alias("n"), F.min("f").alias("a"), F.max("f").alias("b")).where("n >= 2"), "simhash-variants")
     near = lambda df: df.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= DISTANCE)
     found = [near(counted.where("n = 2").select("a", "b"))]
-    rest = staged(variants.join(counted.where("n > 2").select("key", "n"), "key"), "simhash-buckets")
+    rest = staged(variants.join(counted.where("n > 2").select("key", "n").hint("merge"), "key"), "simhash-buckets")
     # key, fixed: the bits that all members of a bucket share
     rest = rest.select(F.xxhash64("key").alias("key"), "f", "n", F.expr(f"if(key < {1 << 37}, {0xFFFFFFFF}L, {-(1 << 32)}L) & ~shiftleft(1L, cast(shiftright(key, 32) AS int))").alias("fixed"))
     while True:
