@@ -17,11 +17,12 @@ def terms(body: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(body, F.lit(""))), "[^a-z]+"), lambda t: t != "")
 
 
-def postings(docs: DataFrame, key: str, body: str = "text") -> DataFrame:
-    """(term, key, tf, length)."""
+def postings(docs: DataFrame, key: str, body: str = "text", only: list[str] | None = None) -> DataFrame:
+    """(term, key, tf, length), of all terms or of some. A text is cut once, not once a term."""
     own = terms(F.col(body))
-    rows = docs.select(key, F.size(own).cast("long").alias("length"), F.explode(own).alias("term"))
-    return rows.groupBy("term", key).agg(F.count("*").alias("tf"), F.first("length").alias("length"))
+    some = own if only is None else F.filter(own, lambda t: t.isin(only))
+    rows = docs.select(key, F.explode(F.arrays_zip(some.alias("term"), F.array_repeat(F.size(own).cast("long"), F.size(some)).alias("length"))).alias("p"))
+    return rows.groupBy("p.term", key).agg(F.count("*").alias("tf"), F.first("p.length").alias("length"))
 
 
 def totals(docs: DataFrame, body: str = "text") -> DataFrame:
@@ -43,7 +44,7 @@ def search(index: DataFrame, total: DataFrame, query: list[str], key: str, k: in
 
 def scored_pages(docs: DataFrame, query: list[str], key: str, body: str = "text", k: int = 10) -> DataFrame:
     """Search without a stored index."""
-    return search(postings(docs, key, body), totals(docs, body), query, key, k)
+    return search(postings(docs, key, body, sorted({q.lower() for q in query})), totals(docs, body), query, key, k)
 
 
 def snippet(body: Column, needle: str, around: int = 200) -> Column:
