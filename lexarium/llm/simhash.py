@@ -195,6 +195,13 @@ def components(edges: DataFrame) -> DataFrame:
     return cur.select(F.col("b").alias("node"), F.col("a").alias("label")).unionByName(cur.select(F.col("a").alias("node"), F.col("a").alias("label"))).distinct()
 
 
+def _labelled(nodes: DataFrame) -> DataFrame:
+    """nodes (distinct fingerprint, and more) with label, the smallest fingerprint of each one's component."""
+    label = components(links(nodes))
+    named = nodes.join(label, nodes["fingerprint"] == label["node"], "left").drop("node").withColumn("label", F.coalesce("label", "fingerprint"))
+    return staged(named, "simhash-named")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fingerprint long, component_id) for each row of docs; component_id: the smallest id reachable, itself included.
 
@@ -203,21 +210,30 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """
     prints = staged(with_fingerprint(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), keep=["doc_id"]), "simhash-prints")
     nodes = staged(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "simhash-nodes")
-    label = components(links(nodes))
-    named = nodes.join(label, nodes["fingerprint"] == label["node"], "left").select("fingerprint", "least", F.coalesce("label", "fingerprint").alias("label"))
-    named = staged(named, "simhash-named")
+    named = _labelled(nodes)
     best = staged(named.groupBy("label").agg(F.min("least").alias("component_id")), "simhash-best")
     whole = staged(named.select("fingerprint", "label").join(best, "label").select("fingerprint", "component_id"), "simhash-components")
     return prints.join(whole, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each component, that with the smallest id, with the columns of docs; of rows that repeat an id, one stays."""
-    (own,) = fresh(docs, "kept_id")
-    found = near_duplicates(docs, doc_id, text).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    found = staged(found.groupBy(F.col("doc_id").alias(own)).agg(F.count("*").alias("n")), "simhash-kept")
-    same = F.col(doc_id).eqNullSafe(F.col(own))
-    kept = docs.join(found.where("n = 1").select(own), same, "left_semi")
-    if (again := found.where("n > 1").select(own)).isEmpty():
+    """One row of each component, with the columns of docs: that with the smallest id (null ids last), then the smallest text digest.
+
+    A row is known by its id and a 128-bit digest of its text, so every component keeps a row whatever the ids; of rows that repeat
+    both, which are of one component, one stays.
+    """
+    own, mark = fresh(docs, "kept_id", "kept_digest")
+    digest = F.md5(F.col(text).cast("binary"))  # null for a null
+    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), digest.alias("digest"))
+    prints = with_fingerprint(narrow, keep=["doc_id", "digest"])
+    rows = staged(prints.groupBy("doc_id", "digest", "fingerprint").agg(F.count("*").alias("n")), "simhash-rows")
+    row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest", "n")
+    nodes = staged(rows.groupBy("fingerprint").agg(F.min(row).alias("least")), "simhash-nodes")
+    best = _labelled(nodes).groupBy("label").agg(F.min("least").alias("least"))
+    found = staged(best.select(F.col("least.doc_id").alias(own), F.col("least.digest").alias(mark), F.col("least.n").alias("n")), "simhash-kept")
+    same = F.col(doc_id).eqNullSafe(F.col(own)) & digest.eqNullSafe(F.col(mark))
+    kept = docs.join(found.where("n = 1").select(own, mark), same, "left_semi")
+    if (again := found.where("n > 1").select(own, mark)).isEmpty():
         return kept
-    return kept.unionByName(docs.join(again, same, "left_semi").dropDuplicates([doc_id]))
+    repeated = docs.join(again, same, "left_semi").withColumn(mark, digest).dropDuplicates([doc_id, mark]).drop(mark)
+    return kept.unionByName(repeated)

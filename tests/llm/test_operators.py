@@ -384,6 +384,17 @@ def test_simhash_odd(odd, none):
     assert simhash.near_duplicates(none).count() == 0
 
 
+def test_simhash_keeps_one_row_of_each_group(spark):
+    """Null and repeated ids with unrelated texts: no group goes without a row, and none keeps two."""
+    words = lambda k: " ".join(f"w{k}x{j}" for j in range(30))
+    rows = [(None, words(0)), (None, words(1)), (None, words(2)), (7, words(3)), (7, words(4)), (7, words(4)), (8, words(4)), (5, words(5)), (7, words(5)), (None, words(5)), (9, words(2)), (None, None), (None, words(1))]
+    docs = spark.createDataFrame([(i, t, "own") for i, t in rows], "doc_id long, text string, digest string")
+    left = simhash.drop_near_duplicates(docs)
+    assert left.columns == docs.columns
+    want = [(None, words(0)), (None, words(1)), (9, words(2)), (7, words(3)), (7, words(4)), (5, words(5)), (None, None)]
+    assert Counter((r["doc_id"], r["text"]) for r in left.collect()) == Counter(want)
+
+
 # ------------------------------------------------------------------ 9 suffix array
 
 
