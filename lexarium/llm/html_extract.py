@@ -5,6 +5,9 @@ over its tags. The ratios, smoothed by a Gaussian, are split at their deviation:
 the page's articles (or mains) that hold content lines; a page without such elements gives the smallest element that holds most of
 its content text. All lines of a region are its text, short ones too, but those in elements that a page uses for other things:
 menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments.
+
+Words in class and id are only evidence of that (``marked``): no heading and no main falls by them, nor an element that holds most of
+the content around it, so a wrapper named for its layout keeps its text.
 """
 
 from __future__ import annotations
@@ -32,6 +35,11 @@ MARKS = frozenset(
 #: These mark an element only where it is outside an article.
 OUTER = frozenset("header siteheader".split())
 REGION = frozenset(("article", "main"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Whole names by which an article is not a page's text, if others hold more.
+ASIDES = frozenset("ad ads advert advertisement sponsored promo promoted teaser teasers comment comments reply related recommended".split())
+#: Words that text sections of an article are named for, too.
+TOPICS = frozenset("ads advertising promotion banner navigation menu cookie cookies consent gdpr notice notices notification alert newsletter subscription login share sharing social related recommended recommendations trending popular search hidden copyright disclaimer sponsor".split())
 PLAIN_P = frozenset("address article aside blockquote details dialog div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _CUT = re.compile(r"<[a-zA-Z/!?]")
@@ -40,10 +48,13 @@ SIGMA, REACH = 1.0, 2
 KERNEL = [math.exp(-(k * k) / (2 * SIGMA * SIGMA)) for k in range(-REACH, REACH + 1)]
 #: Share of the content text that the region of a page without articles must hold.
 MOST = 0.7
+#: Kinds of marks: a word within a name, and a whole name; and the share of the content around it by which such an element is content.
+PART, WHOLE = 1, 2
+HOLDS = {PART: 0.5, WHOLE: 0.9}
 
 
 class Page(HTMLParser):
-    """Lines of a page: (text, tags, elements it is in); elements: (tag, parent, excluded)."""
+    """Lines of a page: (text, tags, elements it is in); elements: (tag, parent, excluded, kind of mark)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -51,6 +62,8 @@ class Page(HTMLParser):
         self.tags: list[str] = ["#page"]
         self.parent: list[int] = [-1]
         self.other: list[bool] = [False]
+        self.marks: list[int] = [0]
+        self.topic: set[int] = set()
         self.open: list[int] = [0]
         self.silent = 0
         self.text: list[str] = []
@@ -84,7 +97,7 @@ class Page(HTMLParser):
             self.silent += 1
             self._push(tag, False)
         elif tag in BLOCK or attrs:
-            self._push(tag, self._is_other(tag, attrs))
+            self._push(tag, self._is_other(tag, attrs), self._mark(tag, attrs))
         else:
             self._push(tag, False)
 
@@ -93,10 +106,13 @@ class Page(HTMLParser):
         if tag not in VOID and tag in ("svg", "math", "path"):
             self.handle_endtag(tag)
 
-    def _push(self, tag: str, other: bool) -> None:
+    def _push(self, tag: str, other: bool, mark: tuple[int, bool] = (0, False)) -> None:
         self.tags.append(tag)
         self.parent.append(self.open[-1])
         self.other.append(other)
+        self.marks.append(mark[0])
+        if mark[1]:
+            self.topic.add(len(self.tags) - 1)
         self.open.append(len(self.tags) - 1)
 
     def _is_other(self, tag: str, attrs: list) -> bool:
@@ -115,12 +131,30 @@ class Page(HTMLParser):
                 return True
             if name == "style" and "display:none" in value.replace(" ", ""):
                 return True
-            if name in ("class", "id") and tag not in ("html", "body"):
-                words = {*_SPLIT.split(value)}
-                if words & MARKS or not inside and words & OUTER:
-                    return True
         return False
 
+    def _mark(self, tag: str, attrs: list) -> tuple[int, bool]:
+        """The kind of mark of class and id, and whether it may be the topic of a text section of an article."""
+        if tag in HEADINGS or tag in ("html", "body", "main"):
+            return 0, False
+        names = [x for name, value in attrs if name in ("class", "id") and value for x in value.lower().split()]
+        if not names:
+            return 0, False
+        inside = any(self.tags[k] in REGION for k in self.open)
+        whole, part = set(), False
+        for x in names:
+            words = [w for w in _SPLIT.split(x) if w]
+            if not words:
+                continue
+            if len(words) == 1 and (words[0] in MARKS or not inside and words[0] in OUTER):
+                whole.add(words[0])
+            # in an article the last word says what a thing is: related-work is no box of related pages
+            elif words[-1] in MARKS or not inside and not MARKS.union(OUTER).isdisjoint(words):
+                part = True
+        if tag == "article":
+            return (PART if whole & ASIDES else 0), False
+        return (WHOLE if whole else PART if part else 0), inside and tag == "section" and not part and whole <= TOPICS
+
     def _close(self, tag: str, fence: frozenset) -> None:
         """Ends an open element, if no fence is between."""
         for k in range(len(self.open) - 1, 0, -1):
@@ -180,28 +214,51 @@ def content_lines(lines: list[tuple[str, int]]) -> list[bool]:
     return [s >= cut for s in smooth]
 
 
-def extract(html: str | None) -> str:
-    """The main text: one line a block; empty for a null, an empty page or a page without content."""
-    if not html:
-        return ""
-    page = Page()
-    page.feed(html)
-    page.close()
-    # an element around an article isn't something other than content
+def _outside(page: Page, gone: list[bool]) -> list[tuple[str, int, int]]:
+    """The lines in no element that is gone; an element around a region that is not gone stays."""
     free = set()
-    regions = [k for k, t in enumerate(page.tags) if t in REGION and not page.other[k]]
-    for k in regions:
-        k = page.parent[k]
-        while k >= 0 and k not in free:
-            free.add(k)
+    for k, tag in enumerate(page.tags):
+        if tag in REGION and not gone[k]:
             k = page.parent[k]
+            while k >= 0 and k not in free:
+                free.add(k)
+                k = page.parent[k]
     other = [False] * len(page.tags)
     for k in range(1, len(page.tags)):
-        other[k] = other[page.parent[k]] or page.other[k] and k not in free
-    lines = [(text, tags, at) for text, tags, at in page.lines if not other[at]]
+        other[k] = other[page.parent[k]] or gone[k] and k not in free
+    return [x for x in page.lines if not other[x[2]]]
+
+
+def marked(page: Page, lines: list[tuple[str, int, int]], path) -> list[int]:
+    """The elements that their marks exclude: those that don't hold most of the content of their region or, outside regions, of the page."""
     good = content_lines([(text, tags) for text, tags, _ in lines])
     if not any(good):
         good = [True] * len(lines)
+    held: dict[int, int] = {}
+    size: dict[int, int] = {}
+    for (text, _, at), is_good in zip(lines, good, strict=True):
+        for k in path(at):
+            size[k] = size.get(k, 0) + len(text)
+            held[k] = held.get(k, 0) + is_good * len(text)
+    out = []
+    for k, kind in enumerate(page.marks):
+        if not kind:
+            continue
+        if k in page.topic and 2 * held.get(k, 0) > size.get(k, 0):
+            continue
+        around = next((a for a in path(k)[1:] if page.tags[a] in REGION), 0)
+        if not held.get(k) or held[k] <= HOLDS[kind] * held[around]:
+            out.append(k)
+    return out
+
+
+def extract(html: str | None) -> str:
+    """The main text: one line a block; empty for a null, an empty page or a page without content."""
+    if not html:
+        return ""
+    page = Page()
+    page.feed(html)
+    page.close()
     above: dict[int, list[int]] = {}
 
     def path(at: int) -> list[int]:
@@ -209,6 +266,17 @@ def extract(html: str | None) -> str:
             above[at] = [at, *(path(page.parent[at]) if page.parent[at] >= 0 else [])]
         return above[at]
 
+    # an element around an article isn't something other than content
+    gone = [page.other[k] for k in range(len(page.tags))]
+    lines = _outside(page, gone)
+    if any(page.marks):
+        for k in marked(page, lines, path):
+            gone[k] = True
+        lines = _outside(page, gone) or lines
+    regions = [k for k, t in enumerate(page.tags) if t in REGION and not gone[k]]
+    good = content_lines([(text, tags) for text, tags, _ in lines])
+    if not any(good):
+        good = [True] * len(lines)
     weight: dict[int, int] = {}
     for (text, _, at), is_good in zip(lines, good, strict=True):
         for k in path(at) if is_good else ():

@@ -60,6 +60,26 @@ def test_html_unclosed_and_plain():
     assert html_extract.extract('<body><div class="ad">x<article><p>kept</article>') == "kept"
 
 
+_PARTS = [f"Sentence number {k} of the body text, long enough to count as content here." for k in range(6)]
+_BODY = "".join(f"<p>{x}</p>" for x in _PARTS)
+_MENU = '<div class="menu"><a href=a>A</a><a href=b>B</a></div>'
+
+
+@pytest.mark.parametrize("page", [
+    f'<body>{_MENU}<div class="content has-sidebar">{_BODY}</div><div class="sidebar">links</div></body>',
+    f'<body>{_MENU}<article class="post category-notices">{_BODY}</article></body>',
+    f'<body>{_MENU}<main class="with-sidebar">{_BODY}<div class="share"><a href=c>C</a></div></main></body>',
+    f'<body>{_MENU}<article><div class="body with-sidebar">{_BODY}</div><div class="comments"><p>me too</p></div></article></body>',
+])
+def test_html_marks_of_wrappers(page):
+    assert html_extract.extract(page).split("\n") == _PARTS
+
+
+def test_html_marks_of_text_sections():
+    page = f'<article>{_BODY}<h2 id="related-work">Related work</h2><section id="search">{_BODY}</section><section id="popular-methods">{_BODY}</section><section id="comments"><p>me too</p></section><article class="teaser">more</article></article>'
+    assert html_extract.extract(page).split("\n") == [*_PARTS, "Related work", *_PARTS, *_PARTS]
+
+
 def test_html_query(spark, sf_dir):
     got = queries.QUERIES["op1_html_extraction"](spark, sf_dir).collect()
     assert len(got) == spark.read.parquet(f"{sf_dir}/pages.parquet").count()
