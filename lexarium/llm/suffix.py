@@ -248,12 +248,12 @@ def contexts(buf: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int
     return text, h[where[lo]].view(np.int64), lo - offs[text], count, whole.view(np.int64)
 
 
-ANCHORS = "anchor long, id long, crc int, lo int, n int, ctx long"
+ANCHORS = "anchor long, id long, crc long, lo int, n int, ctx long"
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(id, crc, text): a row's key is its id and its text's hash."""
-    return docs.select(id_as_long(docs, doc_id).alias("id"), F.hash(F.col(f"`{text}`")).alias("crc"), F.col(f"`{text}`").alias("text"))
+    """(id, crc, text): a row's key is its id and its text's 64-bit hash."""
+    return docs.select(id_as_long(docs, doc_id).alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("crc"), F.col(f"`{text}`").alias("text"))
 
 
 def _anchors(keyed: DataFrame, length: int, only: bool) -> DataFrame:
@@ -267,14 +267,14 @@ def _anchors(keyed: DataFrame, length: int, only: bool) -> DataFrame:
                 if only:
                     yield pa.RecordBatch.from_arrays([longs(anchor)], names=["anchor"])
                 else:
-                    yield pa.RecordBatch.from_arrays([longs(anchor), longs(ids[i + text]), pa.array(crcs[i + text], pa.int32()), pa.array(lo.astype(np.int32)), pa.array(n.astype(np.int32)), longs(ctx)], names=["anchor", "id", "crc", "lo", "n", "ctx"])
+                    yield pa.RecordBatch.from_arrays([longs(anchor), longs(ids[i + text]), longs(crcs[i + text]), pa.array(lo.astype(np.int32)), pa.array(n.astype(np.int32)), longs(ctx)], names=["anchor", "id", "crc", "lo", "n", "ctx"])
 
     return keyed.mapInArrow(run, "anchor long" if only else ANCHORS)
 
 
 # --------------------------------------------------------------------------- the operator
 
-RUN = T.StructType([T.StructField("id", T.LongType()), T.StructField("crc", T.IntegerType()), T.StructField("lo", T.IntegerType()), T.StructField("n", T.IntegerType())])
+RUN = T.StructType([T.StructField("id", T.LongType()), T.StructField("crc", T.LongType()), T.StructField("lo", T.IntegerType()), T.StructField("n", T.IntegerType())])
 
 
 def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,11 +291,11 @@ def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 for col, v in zip(out, (r["anchor"], i, crc, r["lo"], r["many"], raw[r["lo"] : r["lo"] + r["size"]]), strict=True):
                     col.append(v)
         if out[0]:
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["anchor", "id", "crc", "lo", "many", "bytes"])
 
 
-CUT = "anchor long, id long, crc int, lo int, many boolean, bytes binary"
+CUT = "anchor long, id long, crc long, lo int, many boolean, bytes binary"
 
 
 def _sorted_repeats(length: int, sort_bytes: int):
@@ -316,7 +316,7 @@ def _sorted_repeats(length: int, sort_bytes: int):
                 continue
             k = np.searchsorted(offs, a, side="right") - 1
             lo = np.array([r[3] for r in own])[k] + a - offs[k]
-            yield pa.RecordBatch.from_arrays([longs(np.array([r[1] for r in own])[k]), pa.array(np.array([r[2] for r in own], np.int32)[k]), pa.array(lo.astype(np.int32)), pa.array((b - a).astype(np.int32))], names=["id", "crc", "lo", "n"])
+            yield pa.RecordBatch.from_arrays([longs(np.array([r[1] for r in own])[k]), longs(np.array([r[2] for r in own])[k]), pa.array(lo.astype(np.int32)), pa.array((b - a).astype(np.int32))], names=["id", "crc", "lo", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -350,7 +350,7 @@ def _window_hashes(length: int):
                 at = np.arange(m)
                 h1 = span_hash(acc, at, at + length)
                 h2 = np.fromiter((xxhash.xxh3_64_intdigest(raw[k : k + length]) for k in range(m)), np.uint64, m)
-                yield pa.RecordBatch.from_arrays([longs(h1.view(np.int64)), longs(h2.view(np.int64)), pa.array(np.full(m, row[1]), pa.int64()), pa.array(np.full(m, row[2], np.int32)), pa.array((row[3] + at).astype(np.int32))], names=["h1", "h2", "id", "crc", "lo"])
+                yield pa.RecordBatch.from_arrays([longs(h1.view(np.int64)), longs(h2.view(np.int64)), pa.array(np.full(m, row[1]), pa.int64()), pa.array(np.full(m, row[2]), pa.int64()), pa.array((row[3] + at).astype(np.int32))], names=["h1", "h2", "id", "crc", "lo"])
 
     return run
 
@@ -373,7 +373,7 @@ def repeat_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", len
     cut = staged(documents.where(F.size("needed") > 0).select("id", "crc", "text", "needed").mapInArrow(_cut_contexts, CUT), "suffix-contexts")
     few = cut.where(~F.col("many")).select("anchor", "id", "crc", "lo", "bytes").repartition("anchor").sortWithinPartitions("anchor", "id", "crc", "lo")
     runs = few.mapInArrow(_sorted_repeats(length, sort_bytes), RUN)
-    windows = cut.where("many").select("anchor", "id", "crc", "lo", "bytes").mapInArrow(_window_hashes(length), "h1 long, h2 long, id long, crc int, lo int")
+    windows = cut.where("many").select("anchor", "id", "crc", "lo", "bytes").mapInArrow(_window_hashes(length), "h1 long, h2 long, id long, crc long, lo int")
     again = windows.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c >= 2").select("h1", "h2")
     hot = windows.join(staged(again, "suffix-windows"), ["h1", "h2"]).select("id", "crc", "lo", F.lit(1).alias("n"))
     return documents.drop("needed"), runs.unionByName(whole).unionByName(hot)

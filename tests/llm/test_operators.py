@@ -466,6 +466,17 @@ def test_suffix_repeats(spark, group):
         assert (x["n_bytes"], x["n_removed"], x["n_spans"], x["kept_sha256"]) == want, k
 
 
+def test_suffix_rows_of_one_id_with_equal_murmur_hashes(spark):
+    """Two texts under null ids that Spark's 32-bit hash can't tell apart are two rows."""
+    text = lambda i: " ".join(hashlib.md5(f"{i}-{j}".encode()).hexdigest() for j in range(20))
+    a, b = text(63245), text(138078)
+    docs = spark.createDataFrame([(None, a), (None, b), (9, b)], "doc_id long, text string")
+    assert docs.select(F.hash("text").alias("h")).distinct().count() == 1
+    got = Counter((r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix.remove_repeats(docs, with_bytes=False).collect())
+    none, n = hashlib.sha256(b"").hexdigest(), len(a)
+    assert got == Counter([(n, 0, 0, hashlib.sha256(a.encode()).hexdigest()), (n, n, 1, none), (n, n, 1, none)])
+
+
 def test_suffix_query(spark, sf_dir):
     docs = docs_of(spark, sf_dir)
     want = dict(zip(docs, brute_repeats(docs.values(), 200), strict=True))
