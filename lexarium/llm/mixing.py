@@ -5,7 +5,7 @@ the least one at which no source repeats more than ``max_repeats`` times, or to
 (nats). Each source's budget, its weight's part of the total, is realised as whole passes over the source and a part of one more:
 the documents whose seeded hash is at most the source's cut, where the cut is found on per-block token sums and then inside one
 block. All rows are then dealt to blocks by another seeded hash, and each block is a permutation in which every source has its
-weight.
+weight in expectation only: blocks have no budgets, and a source of few rows is absent from some.
 
 ``budget`` None: the least budget that passes every source at least once, so mixing repeats documents but drops none.
 """
