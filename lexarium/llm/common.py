@@ -59,6 +59,23 @@ def clear_staged() -> None:
             return
 
 
+def hot_join(big: DataFrame, small: DataFrame, on: list[str], count: str, how: str = "inner", parts: int = 2048) -> DataFrame:
+    """big joined with small, which is staged, unique on ``on``, and has in ``count`` how many rows of big have each key, at least.
+
+    Keys with more than 1 / parts of all these rows, of which there can't be more than parts, are broadcast with a number of lots;
+    their rows are dealt over the lots, and their row of small is in each. So no task gets a hot key whole.
+    """
+    total, most = small.agg(F.sum(count), F.max(count)).first()
+    limit = max(1 << 13, -(-(total or 0) // parts))
+    if (most or 0) <= limit:
+        return big.join(small, on, how)
+    lots, lot = fresh(big, "lots", "lot")
+    hot = F.broadcast(small.where(F.col(count) > limit).select(*on, F.ceil(F.col(count) / limit).cast("long").alias(lots)))
+    dealt = big.join(hot, on, "left").withColumn(lot, F.when(F.col(lots).isNull(), F.lit(0).cast("long")).otherwise(F.pmod(F.monotonically_increasing_id(), F.col(lots)))).drop(lots)
+    copies = small.join(hot, on, "left").withColumn(lot, F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(lots), F.lit(1).cast("long")) - 1))).drop(lots)
+    return dealt.join(copies, [*on, lot], how).drop(lot)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

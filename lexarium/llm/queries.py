@@ -65,7 +65,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return suffix.remove_repeats(docs, with_bytes=False).select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return suffix.remove_repeats(docs, with_bytes=False)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,17 +2,21 @@
 
 A byte is a repeat if a string of ``LENGTH`` bytes that covers it starts anywhere else too. Steps:
 
-1. Anchors. Each window of LENGTH bytes is named by its minimiser, the ``GRAM``-gram of least hash (leftmost of ties). Equal
+1. Equal texts (SHA-256) are one text with a multiplicity.
+2. Anchors. Each window of LENGTH bytes is named by its minimiser, the ``GRAM``-gram of least hash (leftmost of ties). Equal
    windows have equal anchors at equal places, so only windows under an anchor seen twice can repeat. A run of windows with one
    anchor is a context. Anchors are counted in a pre-aggregated group-by; contexts under an anchor seen once are final: no repeat.
-2. Contexts that occur twice as a whole are repeats from end to end.
-3. What is left, distinct contexts that share an anchor, goes through suffix sorting: the suffixes of a task's contexts are
-   grouped by their Lyndon prefixes, groups being processed in descending order with previous-smaller pointers, and then each
-   group's order is emitted in one pass, without renaming (``suffix_order``). Windows equal to a neighbour in that order repeat.
-   Symbols are words, each with the separator that ends it (a prefix-free code, so the order is the bytes' own order); where a
-   group has words over ``LONG`` bytes, symbols are bytes.
-4. An anchor with more than ``GROUP`` distinct contexts would tie its contexts to one task; its windows are counted one by one by
-   128-bit hash instead, in a pre-aggregated group-by. The outcome is the same.
+3. The distinct contexts of each anchor (a 128-bit digest tells them apart) go through suffix sorting: one that occurs in several
+   texts enters with the bytes of two of its occurrences, one of a text that is there several times with that multiplicity. The
+   suffixes of a task's contexts are grouped by their Lyndon prefixes, groups being processed in descending order with
+   previous-smaller pointers, and then each group's order is emitted in one pass, without renaming (``suffix_order``). Windows
+   that neighbours in that order have in common, byte for byte, are repeats; nothing else is. Symbols are phrases: what stands
+   between cuts that the letters before a word set (a prefix-free code, so the order is the bytes' own). Groups with longer
+   phrases than ``MOST`` take words, and with longer words bytes.
+4. An anchor with more than ``GROUP`` distinct contexts is split before it is sorted: its windows are dealt by their distance from
+   the anchor, in steps of ``WIDTHS``, and by the bytes that all windows of one step share. Equal windows stay together, and a
+   group at the last step has one string. What a group finds out about a piece holds for all contexts that have it.
+5. The repeats of a distinct context are those of all its occurrences.
 """
 
 from __future__ import annotations
@@ -27,14 +31,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import NOT_SPACE, attach, id_as_long, longs, mix, prefix_hash, span_hash, staged, text_blocks
+from .common import NOT_SPACE, fresh, hot_join, longs, mix, prefix_hash, span_hash, staged, text_blocks
 
 LENGTH, GRAM = 200, 64
-#: Distinct contexts of an anchor that go to one task: about 1.2 MB of text, and 0.1 GB while it is sorted by words (0.3 by bytes).
-GROUP = 4096
+#: Distinct contexts of a group that are sorted together: about 0.6 MB of text.
+GROUP = 2048
+#: Steps of distances by which a larger group is split, and split again.
+WIDTHS = (16, 4, 1)
 #: Bytes of contexts sorted at a time, if no group is larger.
-SORT_BYTES = 1 << 20
-LONG = 32
+SORT_BYTES = 1 << 19
+#: Longest phrase or word that is a symbol; bytes before a cut that set it; one cut in so many words.
+MOST, LOOK, CUT = 120, 4, 3
 BLOCK = 1 << 18
 
 
@@ -131,74 +138,124 @@ def suffix_order(s: np.ndarray) -> np.ndarray:
 
 # --------------------------------------------------------------------------- repeats among contexts
 
-
-def _symbols(buf: np.ndarray, offs: np.ndarray, whole: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of the symbols of a block of contexts: bytes, or words with the separator after each."""
-    if not whole:
-        start = np.arange(len(buf))
-    else:
-        first = np.zeros(len(buf), bool)
-        first[1:] = ~NOT_SPACE[buf][:-1]
-        first[offs[:-1]] = True
-        start = np.flatnonzero(first)
-    return start, np.append(start[1:], len(buf))
+PHRASES, WORDS, BYTES = 0, 1, 2
 
 
-def repeats(buf: np.ndarray, offs: np.ndarray, length: int = LENGTH, words: bool = True) -> np.ndarray:
-    """For each byte of the contexts (non-empty, back to back in buf) whether the window of ``length`` bytes that starts there, inside its context, starts at another place too."""
-    start, end = _symbols(buf, offs, words)
-    context_end = np.repeat(offs[1:], np.diff(np.searchsorted(start, offs)))
-    acc = prefix_hash(buf)
+def _cuts(buf: np.ndarray, offs: np.ndarray, symbols: int) -> tuple[np.ndarray, int]:
+    """Starts of the symbols inside contexts, and the bytes before a start that it depends on, all of its context."""
+    look = LOOK if symbols == PHRASES else 1
+    if symbols == BYTES:
+        cut = np.ones(len(buf), bool)
+    else:
+        space = ~NOT_SPACE[buf]
+        cut = np.zeros(len(buf), bool)
+        cut[1:] = space[:-1]
+    if symbols == PHRASES:
+        # the last three letters of the word before, none of them beyond its start
+        own = np.where(space, 0, buf).astype(np.uint64)
+        key = np.zeros(len(buf), np.uint64)
+        some = np.ones(len(buf), bool)
+        for k in (2, 3, 4):
+            before = np.zeros(len(buf), np.uint64)
+            before[k:] = own[:-k]
+            some &= before > 0
+            key = key << np.uint64(8) | np.where(some, before, 0)
+        cut &= mix(key) % np.uint64(CUT) == 0
+    for k in range(look):
+        cut[offs[:-1] + k] = False
+    return np.flatnonzero(cut), look
+
+
+def _longest(buf: np.ndarray, offs: np.ndarray, symbols: int) -> np.ndarray:
+    """For each context the bytes of its longest symbol."""
+    start, _ = _cuts(buf, offs, symbols)
+    at = np.union1d(offs, start)
+    return np.maximum.reduceat(np.diff(at), np.searchsorted(at, offs[:-1]))
+
+
+def repeats(buf: np.ndarray, offs: np.ndarray, weight: np.ndarray, length: int = LENGTH, symbols: int = PHRASES) -> np.ndarray:
+    """For each byte of the contexts (back to back in buf) whether the window of ``length`` bytes that starts there, inside its context, occurs twice or more; weight: how often each context counts."""
+    out = np.zeros(len(buf), bool)
+    start, look = _cuts(buf, offs, symbols)
+    if not len(start):
+        return out
+    context = np.searchsorted(offs, start, side="right") - 1
+    first = np.ones(len(start), bool)
+    first[1:] = context[1:] != context[:-1]
+    last = np.append(first[1:], True)
+    stop = offs[context + 1]
+    end = np.where(last, stop, np.append(start[1:], 0))
+    before = np.where(first, start - offs[context], start - np.append(0, start[:-1]) + look - 1)
     # ranks of the symbols in the order of their bytes; a context's last symbol is followed by a separator, the least of all
-    h = span_hash(acc, start, end)
-    _, one, kind = np.unique(h, return_index=True, return_inverse=True)
-    raw = buf.tobytes()
-    own = [raw[start[k] : end[k]] for k in one.tolist()]
-    rank = np.empty(len(own), np.int64)
-    rank[np.array(sorted(range(len(own)), key=own.__getitem__), np.int64)] = np.arange(len(own))
-    last = end == context_end
+    if symbols == BYTES:
+        rank = buf[start].astype(np.int64)
+    else:
+        raw, seen = buf.tobytes(), {}
+        kind = np.array([seen.setdefault(raw[a:b], len(seen)) for a, b in zip(start.tolist(), end.tolist(), strict=True)])
+        by = np.empty(len(seen), np.int64)
+        by[[seen[x] for x in sorted(seen)]] = np.arange(len(seen))
+        rank = by[kind]
     where = np.arange(len(start)) + np.concatenate(([0], np.cumsum(last)[:-1]))
     text = np.full(len(start) + int(last.sum()) + 1, 1, np.int64)
-    text[where] = rank[kind] + 2
+    text[where] = rank + 2
     text[-1] = 0
     back = np.full(len(text), -1, np.int64)
     back[where] = np.arange(len(start))
     order = back[suffix_order(text)]
     order = order[order >= 0]
-    at, room = start[order], (context_end - start)[order]
-    common = _common(buf, acc, at, room, length)
-    # a window's first symbol is the first that starts inside it, d bytes on, as its own bytes tell; the window repeats if that
-    # symbol's interval at length - d has another with the same d bytes before
-    out = np.zeros(len(buf), bool)
-    begins = np.zeros(len(start), np.int64)
-    begins[1:] = start[:-1]
-    begins = np.where(np.isin(start, offs[:-1]), start, begins)
-    before = (start - begins)[order]  # bytes of the symbol before, in the same context
-    for d in range(1, int(before.max(initial=0)) + 1):
-        some = (before >= d) & (room >= length - d)
-        interval = np.cumsum(np.concatenate(([0], common < length - d)))[some]
-        p = at[some] - d
-        if not len(p):
+    acc = prefix_hash(buf)
+    at, room = start[order], (stop - start)[order]
+    least = max(1, length - int(before.max()))
+    common = _common(buf, acc, at, room, length, least)
+    # a window's first symbol is the first whose start its own bytes tell, d bytes on; the window repeats if that symbol's interval
+    # at length - d has another with the same d bytes before, or counts twice itself
+    near = np.concatenate(([False], common >= least, [False]))
+    heavy = weight[context[order]]
+    live = np.flatnonzero(near[1:] | near[:-1] | (heavy > 1))
+    for d in range(look, int(before.max()) + 1):
+        some = live[(before[order[live]] >= d) & (room[live] >= length - d)]
+        if not len(some):
             continue
-        key = mix(span_hash(acc, p, p + d) + interval.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        by = np.argsort(key, kind="stable")
-        same = key[by][1:] == key[by][:-1]
-        out[p[by[1:][same]]] = True
-        out[p[by[:-1][same]]] = True
+        interval = np.cumsum(np.concatenate(([0], common < length - d)))[some]
+        _again(buf, acc, at[some] - d, d, interval, heavy[some], out)
     return out
 
 
-def _common(buf: np.ndarray, acc: np.ndarray, at: np.ndarray, room: np.ndarray, length: int) -> np.ndarray:
-    """Common bytes, up to length, of neighbours in the order; only counts of length - LONG or more are exact."""
-    least = max(1, length - LONG)
+def _again(buf: np.ndarray, acc: np.ndarray, p: np.ndarray, d: int, interval: np.ndarray, weight: np.ndarray, out: np.ndarray) -> None:
+    """Marks in out those p that count twice or more among those with their interval and the d bytes from p."""
+    key = mix(span_hash(acc, p, p + d) + interval.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    by = np.argsort(key, kind="stable")
+    head = np.concatenate(([True], key[by][1:] != key[by][:-1]))
+    run = np.cumsum(head) - 1
+    twice = np.bincount(run, weights=weight[by])[run] > 1
+    found = by[twice]
+    one = by[np.flatnonzero(head)][run][twice]  # the first of each one's run
+    grid = np.arange(d)
+    for k in range(0, len(found), 8192):
+        a, b = found[k : k + 8192], one[k : k + 8192]
+        if (interval[a] != interval[b]).any() or (buf[p[a][:, None] + grid] != buf[p[b][:, None] + grid]).any():
+            break
+    else:
+        out[p[found]] = True
+        return
+    # two strings have one hash: by the bytes themselves
+    count: dict[tuple[int, bytes], int] = {}
+    own = [(i, buf[x : x + d].tobytes()) for i, x in zip(interval.tolist(), p.tolist(), strict=True)]
+    for x, w in zip(own, weight.tolist(), strict=True):
+        count[x] = count.get(x, 0) + w
+    out[p[[count[x] > 1 for x in own]]] = True
+
+
+def _common(buf: np.ndarray, acc: np.ndarray, at: np.ndarray, room: np.ndarray, length: int, least: int) -> np.ndarray:
+    """Common bytes, up to length, of neighbours in the order; only counts of least or more are exact."""
     out = np.zeros(max(0, len(at) - 1), np.int64)
     short = np.minimum(room[1:], room[:-1])
     some = np.flatnonzero(short >= least)
     same = some[span_hash(acc, at[some], at[some] + least) == span_hash(acc, at[some + 1], at[some + 1] + least)]
     padded = np.concatenate((buf, np.zeros(length, np.uint8)))
+    grid = np.arange(length)
     for k in range(0, len(same), 4096):
         part = same[k : k + 4096]
-        grid = np.arange(length)
         diff = padded[at[part][:, None] + grid] != padded[at[part + 1][:, None] + grid]
         found = np.where(diff.any(axis=1), diff.argmax(axis=1), length)
         out[part] = np.minimum(found, short[part])
@@ -215,7 +272,7 @@ def spans(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def contexts(buf: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(text, anchor, first window, windows, hash of the context) for each context of a block of texts."""
+    """(text, anchor, place of the anchor, first window, windows) for each context of a block of texts; places are in the block."""
     n = len(buf)
     if n < length:
         empty = np.empty(0, np.int64)
@@ -238,145 +295,195 @@ def contexts(buf: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int
     ok = np.cumsum(inside[:-1], dtype=np.int8) > 0
     first = ok.copy()
     first[1:] &= ~ok[:-1] | (where[1:] != where[:-1])
-    starts_at_text = offs[long]
-    first[starts_at_text] = True
+    first[offs[long]] = True
     lo = np.flatnonzero(first)
     text = np.searchsorted(offs, lo, side="right") - 1
     stop = np.append(lo[1:], n)
     count = np.minimum(stop, offs[text + 1] - length + 1) - lo
-    whole = span_hash(acc, lo, lo + count + length - 1)
-    return text, h[where[lo]].view(np.int64), lo - offs[text], count, whole.view(np.int64)
+    return text, h[where[lo]].view(np.int64), where[lo], lo, count
+
+
+def _digests(parts: list[bytes], seed: int = 0) -> np.ndarray:
+    """128-bit digests as two columns of longs."""
+    return np.frombuffer(b"".join([xxhash.xxh3_128_digest(x, seed) for x in parts]), np.int64).reshape(-1, 2)
 
 
-ANCHORS = "anchor long, id long, crc long, lo int, n int, ctx long"
+def _anchors(texts: DataFrame, length: int) -> DataFrame:
+    """(anchor, w) for each context of texts (row, w, text); w: how often its text is there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            w = batch.column(0).to_numpy()
+            for i, _, buf, offs in text_blocks(batch.column(1), BLOCK):
+                text, anchor, *_ = contexts(buf, offs, length)
+                if len(text):
+                    yield pa.RecordBatch.from_arrays([longs(anchor), longs(w[i + text])], names=["anchor", "w"])
+
+    return texts.select("w", "text").mapInArrow(run, "anchor long, w long")
 
 
-def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(id, crc, text): a row's key is its id and its text's 64-bit hash."""
-    return docs.select(id_as_long(docs, doc_id).alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("crc"), F.col(f"`{text}`").alias("text"))
+CONTEXTS = "anchor long, row long, copied boolean, lo int, n int, c1 long, c2 long"
 
 
-def _anchors(keyed: DataFrame, length: int, only: bool) -> DataFrame:
+def _contexts(texts: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, crcs = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            rows, w = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for i, _, buf, offs in text_blocks(batch.column(2), BLOCK):
-                text, anchor, lo, n, ctx = contexts(buf, offs, length)
-                if not len(text):
-                    continue
-                if only:
-                    yield pa.RecordBatch.from_arrays([longs(anchor)], names=["anchor"])
-                else:
-                    yield pa.RecordBatch.from_arrays([longs(anchor), longs(ids[i + text]), longs(crcs[i + text]), pa.array(lo.astype(np.int32)), pa.array(n.astype(np.int32)), longs(ctx)], names=["anchor", "id", "crc", "lo", "n", "ctx"])
+                text, anchor, _, lo, n = contexts(buf, offs, length)
+                if len(text):
+                    raw = buf.tobytes()
+                    c = _digests([raw[a:b] for a, b in zip(lo.tolist(), (lo + n + length - 1).tolist(), strict=True)])
+                    columns = [longs(anchor), longs(rows[i + text]), pa.array(w[i + text] > 1), pa.array((lo - offs[text]).astype(np.int32)), pa.array(n.astype(np.int32)), longs(c[:, 0]), longs(c[:, 1])]
+                    yield pa.RecordBatch.from_arrays(columns, names=["anchor", "row", "copied", "lo", "n", "c1", "c2"])
 
-    return keyed.mapInArrow(run, "anchor long" if only else ANCHORS)
+    return texts.select("row", "w", "text").mapInArrow(run, CONTEXTS)
 
 
-# --------------------------------------------------------------------------- the operator
+# --------------------------------------------------------------------------- groups
 
-RUN = T.StructType([T.StructField("id", T.LongType()), T.StructField("crc", T.LongType()), T.StructField("lo", T.IntegerType()), T.StructField("n", T.IntegerType())])
+#: A string of a group (g1, g2), its digest (c1, c2), the number of places that have it, and its weight in the group.
+STRINGS = "g1 long, g2 long, c1 long, c2 long, k long, weight int, many boolean, bytes binary"
+RUNS = "g1 long, g2 long, c1 long, c2 long, k long, lo int, n int"
+PIECES = "o1 long, o2 long, o3 long, o4 long, ok long, off int, g1 long, g2 long, c1 long, c2 long, weight int, bytes binary"
+KEY = ["g1", "g2", "c1", "c2"]
 
 
 def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, crc, text, needed: [(anchor, lo, n, many)]) to (anchor, id, crc, lo, many, bytes)."""
+    """(text, needed: [(anchor, c1, c2, k, weight, many, lo, size)]) to STRINGS, a row of texts at a time."""
+    kinds = (*[pa.int64()] * 5, pa.int32(), pa.bool_(), pa.binary())
+    names = [*KEY, "k", "weight", "many", "bytes"]
     for batch in batches:
-        cols = [batch.column(k).to_pylist() for k in (0, 1, 3)]
-        texts = batch.column(2).cast(pa.large_binary())
-        out: list[list] = [[], [], [], [], [], []]
-        for k, (i, crc, needed) in enumerate(zip(*cols, strict=True)):
-            if not needed:
-                continue
+        texts = batch.column(0).cast(pa.large_binary())
+        for k, needed in enumerate(batch.column(1)):
             raw = texts[k].as_py()
-            for r in needed:
-                for col, v in zip(out, (r["anchor"], i, crc, r["lo"], r["many"], raw[r["lo"] : r["lo"] + r["size"]]), strict=True):
-                    col.append(v)
-        if out[0]:
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["anchor", "id", "crc", "lo", "many", "bytes"])
-
-
-CUT = "anchor long, id long, crc long, lo int, many boolean, bytes binary"
+            needed = needed.values
+            for i in range(0, len(needed), 1 << 14):
+                part = needed.slice(i, 1 << 14).flatten()
+                lo, size = part[6].to_pylist(), part[7].to_pylist()
+                own = [part[0], pa.array(np.zeros(len(lo), np.int64)), *part[1:6], [raw[a : a + b] for a, b in zip(lo, size, strict=True)]]
+                yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(own, kinds, strict=True)], names=names)
 
 
 def _sorted_repeats(length: int, sort_bytes: int):
+    names = [*KEY, "k", "lo", "n"]
+
     def solve(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        """held: (anchor, id, crc, lo, bytes), whole groups. Groups with long words are sorted by bytes, the others by words."""
-        long_words: set[int] = set()
-        for anchor, *_, raw in held:
-            if anchor not in long_words and max(map(len, raw.translate(_TO_SPACE).split(b" "))) >= LONG:
-                long_words.add(anchor)
-        for words in (True, False):
-            own = [r for r in held if (r[0] not in long_words) == words]
+        """held: (g1, g2, c1, c2, k, weight, bytes), whole groups. Groups with long symbols take finer ones."""
+        for symbols in (PHRASES, WORDS, BYTES):
+            if not held:
+                return
+            buf = np.frombuffer(b"".join([r[6] for r in held]), np.uint8)
+            offs = np.concatenate(([0], np.cumsum([len(r[6]) for r in held])))
+            own, held_back = held, []
+            if symbols != BYTES and (long := _longest(buf, offs, symbols) > MOST).any():
+                groups = {held[k][:2] for k in np.flatnonzero(long).tolist()}
+                own, held_back = [r for r in held if r[:2] not in groups], [r for r in held if r[:2] in groups]
+                buf = np.frombuffer(b"".join([r[6] for r in own]), np.uint8)
+                offs = np.concatenate(([0], np.cumsum([len(r[6]) for r in own])))
+            held = held_back
             if not own:
                 continue
-            buf = np.frombuffer(b"".join(r[4] for r in own), np.uint8)
-            offs = np.concatenate(([0], np.cumsum([len(r[4]) for r in own])))
-            a, b = spans(repeats(buf, offs, length, words))
+            a, b = spans(repeats(buf, offs, np.array([r[5] for r in own]), length, symbols))
             if not len(a):
                 continue
             k = np.searchsorted(offs, a, side="right") - 1
-            lo = np.array([r[3] for r in own])[k] + a - offs[k]
-            yield pa.RecordBatch.from_arrays([longs(np.array([r[1] for r in own])[k]), longs(np.array([r[2] for r in own])[k]), pa.array(lo.astype(np.int32)), pa.array((b - a).astype(np.int32))], names=["id", "crc", "lo", "n"])
+            keys = np.array([r[:5] for r in own], np.int64)[k]
+            yield pa.RecordBatch.from_arrays([*(longs(keys[:, c]) for c in range(5)), pa.array((a - offs[k]).astype(np.int32)), pa.array((b - a).astype(np.int32))], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         total, last = 0, None
         for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
-                if total >= sort_bytes and row[0] != last:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if total >= sort_bytes and row[:2] != last:
                     yield from solve(held)
                     held, total = [], 0
                 held.append(row)
-                total += len(row[4])
-                last = row[0]
-        if held:
-            yield from solve(held)
+                total += len(row[6])
+                last = row[:2]
+        yield from solve(held)
 
     return run
 
 
-_TO_SPACE = bytes(0x20 if c == 0x20 or 0x09 <= c <= 0x0D else c for c in range(256))
-
-
-def _window_hashes(length: int):
-    """(anchor, id, crc, lo, bytes) to a row for each window: (h1, h2, id, crc, lo)."""
+def _pieces(length: int, width: int):
+    """Strings to their pieces: the windows whose distances from the anchor are of one step, under the bytes that they all share."""
+    names = ["o1", "o2", "o3", "o4", "ok", "off", *KEY, "weight", "bytes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
-                raw = row[4]
-                m = len(raw) - length + 1
-                acc = prefix_hash(np.frombuffer(raw, np.uint8))
-                at = np.arange(m)
-                h1 = span_hash(acc, at, at + length)
-                h2 = np.fromiter((xxhash.xxh3_64_intdigest(raw[k : k + length]) for k in range(m)), np.uint64, m)
-                yield pa.RecordBatch.from_arrays([longs(h1.view(np.int64)), longs(h2.view(np.int64)), pa.array(np.full(m, row[1]), pa.int64()), pa.array(np.full(m, row[2]), pa.int64()), pa.array((row[3] + at).astype(np.int32))], names=["h1", "h2", "id", "crc", "lo"])
+            out: list[list] = [[] for _ in names]
+            for *key, weight, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at = int(contexts(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), length)[2][0])
+                n = len(raw) - length + 1
+                j = 0
+                while j < n:
+                    step = (at - j) // width
+                    stop = min(n, at - step * width + 1)
+                    core = raw[at - step * width : at - (step + 1) * width + 1 + length]
+                    piece = raw[j : stop - 1 + length]
+                    g, c = _digests([core], step * 256 + width)[0].tolist(), _digests([piece])[0].tolist()
+                    for column, v in zip(out, (*key, j, *g, *c, weight, piece), strict=True):
+                        column.append(v)
+                    j = stop
+            kinds = (*[pa.int64()] * 5, pa.int32(), *[pa.int64()] * 4, pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=names)
 
     return run
 
 
-def repeat_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, group: int = GROUP, sort_bytes: int = SORT_BYTES) -> tuple[DataFrame, DataFrame]:
-    """(documents, runs): documents has (id, crc, n_bytes, whole_sha256, text), text null where nothing can repeat; runs has the window starts that repeat, as (id, crc, lo, n)."""
-    keyed = _keyed(docs, doc_id, text)
-    twice = staged(_anchors(keyed, length, True).groupBy("anchor").agg(F.count("*").alias("c")).where("c >= 2").select("anchor"), "suffix-anchors")
-    candidates = staged(_anchors(keyed, length, False).join(twice, "anchor"), "suffix-candidates")
-    # each distinct context, with its first occurrence
-    distinct = staged(candidates.groupBy("anchor", "ctx").agg(F.count("*").alias("c"), F.min(F.struct("id", "crc", "lo", "n")).alias("one")), "suffix-distinct")
-    grouped = staged(distinct.groupBy("anchor").agg(F.count("*").alias("k")).where("k >= 2"), "suffix-groups")
-    whole = candidates.join(distinct.where("c >= 2").select("anchor", "ctx"), ["anchor", "ctx"]).select("id", "crc", "lo", "n")
-    left = distinct.join(grouped, "anchor").select("anchor", "one.*", "c", (F.col("k") > group).alias("many"))
-    need = left.select("id", "crc", F.struct("anchor", "lo", (F.col("n") + length - 1).alias("size"), "many").alias("r"), F.lit(True).alias("own"))
-    touched = whole.select("id", "crc").distinct().select("id", "crc", F.lit(None).cast("struct<anchor:bigint,lo:int,size:int,many:boolean>").alias("r"), F.lit(False).alias("own"))
-    per_doc = staged(need.unionByName(touched).groupBy("id", "crc").agg(F.collect_list("r").alias("needed")), "suffix-needed")  # no more than the contexts of one text
-    joined = keyed.join(per_doc, ["id", "crc"], "left").select("id", "crc", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), F.when(F.col("needed").isNull(), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias("whole_sha256"), F.when(F.col("needed").isNotNull(), F.col("text")).alias("text"), "needed")
-    documents = staged(joined, "suffix-documents")
-    cut = staged(documents.where(F.size("needed") > 0).select("id", "crc", "text", "needed").mapInArrow(_cut_contexts, CUT), "suffix-contexts")
-    few = cut.where(~F.col("many")).select("anchor", "id", "crc", "lo", "bytes").repartition("anchor").sortWithinPartitions("anchor", "id", "crc", "lo")
-    runs = few.mapInArrow(_sorted_repeats(length, sort_bytes), RUN)
-    windows = cut.where("many").select("anchor", "id", "crc", "lo", "bytes").mapInArrow(_window_hashes(length), "h1 long, h2 long, id long, crc long, lo int")
-    again = windows.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c >= 2").select("h1", "h2")
-    hot = windows.join(staged(again, "suffix-windows"), ["h1", "h2"]).select("id", "crc", "lo", F.lit(1).alias("n"))
-    return documents.drop("needed"), runs.unionByName(whole).unionByName(hot)
+def _runs(strings: DataFrame, length: int, group: int, sort_bytes: int, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
+    """The windows of STRINGS that repeat in their groups, as RUNS; groups marked many are split by the first of widths."""
+    own = strings.where(~F.col("many")).select(*KEY, "k", "weight", "bytes").repartition("g1", "g2").sortWithinPartitions("g1", "g2", "c1", "c2")
+    runs = own.mapInArrow(_sorted_repeats(length, sort_bytes), RUNS)
+    many = strings.where("many").select(*KEY, "k", "weight", "bytes")
+    if not widths or many.isEmpty():
+        return runs
+    places = staged(many.mapInArrow(_pieces(length, widths[0]), PIECES), "suffix-pieces")
+    one = F.struct("o1", "o2", "o3", "o4", "off", "bytes")
+    distinct = staged(places.groupBy(*KEY).agg(F.count("*").alias("k"), F.sum("weight").alias("w"), F.min(one).alias("one"), F.max(one).alias("two")), "suffix-distinct")
+    groups = staged(distinct.groupBy("g1", "g2").agg(F.count("*").alias("size"), F.sum("w").alias("total")).where("total >= 2"), "suffix-groups")
+    each = hot_join(distinct, groups, ["g1", "g2"], "size")
+    entries = F.when(F.col("k") > 1, F.array(F.struct(F.lit(1).alias("w"), F.col("one.bytes").alias("b")), F.struct(F.lit(1).alias("w"), F.col("two.bytes").alias("b")))).otherwise(F.array(F.struct(F.col("w").cast("int").alias("w"), F.col("one.bytes").alias("b"))))
+    finer = widths[1:]
+    each = staged(each.select(*KEY, "k", F.explode(entries).alias("e"), ((F.col("size") > group) if finer else F.lit(False)).alias("many")).select(*KEY, "k", F.col("e.w").alias("weight"), "many", F.col("e.b").alias("bytes")), "suffix-strings")
+    found = staged(_collected(_runs(each, length, group, sort_bytes, finer)), "suffix-found")
+    back = hot_join(places.drop("bytes", "weight"), found, KEY, "k").select(F.col("o1").alias("g1"), F.col("o2").alias("g2"), F.col("o3").alias("c1"), F.col("o4").alias("c2"), F.col("ok").alias("k"), "off", F.explode("runs").alias("r"))
+    return runs.unionByName(back.select(*KEY, "k", (F.col("off") + F.col("r.lo")).alias("lo"), F.col("r.n").alias("n")))
+
+
+def _collected(runs: DataFrame) -> DataFrame:
+    """The runs of each string: no more than its windows."""
+    return runs.groupBy(*KEY).agg(F.first("k").alias("k"), F.collect_set(F.struct("lo", "n")).alias("runs"))
+
+
+# --------------------------------------------------------------------------- the operator
+
+
+def repeat_runs(docs: DataFrame, text: str = "text", length: int = LENGTH, group: int = GROUP, sort_bytes: int = SORT_BYTES) -> tuple[DataFrame, DataFrame]:
+    """(texts, runs): the distinct texts (row, sha, w: how often, n_bytes, text), and the window starts that repeat, as (row, runs: [(lo, n)])."""
+    raw = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    whole = docs.select(F.sha2(raw.cast("binary"), 256).alias("sha"), raw.alias("text"))
+    texts = staged(whole.groupBy("sha").agg(F.count("*").alias("w"), F.first("text").alias("text")).select(F.monotonically_increasing_id().alias("row"), "sha", "w", F.octet_length("text").cast("long").alias("n_bytes"), "text"), "suffix-texts")
+    long = texts.where(F.col("n_bytes") >= length)
+    anchors = staged(_anchors(long, length).groupBy("anchor").agg(F.count("*").alias("k"), F.sum("w").alias("w")).where("w >= 2").select("anchor", "k"), "suffix-anchors")
+    places = staged(hot_join(_contexts(long, length), anchors, ["anchor"], "k").drop("k"), "suffix-contexts")
+    # each distinct context, with its first and its last place
+    place = F.struct("row", "lo", "n")
+    distinct = staged(places.groupBy("anchor", "c1", "c2").agg(F.count("*").alias("k"), F.max("copied").alias("copied"), F.min(place).alias("one"), F.max(place).alias("two")), "suffix-distinct")
+    large = staged(distinct.groupBy("anchor").agg(F.count("*").alias("size")).where(F.col("size") > group), "suffix-groups")
+    each = hot_join(distinct, large, ["anchor"], "size", "left")
+    weight = F.when((F.col("k") == 1) & F.col("copied"), 2).otherwise(1)
+    entries = F.when(F.col("k") > 1, F.array("one", "two")).otherwise(F.array("one"))
+    need = each.select("anchor", "c1", "c2", "k", weight.alias("weight"), F.col("size").isNotNull().alias("many"), F.explode(entries).alias("e"))
+    need = need.select(F.col("e.row").alias("row"), F.struct("anchor", "c1", "c2", "k", "weight", "many", F.col("e.lo").alias("lo"), (F.col("e.n") + length - 1).alias("size")).alias("r"))
+    per_text = need.groupBy("row").agg(F.collect_list("r").alias("needed"))  # no more than the contexts of one text
+    strings = staged(texts.select("row", "text").join(per_text, "row").select("text", "needed").mapInArrow(_cut_contexts, STRINGS), "suffix-strings")
+    found = staged(_collected(_runs(strings, length, group, sort_bytes)).withColumnRenamed("g1", "anchor"), "suffix-found")
+    hits = hot_join(places.select("anchor", "c1", "c2", "row", "lo"), found.select("anchor", "c1", "c2", "k", "runs"), ["anchor", "c1", "c2"], "k")
+    hits = hits.select("row", F.transform("runs", lambda r: F.struct((F.col("lo") + r["lo"]).alias("lo"), r["n"].alias("n"))).alias("r"))
+    return texts, hits.groupBy("row").agg(F.flatten(F.collect_list("r")).alias("runs"))  # no more than the windows of one text
 
 
 REMOVED = T.StructType([T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept", T.BinaryType()), T.StructField("kept_sha256", T.StringType())])
@@ -394,33 +501,37 @@ def _removed(starts: list[tuple[int, int]], length: int) -> list[tuple[int, int]
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, with_bytes: bool = True, **how) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256, and with_bytes the kept bytes) for each row of docs.
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with_bytes the kept bytes) for each row of docs.
 
-    id: the document id as a long (other kinds hashed; a null reads as the smallest long). Null and empty texts have no bytes and
-    lose none. Rows that repeat id and text repeat each other. Other columns of docs play no part. The kept bytes of rows that lose
-    none are null: the text stands as it is.
+    The id is the row's own, of whatever kind, null or repeated. Null and empty texts have no bytes and lose none; texts shorter
+    than ``length`` lose none; a very long text is a row like any other. Rows that repeat a text repeat each other. An empty table
+    gives an empty result. Other columns of docs play no part. The kept bytes of rows that lose none are null: the text stands as
+    it is.
     """
-    documents, runs = repeat_runs(docs, doc_id, text, length, **how)
-    per_doc = runs.groupBy("id", "crc").agg(F.collect_set(F.struct("lo", "n")).alias("runs"))  # no more than the windows of one text
-    touched = documents.where(F.col("text").isNotNull()).join(per_doc, ["id", "crc"], "left")
+    texts, runs = repeat_runs(docs, text, length, **how)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(2).cast(pa.large_binary())
+            raws = batch.column(3).cast(pa.large_binary())
             out: list[list] = [[], [], [], []]
-            for k, found in enumerate(batch.column(3).to_pylist()):
-                raw = texts[k].as_py()
-                gone = _removed([(r["lo"], r["n"]) for r in found or ()], length)
+            for k, found in enumerate(batch.column(4)):
+                raw = raws[k].as_py()
+                own = found.values.flatten()
+                gone = _removed(list(zip(own[0].to_pylist(), own[1].to_pylist(), strict=True)), length)
                 parts, last = [], 0
                 for a, b in gone:
                     parts.append(raw[last:a])
                     last = b
                 kept = b"".join([*parts, raw[last:]])
-                for col, v in zip(out, (sum(b - a for a, b in gone), len(gone), kept if with_bytes and gone else None, hashlib.sha256(kept).hexdigest()), strict=True):
+                for col, v in zip(out, (sum(b - a for a, b in gone), len(gone), kept if with_bytes else None, hashlib.sha256(kept).hexdigest()), strict=True):
                     col.append(v)
             kinds = (pa.int64(), pa.int64(), pa.binary(), pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(out, kinds, strict=True))], names=["id", "n_bytes", *REMOVED.names])
-
-    changed = touched.select("id", "n_bytes", "text", "runs").mapInArrow(run, T.StructType([T.StructField("id", T.LongType()), T.StructField("n_bytes", T.LongType()), *REMOVED]))
-    same = documents.where(F.col("text").isNull()).select("id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.lit(None).cast("binary").alias("kept"), F.col("whole_sha256").alias("kept_sha256"))
-    return changed.unionByName(same) if with_bytes else changed.unionByName(same).drop("kept")
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(3)), *(pa.array(c, t) for c, t in zip(out, kinds, strict=True))], names=["sha", "w", "n_bytes", *REMOVED.names])
+
+    schema = T.StructType([T.StructField("sha", T.StringType()), T.StructField("w", T.LongType()), T.StructField("n_bytes", T.LongType()), *REMOVED])
+    changed = staged(texts.join(runs, "row").select("sha", "w", "n_bytes", "text", "runs").mapInArrow(run, schema), "suffix-changed")
+    (key,) = fresh(docs.select(doc_id), "sha")
+    own = docs.select(F.col(f"`{doc_id}`"), F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary"), 256).alias(key), F.coalesce(F.octet_length(F.col(f"`{text}`")), F.lit(0)).cast("long").alias("own_bytes"))
+    out = hot_join(own, changed.withColumnRenamed("sha", key), [key], "w", "left")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c)
+    return out.select(F.col(f"`{doc_id}`"), F.col("own_bytes").alias("n_bytes"), zero("n_removed"), zero("n_spans"), *(["kept"] if with_bytes else []), F.coalesce("kept_sha256", key).alias("kept_sha256"))

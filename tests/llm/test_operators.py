@@ -458,9 +458,11 @@ def test_suffix_repeats(spark, group):
             cut = r.randint(0, 80)
             parts += [p[cut : cut + r.randint(150, 400)], say(r.randint(0, 20))]
         texts.append("".join(parts))
+    counted = [f"{say(3)} {k} {passages[0][:190]}{k % 7}{say(2)}" for k in range(40)] + [f"{'b' * (k % 3)}{k} {'word ' * 50}{k}" for k in range(40)]
+    texts += [*counted, "\x00ab " * 200, " \t " * 200, ("long" * 40 + " ") * 4, "漢字😀" * 80, "漢字😀" * 60]
     texts += [texts[0], texts[1][3:], None, "", "z" * 1000, "ab" * 150, passages[0], "q" * 199, "q" * 199, "\x00" * 450, "x" * 50 + passages[1] + "x" * 300]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("n_bytes", F.lit("clash"))
-    got = {x["id"]: x for x in suffix.remove_repeats(docs, group=group, sort_bytes=20000).collect()}
+    got = {x["doc_id"]: x for x in suffix.remove_repeats(docs, group=group, sort_bytes=20000).collect()}
     for k, want in enumerate(brute_repeats(texts, 200)):
         x = got[k]
         assert (x["n_bytes"], x["n_removed"], x["n_spans"], x["kept_sha256"]) == want, k
@@ -489,8 +491,30 @@ def test_suffix_query(spark, sf_dir):
 def test_suffix_odd(odd, none):
     got = suffix.remove_repeats(odd).collect()
     assert len(got) == odd.count()
-    assert sum(r["n_removed"] for r in got if r["id"] == 4) == len(LONG)
+    assert sum(r["n_removed"] for r in got if r["doc_id"] == 4) == len(LONG)
     assert suffix.remove_repeats(none).count() == 0
+    named = suffix.remove_repeats(odd.select(F.concat(F.lit("d"), "doc_id").alias("sha"), F.col("text").alias("w"), F.lit(1).alias("n_bytes")), doc_id="sha", text="w")
+    assert Counter(r["sha"] for r in named.collect()) == Counter(None if r["doc_id"] is None else f"d{r['doc_id']}" for r in odd.collect())
+
+
+def test_suffix_removals_come_from_the_order(spark, monkeypatch):
+    """Every repeat, those of whole copies too, is found by sorting: without its result nothing goes."""
+    passage = " ".join(f"word{k}" for k in range(60))
+    docs = spark.createDataFrame([(1, passage), (2, passage), (3, f"x {passage} y")], "doc_id long, text string")
+    assert all(r["n_removed"] > 300 for r in suffix.remove_repeats(docs).collect())
+    monkeypatch.setattr(suffix, "_sorted_repeats", lambda length, sort_bytes: lambda batches: (b.slice(0, 0).select([]) for b in ()))
+    assert all(r["n_removed"] == 0 for r in suffix.remove_repeats(docs).collect())
+
+
+def test_hot_join(spark):
+    """Keys above the limit are dealt over lots; each row still meets its match once."""
+    from lexarium.llm.common import hot_join, staged
+
+    big = spark.range(40000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 100).cast("long").alias("k"), F.col("id").alias("v"), F.lit("x").alias("lot"))
+    small = staged(big.groupBy("k").agg(F.count("*").alias("n")).where("k < 50"), "test-small")
+    for how in ("inner", "left"):
+        got = hot_join(big, small, ["k"], "n", how, parts=10)
+        assert sorted((r["k"], r["v"], r["n"]) for r in got.collect()) == sorted((r["k"], r["v"], r["n"]) for r in big.join(small, "k", how).collect())
 
 
 # ------------------------------------------------------------------ 10 toxicity
