@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,7 +41,22 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     if not _staged:
         atexit.register(clear_staged)
     _staged.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Deletes staged tables that nothing will read again."""
+    for df in tables:
+        if (path := getattr(df, "staged_path", None)) in _staged:
+            _staged.remove(path)
+            _delete(df.sparkSession, path)
 
 
 def clear_staged() -> None:
@@ -52,9 +67,7 @@ def clear_staged() -> None:
         if spark is None:
             continue
         try:
-            jvm = spark.sparkContext._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+            _delete(spark, path)
         except Exception:  # noqa: BLE001  the session is gone; the folder goes with the application
             return
 
@@ -91,11 +104,9 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def id_as_long(df: DataFrame, column: str):
-    """An integral id as it is, any other hashed; a null id counts as the smallest long."""
-    kind = df.schema[column].dataType
-    as_long = F.col(f"`{column}`").cast("long") if isinstance(kind, T.IntegralType) else F.xxhash64(F.col(f"`{column}`"))
-    return F.when(F.col(f"`{column}`").isNull(), F.lit(-(2**63))).otherwise(as_long)
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns of a row but maps, which have no hash."""
+    return F.xxhash64(*(F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString()))
 
 
 # --------------------------------------------------------------------------- row functions

@@ -1,13 +1,17 @@
 """Main text of web pages: streaming parser events, text-to-tag ratios, Gaussian smoothing and threshold clustering.
 
 The standard library's parser feeds a page once, in events. Text between two block boundaries is a line; its ratio is its length
-over its tags. The ratios, smoothed by a Gaussian, are split at their deviation: lines above are content. The content regions are
-the page's articles (or mains) that hold content lines; a page without such elements gives the smallest element that holds most of
-its content text. All lines of a region are its text, short ones too, but those in elements that a page uses for other things:
-menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments.
+over its tags. Elements that hold something other than content are taken out first (a veto, never a choice): menus, page headers,
+footers, sidebars, notices, adverts, forms, scripts, styles and comments. The ratios of the other lines, smoothed by a Gaussian, are
+split at their deviation: lines above are content, and so is a heading with the line under it. The content region of every page,
+whatever its tags, is the deepest container with most of the content; it grows by the containers around it as long as what they add
+is content rather than not. All lines of the region are its text, short ones too. Where the region is the whole page, containers in
+which no line is content stay out.
 
-Words in class and id are only evidence of that (``marked``): no heading and no main falls by them, nor an element that holds most of
-the content around it, so a wrapper named for its layout keeps its text.
+Words in class and id are only evidence for a veto (``marked``): no heading, paragraph or main falls by them (a paragraph only by the
+whole name of an advert), nor an element that holds most of the content around it, so a wrapper named for its layout keeps its text.
+
+Every step is linear in the page: nothing recurses, and the open elements are found by their tags, not by a search.
 """
 
 from __future__ import annotations
@@ -41,12 +45,23 @@ ASIDES = frozenset("ad ads advert advertisement sponsored promo promoted teaser
 #: Words that text sections of an article are named for, too.
 TOPICS = frozenset("ads advertising promotion banner navigation menu cookie cookies consent gdpr notice notices notification alert newsletter subscription login share sharing social related recommended recommendations trending popular search hidden copyright disclaimer sponsor".split())
 PLAIN_P = frozenset("address article aside blockquote details dialog div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
+#: A form or the like around most of a page's text is its wrapper.
+WRAPPERS = frozenset(("form", "fieldset"))
+#: Class names of paragraphs that are adverts.
+ADVERTS = frozenset("ad ads advert advertisement sponsored promo".split())
+ROOTS = frozenset(("#page", "html", "body"))
+#: What may be a content region, and what may stay out of one that is the whole page.
+CONTAINERS = frozenset("body article main section div td center dd blockquote".split())
+PARTS = CONTAINERS | frozenset("ul ol dl table".split())
+#: What ends the search for the element that an end tag ends, and for an open list item.
+FENCES = REGION | {"table", "body"}
+LISTS = frozenset(("ul", "ol", "menu"))
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _CUT = re.compile(r"<[a-zA-Z/!?]")
 #: The Gaussian over lines.
 SIGMA, REACH = 1.0, 2
 KERNEL = [math.exp(-(k * k) / (2 * SIGMA * SIGMA)) for k in range(-REACH, REACH + 1)]
-#: Share of the content text that the region of a page without articles must hold.
+#: Share of the content text that a region holds at least.
 MOST = 0.7
 #: Kinds of marks: a word within a name, and a whole name; and the share of the content around it by which such an element is content.
 PART, WHOLE = 1, 2
@@ -54,7 +69,7 @@ HOLDS = {PART: 0.5, WHOLE: 0.9}
 
 
 class Page(HTMLParser):
-    """Lines of a page: (text, tags, elements it is in); elements: (tag, parent, excluded, kind of mark)."""
+    """Lines of a page: (text, tags, element); elements, parents before children: tag, parent, veto, kind of mark."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -65,6 +80,12 @@ class Page(HTMLParser):
         self.marks: list[int] = [0]
         self.topic: set[int] = set()
         self.open: list[int] = [0]
+        #: Places in the stack of open elements, last one last: by tag, and of what ends the search for a tag.
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.lists: list[int] = []
+        self.fences: list[int] = []
+        self.regions = 0
         self.silent = 0
         self.text: list[str] = []
         self.n_tags = 0
@@ -85,9 +106,9 @@ class Page(HTMLParser):
         if tag in BLOCK:
             self.flush()
             if tag in PLAIN_P:
-                self._close("p", BLOCK - {"p"})
+                self._close("p", self.blocks)
             elif tag == "li":
-                self._close("li", frozenset(("ul", "ol", "menu")))
+                self._close("li", self.lists)
         self.n_tags += 1
         if tag == "br":
             self.text.append(" ")
@@ -106,6 +127,17 @@ class Page(HTMLParser):
         if tag not in VOID and tag in ("svg", "math", "path"):
             self.handle_endtag(tag)
 
+    def _kept(self, tag: str) -> list[list[int]]:
+        """The lists of places that an open element of this tag is in."""
+        out = [self.places.setdefault(tag, [])]
+        if tag in BLOCK and tag != "p":
+            out.append(self.blocks)
+        if tag in LISTS:
+            out.append(self.lists)
+        if tag in FENCES:
+            out.append(self.fences)
+        return out
+
     def _push(self, tag: str, other: bool, mark: tuple[int, bool] = (0, False)) -> None:
         self.tags.append(tag)
         self.parent.append(self.open[-1])
@@ -113,16 +145,30 @@ class Page(HTMLParser):
         self.marks.append(mark[0])
         if mark[1]:
             self.topic.add(len(self.tags) - 1)
+        for places in self._kept(tag):
+            places.append(len(self.open))
+        self.regions += tag in REGION
         self.open.append(len(self.tags) - 1)
 
+    def _pop(self, k: int) -> None:
+        while len(self.open) > k:
+            tag = self.tags[self.open.pop()]
+            for places in self._kept(tag):
+                places.pop()
+            self.regions -= tag in REGION
+            self.silent -= tag in SILENT
+
+    def _close(self, tag: str, fences: list[int]) -> None:
+        """Ends the open element of this tag, and those in it, if no fence is inside it."""
+        places = self.places.get(tag)
+        if places and (not fences or fences[-1] <= places[-1]):
+            self._pop(places[-1])
+
     def _is_other(self, tag: str, attrs: list) -> bool:
-        if tag in OTHER:
-            return True
-        inside = any(self.tags[k] in REGION for k in self.open)
-        if tag == "header" and not inside:
+        if tag in OTHER or tag == "header" and not self.regions:
             return True
         for name, value in attrs:
-            if name in ("hidden",):
+            if name == "hidden":
                 return True
             if not value:
                 continue
@@ -137,10 +183,12 @@ class Page(HTMLParser):
         """The kind of mark of class and id, and whether it may be the topic of a text section of an article."""
         if tag in HEADINGS or tag in ("html", "body", "main"):
             return 0, False
+        if tag == "p":
+            return (WHOLE if any(name == "class" and value and not ADVERTS.isdisjoint(value.lower().split()) for name, value in attrs) else 0), False
         names = [x for name, value in attrs if name in ("class", "id") and value for x in value.lower().split()]
         if not names:
             return 0, False
-        inside = any(self.tags[k] in REGION for k in self.open)
+        inside = self.regions > 0
         whole, part = set(), False
         for x in names:
             words = [w for w in _SPLIT.split(x) if w]
@@ -155,36 +203,12 @@ class Page(HTMLParser):
             return (PART if whole & ASIDES else 0), False
         return (WHOLE if whole else PART if part else 0), inside and tag == "section" and not part and whole <= TOPICS
 
-    def _close(self, tag: str, fence: frozenset) -> None:
-        """Ends an open element, if no fence is between."""
-        for k in range(len(self.open) - 1, 0, -1):
-            name = self.tags[self.open[k]]
-            if name == tag:
-                self._pop(k)
-                return
-            if name in fence:
-                return
-
-    def _pop(self, k: int) -> None:
-        for at in self.open[k:]:
-            if self.tags[at] in SILENT:
-                self.silent -= 1
-        del self.open[k:]
-
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCK:
             self.flush()
         self.n_tags += 1
-        if tag in VOID:
-            return
-        fence = REGION | {"table", "body"} if tag not in REGION and tag not in ("body", "html", "table") else frozenset()
-        for k in range(len(self.open) - 1, 0, -1):
-            name = self.tags[self.open[k]]
-            if name == tag:
-                self._pop(k)
-                return
-            if name in fence:
-                return
+        if tag not in VOID:
+            self._close(tag, [] if tag in FENCES or tag == "html" else self.fences)
 
     def handle_data(self, data: str) -> None:
         if not self.silent:
@@ -214,6 +238,27 @@ def content_lines(lines: list[tuple[str, int]]) -> list[bool]:
     return [s >= cut for s in smooth]
 
 
+def _content(page: Page, lines: list[tuple[str, int, int]]) -> list[bool]:
+    """Which lines are content: by their ratios, a heading with the line under it; all, if none is."""
+    good = content_lines([(text, tags) for text, tags, _ in lines])
+    if not any(good):
+        return [True] * len(lines)
+    for i in range(len(lines) - 2, -1, -1):
+        if page.tags[lines[i][2]] in HEADINGS and good[i + 1]:
+            good[i] = True
+    return good
+
+
+def _held(page: Page, lines: list[tuple[str, int, int]], flags: list[bool]) -> list[int]:
+    """For each element the characters of its flagged lines."""
+    out = [0] * len(page.tags)
+    for (text, _, at), flag in zip(lines, flags, strict=True):
+        out[at] += flag * len(text)
+    for k in range(len(out) - 1, 0, -1):
+        out[page.parent[k]] += out[k]
+    return out
+
+
 def _outside(page: Page, gone: list[bool]) -> list[tuple[str, int, int]]:
     """The lines in no element that is gone; an element around a region that is not gone stays."""
     free = set()
@@ -229,29 +274,52 @@ def _outside(page: Page, gone: list[bool]) -> list[tuple[str, int, int]]:
     return [x for x in page.lines if not other[x[2]]]
 
 
-def marked(page: Page, lines: list[tuple[str, int, int]], path) -> list[int]:
-    """The elements that their marks exclude: those that don't hold most of the content of their region or, outside regions, of the page."""
-    good = content_lines([(text, tags) for text, tags, _ in lines])
-    if not any(good):
-        good = [True] * len(lines)
-    held: dict[int, int] = {}
-    size: dict[int, int] = {}
-    for (text, _, at), is_good in zip(lines, good, strict=True):
-        for k in path(at):
-            size[k] = size.get(k, 0) + len(text)
-            held[k] = held.get(k, 0) + is_good * len(text)
+def marked(page: Page, lines: list[tuple[str, int, int]]) -> list[int]:
+    """The elements that their marks exclude: those that don't hold most of the content of their region or of a page without regions, and those beside the regions of a page."""
+    held, size = _held(page, lines, _content(page, lines)), _held(page, lines, [True] * len(lines))
+    around = [0] * len(page.tags)
+    regions = [int(tag in REGION and n > 0 and kind == 0) for tag, n, kind in zip(page.tags, size, page.marks, strict=True)]
+    for k in range(1, len(page.tags)):
+        up = page.parent[k]
+        around[k] = up if page.tags[up] in REGION else around[up]
+    for k in range(len(page.tags) - 1, 0, -1):
+        regions[page.parent[k]] += regions[k]
     out = []
     for k, kind in enumerate(page.marks):
-        if not kind:
-            continue
-        if k in page.topic and 2 * held.get(k, 0) > size.get(k, 0):
-            continue
-        around = next((a for a in path(k)[1:] if page.tags[a] in REGION), 0)
-        if not held.get(k) or held[k] <= HOLDS[kind] * held[around]:
+        beside = regions[0] and not regions[k] and not around[k]
+        if kind and not (k in page.topic and 2 * held[k] > size[k]) and (beside or not held[k] or held[k] <= HOLDS[kind] * held[around[k]]):
             out.append(k)
     return out
 
 
+def veto(page: Page) -> tuple[list[bool], list[tuple[str, int, int]]]:
+    """Which elements are something other than content, and the lines outside them."""
+    text = _held(page, page.lines, [True] * len(page.lines))
+    # a form around most of a page is its wrapper
+    gone = [other and not (tag in WRAPPERS and 2 * n > text[0]) for other, tag, n in zip(page.other, page.tags, text, strict=True)]
+    lines = _outside(page, gone)
+    if any(page.marks):
+        for k in marked(page, lines):
+            gone[k] = True
+        lines = _outside(page, gone) or lines
+    return gone, lines
+
+
+def region(page: Page, gone: list[bool], lines: list[tuple[str, int, int]], good: list[bool]) -> int:
+    """The deepest container with MOST of the content, grown by those around it that add more content than other text."""
+    held, rest = _held(page, lines, good), _held(page, lines, [not x for x in good])
+    at = 0
+    for k in range(1, len(page.tags)):  # parents come first: of the containers with most of the content the last is the deepest
+        if page.tags[k] in CONTAINERS and held[k] >= MOST * held[0] and held[k]:
+            at = k
+    k = page.parent[at]
+    while k > 0 and page.tags[k] not in ROOTS and not gone[k] and page.marks[k] != WHOLE:
+        if held[k] > held[at] and held[k] - held[at] >= rest[k] - rest[at]:
+            at = k
+        k = page.parent[k]
+    return at
+
+
 def extract(html: str | None) -> str:
     """The main text: one line a block; empty for a null, an empty page or a page without content."""
     if not html:
@@ -259,40 +327,24 @@ def extract(html: str | None) -> str:
     page = Page()
     page.feed(html)
     page.close()
-    above: dict[int, list[int]] = {}
-
-    def path(at: int) -> list[int]:
-        if at not in above:
-            above[at] = [at, *(path(page.parent[at]) if page.parent[at] >= 0 else [])]
-        return above[at]
-
-    # an element around an article isn't something other than content
-    gone = [page.other[k] for k in range(len(page.tags))]
-    lines = _outside(page, gone)
-    if any(page.marks):
-        for k in marked(page, lines, path):
-            gone[k] = True
-        lines = _outside(page, gone) or lines
-    regions = [k for k, t in enumerate(page.tags) if t in REGION and not gone[k]]
-    good = content_lines([(text, tags) for text, tags, _ in lines])
-    if not any(good):
-        good = [True] * len(lines)
-    weight: dict[int, int] = {}
-    for (text, _, at), is_good in zip(lines, good, strict=True):
-        for k in path(at) if is_good else ():
-            weight[k] = weight.get(k, 0) + len(text)
-    inner = {k for k in regions if weight.get(k)}
-    if not inner and regions:
-        held = [k for k in regions if any(k in path(at) for _, _, at in lines)]
-        inner = set(held[:1])
-    if not inner and weight:
-        # the deepest element with most of the content
-        inner = {max((k for k, w in weight.items() if w >= MOST * weight[0] and (page.tags[k] in BLOCK or k == 0) and page.tags[k] != "p"), key=lambda k: (len(path(k)), -k))}
-    return "\n".join(text for text, _, at in lines if not inner.isdisjoint(path(at)))
+    gone, lines = veto(page)
+    good = _content(page, lines)
+    at = region(page, gone, lines, good)
+    held = _held(page, lines, good)
+    whole = page.tags[at] in ROOTS
+    inside = [False] * len(page.tags)
+    for k in range(at, len(page.tags)):
+        inside[k] = k == at or k > 0 and inside[page.parent[k]] and not (whole and not held[k] and page.tags[k] in PARTS)
+    return "\n".join(text for text, _, k in lines if inside[k])
 
 
 def with_main_text(pages: DataFrame, html: str = "html", name: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """pages with the main text of each page's whole html; a column of that name is replaced."""
+    """pages with the main text of each page's whole html; a column of that name, in any case, is replaced.
+
+    A null or empty page, and one without text outside vetoed elements, has the empty text. Equal pages have equal texts; rows are
+    judged each for itself, so repeated rows and ids stay. A page of any length or depth takes time in proportion to its length. An
+    empty table gives an empty result. Other columns stay as they are.
+    """
 
     def texts(column: pa.Array) -> dict[str, pa.Array]:
         return {name: pa.array([extract(x.as_py()) for x in column], pa.string())}
