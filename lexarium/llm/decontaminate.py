@@ -4,15 +4,17 @@ Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z lower-c
 benchmark item; an item of fewer words, but not none, is one window. Window hashes of a document are looked up in the set, each
 hit is verified word by word, and the words of all occurrences are the hit spans.
 
-The set is broadcast in blocks of at most ``block_bytes`` of item text: one pass over the documents for each block, so a larger
-benchmark takes more passes and never a larger broadcast. (A single item beyond the bound is a block of its own.)
+The set is arrays: the items' words in one buffer, and for each window its hash, in order, and its first word. It takes under five
+bytes for each byte of item text (``Grams.nbytes``). It is broadcast in blocks of at most ``block_bytes`` of item text, so a larger
+benchmark takes more scans and never a larger broadcast; then the documents are written once with a row number, each scan gives the
+rows that it hits, and these are joined by that number. (A single item beyond the bound is a block of its own.)
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections import defaultdict
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -24,45 +26,94 @@ from .common import ALNUM, LOWER, attach, fresh, prefix_hash, span_hash, staged,
 
 N = 13
 #: Most bytes of item text in one broadcast.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 128 << 20
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 SPANS = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("hit_spans", T.ArrayType(T.LongType())), T.StructField("items", T.ArrayType(T.StringType()))])
 
 
-def _words(text: str | None) -> list[bytes]:
-    return WORD.findall((text or "").encode().lower())
-
-
 class Grams:
-    """The windows of some items: by length, a bit table over hash prefixes, and by hash the words and items of each window."""
-
-    def __init__(self, items: list[tuple[str, str | None]], n: int):
-        self.by_hash: dict[tuple[int, int], dict[bytes, list[str]]] = defaultdict(lambda: defaultdict(list))
-        lengths = defaultdict(set)
-        for item, text in items:
-            words = _words(text)
-            size = min(n, len(words))
-            for i in range(len(words) - size + 1 if size else 0):
-                own = words[i : i + size]
-                owners = self.by_hash[(size, h := _hash(own))][b" ".join(own)]
-                lengths[size].add(h)
-                if item not in owners:
-                    owners.append(item)
-        self.by_hash = {k: dict(v) for k, v in self.by_hash.items()}
-        self.bits = {}
-        for size, hashes in lengths.items():
-            width = min(24, max(16, (16 * len(hashes)).bit_length()))
-            table = np.zeros(1 << width, bool)
-            table[np.fromiter(hashes, np.uint64) >> np.uint64(64 - width)] = True
-            self.bits[size] = (width, table)
-
-
-def _hash(words: list[bytes]) -> int:
-    joined = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    h = span_hash(prefix_hash(np.frombuffer(joined, np.uint8)), np.r_[0, ends[:-1] + 1], ends)
-    return int(window_hash(h, len(words))[0])
+    """The windows of some items (name, text): by length, a bit table over hash prefixes, the sorted hashes, and each one's first word in ``buf``."""
+
+    def __init__(self, items: Iterable[tuple[str, str | None]], n: int):
+        self.names: list[str] = []
+        bufs, sizes, firsts, found = [], [np.zeros(1, np.uint32)], [], {}
+        total = 0
+        for names, texts in _batches(items):
+            self.names += names
+            for _, _, raw, offs in text_blocks(pa.array(texts, pa.string())):
+                low = LOWER[raw]
+                s, e, first = word_spans(low, offs, ALNUM)
+                bufs.append(_spaced(low, s, e))
+                sizes.append((e - s + 1).astype(np.uint32))
+                firsts.append(first[:-1] + total)
+                h, count = span_hash(prefix_hash(low), s, e), np.diff(first)
+                for size in np.unique(np.minimum(count, n)):
+                    if size:
+                        own = np.repeat(count if size == n else np.where(count == size, count, 0), count)
+                        at = np.arange(len(s)) - np.repeat(first[:-1], count)
+                        at = np.flatnonzero((own >= size) & (at + size <= own))
+                        found.setdefault(int(size), []).append((window_hash(h, size)[at], (at + total).astype(np.uint32)))
+                total += len(s)
+        self.buf = np.concatenate(bufs) if bufs else np.empty(0, np.uint8)
+        self.start = np.cumsum(np.concatenate(sizes), dtype=np.uint32 if len(self.buf) < 1 << 32 else np.uint64)
+        self.first = np.concatenate(firsts).astype(np.uint32) if firsts else np.empty(0, np.uint32)
+        self.by_size: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.bits: dict[int, tuple[int, np.ndarray]] = {}
+        for size, parts in sorted(found.items()):
+            h, at = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.argsort(h, kind="stable")
+            self.by_size[size] = h[order], at[order]
+            width = min(30, max(13, (8 * len(h)).bit_length()))
+            table = np.zeros(1 << (width - 3), np.uint8)
+            prefix = h >> np.uint64(64 - width)
+            np.bitwise_or.at(table, prefix >> np.uint64(3), np.uint8(1) << (prefix & np.uint64(7)).astype(np.uint8))
+            self.bits[size] = width, table
+
+    @property
+    def nbytes(self) -> int:
+        own = [self.buf, self.start, self.first, *(x for pair in self.by_size.values() for x in pair), *(t for _, t in self.bits.values())]
+        return sum(x.nbytes for x in own) + sum(map(len, self.names))
+
+    def may_have(self, size: int, hashes: np.ndarray) -> np.ndarray:
+        """The places of the hashes whose bit is set."""
+        width, table = self.bits[size]
+        prefix = hashes >> np.uint64(64 - width)
+        return np.flatnonzero(table[prefix >> np.uint64(3)] >> (prefix & np.uint64(7)).astype(np.uint8) & 1)
+
+    def owners(self, size: int, h: np.uint64, words: bytes) -> set[str]:
+        """The items with a window of these words, each followed by a space."""
+        hashes, at = self.by_size[size]
+        out = set()
+        for k in range(int(np.searchsorted(hashes, h)), int(np.searchsorted(hashes, h, side="right"))):
+            w = int(at[k])
+            if self.buf[int(self.start[w]) : int(self.start[w + size])].tobytes() == words:
+                out.add(self.names[int(np.searchsorted(self.first, w, side="right")) - 1])
+        return out
+
+
+def _batches(items: Iterable[tuple[str, str | None]], size: int = 4 << 20) -> Iterable[tuple[list[str], list[str]]]:
+    names, texts, total = [], [], 0
+    for name, text in items:
+        names.append(name)
+        texts.append(text or "")
+        total += len(texts[-1])
+        if total >= size:
+            yield names, texts
+            names, texts, total = [], [], 0
+    if names:
+        yield names, texts
+
+
+def _spaced(low: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """The words, each followed by one space."""
+    size = e - s
+    ends = np.cumsum(size + 1)
+    out = np.full(int(ends[-1]) if len(ends) else 0, 0x20, np.uint8)
+    shift = ends - size - 1 - s
+    at = np.arange(int(size.sum())) + np.repeat(s - np.cumsum(size) + size, size)
+    out[at + np.repeat(shift, size)] = low[at]
+    return out
 
 
 def scan(column: pa.Array, grams: Grams) -> dict[str, pa.Array]:
@@ -76,13 +127,12 @@ def scan(column: pa.Array, grams: Grams) -> dict[str, pa.Array]:
         if len(s):
             h = span_hash(prefix_hash(low), s, e)
             last = np.repeat(first[1:], np.diff(first))  # for each word the first word of the next text
-            for size, (width, table) in grams.bits.items():
+            for size in grams.bits:
                 w = window_hash(h, size)
-                at = np.flatnonzero(table[w >> np.uint64(64 - width)])
+                at = grams.may_have(size, w)
                 at = at[at + size <= last[at]]
                 for k in at.tolist():
-                    own = grams.by_hash.get((size, int(w[k])))
-                    if own and (owners := own.get(b" ".join(low[s[x] : e[x]].tobytes() for x in range(k, k + size)))):
+                    if owners := grams.owners(size, w[k], b"".join(low[s[x] : e[x]].tobytes() + b" " for x in range(k, k + size))):
                         d = int(np.searchsorted(first, k, side="right")) - 1
                         got = found.setdefault(d, [[], set()])
                         got[0].append((k - int(first[d]), k - int(first[d]) + size))
@@ -107,41 +157,44 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     """The columns ``keep`` of docs (None: all) with n_words, hit_spans (word spans: start, end, start, ...) and items (sorted).
 
     A null or empty text has no words and no hits; a null item id reads ``null``; repeated rows are judged each for itself; an
-    empty benchmark hits nothing. Columns of docs named like the results are replaced.
+    empty benchmark hits nothing, and an empty table gives none. Columns of docs named like the results are replaced.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("i"), F.col(item_text).alias("t"))
     total = items.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
     n_blocks = max(1, -(-total // block_bytes))
-    (state,) = fresh(docs, "found")
-    cur, keep = docs, docs.columns if keep is None else keep
-    for b in range(n_blocks):
+    keep = docs.columns if keep is None else keep
+
+    def block(b: int):
         part = items if n_blocks == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n_blocks)) == b)
-        shared = spark.sparkContext.broadcast(Grams([(r["i"], r["t"]) for r in part.toLocalIterator()], n))
-        if n_blocks == 1:
-            return attach(cur, text, lambda c, g=shared: scan(c, g.value), SPANS, keep)
-        names = [*docs.columns] + ([state] if b else [])
-        cur = attach(cur.select(*(F.col(f"`{c}`") for c in names)), text, lambda c, g=shared: _packed(scan(c, g.value)), T.StructType([T.StructField("packed", SPANS)]))
-        one = F.struct(F.col("packed.n_words"), F.col("packed.hit_spans"), F.col("packed.items"))
-        both = one if not b else F.struct(F.col("packed.n_words"), F.concat(F.col(f"{state}.hit_spans"), F.col("packed.hit_spans")).alias("hit_spans"), F.array_union(F.col(f"{state}.items"), F.col("packed.items")).alias("items"))
-        cur = staged(cur.withColumn(state, both).select(*(F.col(f"`{c}`") for c in docs.columns), state), "decontaminate")
+        return spark.sparkContext.broadcast(Grams(((r["i"], r["t"]) for r in part.toLocalIterator()), n))
+
+    if n_blocks == 1:
+        shared = block(0)
+        return attach(docs, text, lambda c: scan(c, shared.value), SPANS, keep)
+    stay = [c for c in keep if c.lower() not in SPANS.names]
+    row, own = fresh(docs, "row", "scanned")
+    rows = docs.select(*(F.col(f"`{c}`") for c in stay), F.col(f"`{text}`").alias(own), F.monotonically_increasing_id().alias(row))
+    rows = staged(attach(rows, own, lambda c: {"n_words": _count_words(c)}, T.StructType([SPANS["n_words"]])), "decontaminate-rows")
+    hits = None
+    for b in range(n_blocks):
+        shared = block(b)
+        one = staged(attach(rows.select(row, own), own, lambda c, g=shared: scan(c, g.value), SPANS, [row]).where(F.size("items") > 0).drop("n_words"), "decontaminate-hits")
         shared.destroy()
-    stay = [c for c in keep if c not in ("n_words", "hit_spans", "items")]
-    return cur.select(*(F.col(f"`{c}`") for c in stay), F.col(f"{state}.n_words").alias("n_words"), merged(f"{state}.hit_spans").alias("hit_spans"), F.array_sort(F.col(f"{state}.items")).alias("items"))
+        hits = one if hits is None else hits.unionByName(one)
+    per_row = hits.groupBy(row).agg(F.flatten(F.collect_list("hit_spans")).alias("hit_spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))  # no more than the words of a text and the items
+    per_row = attach(per_row, "hit_spans", _merged, T.StructType([SPANS["hit_spans"]]))
+    none = lambda c: F.coalesce(F.col(c), F.array().cast(SPANS[c].dataType)).alias(c)
+    return rows.join(per_row, row, "left").select(*(F.col(f"`{c}`") for c in stay), "n_words", none("hit_spans"), none("items"))
 
 
-def _packed(made: dict[str, pa.Array]) -> dict[str, pa.Array]:
-    return {"packed": pa.StructArray.from_arrays([made[f.name] for f in SPANS], names=SPANS.names)}
+def _count_words(column: pa.Array) -> pa.Array:
+    counts = [np.diff(word_spans(LOWER[buf], offs, ALNUM)[2]) for _, _, buf, offs in text_blocks(column)]
+    return pa.array(np.concatenate(counts) if counts else [], pa.int64())
 
 
-def merged(flat: str) -> Column:
-    """Flat spans, in any order, as sorted flat spans that neither overlap nor touch."""
-    return F.expr(f"""aggregate(
-        array_sort(filter(transform({flat}, (x, i) -> if(i % 2 = 0, struct(x AS a, try_element_at({flat}, i + 2) AS b), NULL)), p -> p IS NOT NULL)),
-        cast(array() AS array<bigint>),
-        (acc, p) -> if(size(acc) > 0 AND p.a <= try_element_at(acc, -1),
-                       concat(slice(acc, 1, size(acc) - 1), array(greatest(try_element_at(acc, -1), p.b))),
-                       concat(acc, array(p.a, p.b))))""")
+def _merged(column: pa.Array) -> dict[str, pa.Array]:
+    return {"hit_spans": pa.array([_merge(list(zip(x[::2], x[1::2], strict=True))) for x in column.to_pylist()], pa.list_(pa.int64()))}
 
 
 def hit_words(spans: str = "hit_spans") -> Column:
