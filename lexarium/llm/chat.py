@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 @dataclass(frozen=True)
@@ -37,9 +38,14 @@ class Template:
         return re.compile("|".join(map(re.escape, self.controls)))
 
 
-SEGMENT = T.StructType(
-    [T.StructField("conv_id", T.LongType()), T.StructField("turn_no", T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("text", T.StringType()), T.StructField("loss", T.BooleanType()), T.StructField("valid", T.BooleanType())]
-)
+SEGMENT = "turn_no long, part int, text string, loss boolean, valid boolean"
+DIGEST = "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean"
+
+
+def _typed(conv_id: T.DataType, rest: str) -> tuple[T.StructType, pa.Schema]:
+    """conv_id, of its own type, and the rest."""
+    kind = T.StructType([T.StructField("conv_id", conv_id), *T._parse_datatype_string(rest)])
+    return kind, to_arrow_schema(kind)
 
 
 def escape(text: str, controls: re.Pattern) -> str:
@@ -108,21 +114,20 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 4096, most: i
 def format_chats(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", template: Template | None = None) -> DataFrame:
     """The segments of all conversations, each conversation's together and in order within a partition.
 
-    Rows of a conversation are ordered by turn, then role and text; a null turn comes first. A null text or role is empty; rows
-    with a null conversation id are one conversation. Other columns play no part.
+    conv_id is of any type that has an order. Rows of a conversation are ordered by turn, then role and text, so equal rows are
+    interchangeable; a null turn comes first. A null text or role is empty; rows with a null conversation id are one conversation.
+    Other columns, whatever their names, play no part; an empty table gives no segments. The turns of one conversation are sorted
+    in one task, which spills; after that a task holds one turn at a time.
     """
     template = template or Template()
-    rows = turns.select(F.col(conv_id).cast("long").alias("c"), F.col(turn).alias("n"), F.col(role).alias("r"), F.col(text).alias("t")).repartition("c").sortWithinPartitions("c", "n", "r", "t").select("c", "r", "t")
-    schema = pa.schema([("conv_id", pa.int64()), ("turn_no", pa.int64()), ("part", pa.int32()), ("text", pa.string()), ("loss", pa.bool_()), ("valid", pa.bool_())])
+    rows = turns.select(F.col(f"`{conv_id}`").alias("c"), F.col(turn).alias("n"), F.col(role).alias("r"), F.col(text).alias("t")).repartition("c").sortWithinPartitions("c", "n", "r", "t").select("c", "r", "t")
+    kind, schema = _typed(rows.schema["c"].dataType, SEGMENT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         each = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns), strict=True))
         yield from _batches(segments(each, template), schema)
 
-    return rows.mapInArrow(run, SEGMENT)
-
-
-DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean"
+    return rows.mapInArrow(run, kind)
 
 
 def digests(formatted: DataFrame, template: Template | None = None) -> DataFrame:
@@ -132,7 +137,7 @@ def digests(formatted: DataFrame, template: Template | None = None) -> DataFrame
     """
     template = template or Template()
     opens = {pair[0]: role for role, pair in template.roles.items()}
-    schema = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("valid", pa.bool_())])
+    kind, schema = _typed(formatted.schema["conv_id"].dataType, DIGEST)
 
     def read(rows: Iterator[tuple]) -> Iterator[tuple]:
         held: list = []  # conv, turns, hash, loss chars, loss hash, chars, valid
@@ -161,4 +166,4 @@ def digests(formatted: DataFrame, template: Template | None = None) -> DataFrame
         each = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns), strict=True))
         yield from _batches(read(each), schema)
 
-    return formatted.mapInArrow(run, DIGEST)
+    return formatted.mapInArrow(run, kind)

@@ -31,9 +31,14 @@ def tokens(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def order_key(purpose: str, seed: str, epoch: str, doc_id: str) -> Column:
-    """32 hex digits, uniform and independent for each purpose and epoch."""
-    return F.expr(f"md5(concat('{seed}|{purpose}|', cast({epoch} AS string), '|', coalesce(cast({doc_id} AS string), '')))")
+def digest(text: str) -> Column:
+    """32 hex digits of the text; those of the empty text for a null."""
+    return F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary"))
+
+
+def order_key(purpose: str, seed: str, epoch: str, doc_id: str, digest: str) -> Column:
+    """32 hex digits, uniform and independent for each purpose and epoch, of id and text: rows that share an id are spread too."""
+    return F.expr(f"md5(concat('{seed}|{purpose}|', cast({epoch} AS string), '|', coalesce(cast({doc_id} AS string), ''), '|', {digest}))")
 
 
 def _digits(n: Column) -> Column:
@@ -76,7 +81,7 @@ def exponent(sources: DataFrame, max_repeats: float | None = MAX_REPEATS, entrop
 
 
 def plan(counted: DataFrame, seed: str = SEED, max_repeats: float | None = MAX_REPEATS, entropy: float | None = None, budget: int | None = None) -> DataFrame:
-    """For each source of counted (doc_id, source, n_tokens): weight, whole passes and the cut of the last, partial one."""
+    """For each source of counted (doc_id, source, n_tokens, digest): weight, whole passes and the cut of the last, partial one."""
     sources = staged(counted.groupBy("source").agg(F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("n_docs")), "mixing-sources")
     power = exponent(sources, max_repeats, entropy, budget)
     top, z = sources.where("n_tokens > 0").agg(F.max("n_tokens"), F.sum(F.pow(F.col("n_tokens").cast("double"), F.lit(power)))).first()
@@ -92,7 +97,7 @@ def plan(counted: DataFrame, seed: str = SEED, max_repeats: float | None = MAX_R
     out = staged(out.select("source", "weight", F.when(some_size(), F.expr("wanted div size")).otherwise(F.lit(1)).alias("passes"), F.when(some_size(), F.col("wanted") % F.col("size")).otherwise(F.lit(0)).alias("rest"), _digits(F.col("n_docs")).alias("digits")), "mixing-plan")
     # tokens by block of the partial pass, then inside the block where the budget ends
     own = out.withColumnRenamed("source", "own")
-    last = counted.join(own, F.col("source").eqNullSafe(F.col("own"))).where("rest > 0").select("own", "n_tokens", "rest", order_key("pick", seed, "passes", "doc_id").alias("h"), "digits")
+    last = counted.join(own, F.col("source").eqNullSafe(F.col("own"))).where("rest > 0").select("own", "n_tokens", "rest", order_key("pick", seed, "passes", "doc_id", "digest").alias("h"), "digits")
     last = last.withColumn("block", F.substring("h", F.lit(1), F.col("digits")))
     sums = last.groupBy("own", "block").agg(F.sum("n_tokens").alias("n"), F.first("rest").alias("rest"))
     upto = Window.partitionBy("own").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
@@ -110,19 +115,19 @@ def some_size() -> Column:
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: str = SEED, max_repeats: float | None = MAX_REPEATS, entropy: float | None = None, budget: int | None = None, n_tokens: str = "n_tokens", epoch: str = "epoch", mix_key: str = "mix_key") -> DataFrame:
     """docs, each row as often as its source's budget says, with epoch int, n_tokens long and mix_key string: the mix is the order by mix_key.
 
-    A null source is a source; sources without tokens pass once; rows that repeat an id are chosen together; an empty table gives
-    none. The names of the new columns are parameters; columns of docs that have them are replaced.
+    A null source is a source; sources without tokens, as of null and empty texts, pass once; rows that repeat id and text are
+    chosen together, others of one id, or of a null one, each for itself; an empty table gives none. The names of the new columns are parameters; columns of docs that have them are replaced.
     """
     stay = [c for c in docs.columns if c.lower() not in (epoch.lower(), mix_key.lower(), n_tokens.lower())]
-    counted = staged(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), tokens(text).alias("n_tokens")), "mixing-counts")
+    counted = staged(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), tokens(text).alias("n_tokens"), digest(text).alias("digest")), "mixing-counts")
     per_source = plan(counted, seed, max_repeats, entropy, budget)
-    k1, k2, k3, k4 = fresh(docs, "plan_source", "plan_passes", "plan_cut", "plan_weight")
+    k1, k2, k3, k4, k5 = fresh(docs, "plan_source", "plan_passes", "plan_cut", "plan_times", "text_digest")
     per_source = per_source.select(F.col("source").alias(k1), F.col("passes").cast("int").alias(k2), F.col("cut").alias(k3))
-    rows = docs.join(per_source, F.col(f"`{source}`").eqNullSafe(F.col(k1)))
-    times = F.col(k2) + F.when(order_key("pick", seed, f"`{k2}`", f"`{doc_id}`") <= F.col(k3), 1).otherwise(0)
+    rows = docs.withColumn(k5, digest(text)).join(per_source, F.col(f"`{source}`").eqNullSafe(F.col(k1)))
+    times = F.col(k2) + F.when(order_key("pick", seed, f"`{k2}`", f"`{doc_id}`", f"`{k5}`") <= F.col(k3), 1).otherwise(0)
     rows = rows.withColumn(k4, times).where(F.col(k4) > 0)
-    rows = rows.select(*(F.col(f"`{c}`") for c in stay), tokens(text).alias(n_tokens), F.explode(F.sequence(F.lit(0), F.col(k4) - 1)).alias(epoch))
-    return rows.withColumn(mix_key, order_key("mix", seed, f"`{epoch}`", f"`{doc_id}`"))
+    rows = rows.select(*(F.col(f"`{c}`") for c in stay), tokens(text).alias(n_tokens), F.col(k5), F.explode(F.sequence(F.lit(0), F.col(k4) - 1)).alias(epoch))
+    return rows.withColumn(mix_key, order_key("mix", seed, f"`{epoch}`", f"`{doc_id}`", f"`{k5}`")).drop(k5)
 
 
 def in_blocks(mixed: DataFrame, doc_id: str = "doc_id", block_docs: int = BLOCK_DOCS) -> DataFrame:

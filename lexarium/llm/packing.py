@@ -16,8 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-
-from .common import id_as_long
+from pyspark.sql.pandas.types import to_arrow_type
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -26,16 +25,19 @@ BLOCK_TOKENS = 1 << 21
 #: Most bytes of a vocabulary file, which is broadcast.
 VOCABULARY_BYTES = 64 << 20
 
-PACKED = T.StructType(
-    [
-        T.StructField("n_tokens", T.IntegerType()),
-        T.StructField("doc_ids", T.ArrayType(T.LongType())),
-        T.StructField("starts", T.ArrayType(T.IntegerType())),
-        T.StructField("cu_seqlens", T.ArrayType(T.IntegerType())),
-        T.StructField("input_ids", T.BinaryType()),
-        T.StructField("position_ids", T.BinaryType()),
-    ]
-)
+
+
+def packed_type(doc_id: T.DataType) -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField("n_tokens", T.IntegerType()),
+            T.StructField("doc_ids", T.ArrayType(doc_id)),
+            T.StructField("starts", T.ArrayType(T.IntegerType())),
+            T.StructField("cu_seqlens", T.ArrayType(T.IntegerType())),
+            T.StructField("input_ids", T.BinaryType()),
+            T.StructField("position_ids", T.BinaryType()),
+        ]
+    )
 
 
 class Capacities:
@@ -98,9 +100,9 @@ def encoder(vocabulary: bytes):
     return tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def _rows(block: list[tuple[int, np.ndarray]], length: int, pad: int, kind: np.dtype) -> pa.RecordBatch:
+def _rows(block: list[tuple], length: int, pad: int, kind: np.dtype, schema: T.StructType) -> pa.RecordBatch:
     pieces = [(doc, at, ids[at : at + length]) for doc, ids in block for at in range(0, len(ids), length)]
-    columns: list[list] = [[] for _ in PACKED]
+    columns: list[list] = [[] for _ in schema]
     for row in best_fit([len(p[2]) for p in pieces], length):
         own = [pieces[k] for k in row]
         sizes = [len(p[2]) for p in own]
@@ -111,8 +113,7 @@ def _rows(block: list[tuple[int, np.ndarray]], length: int, pad: int, kind: np.d
         positions[:n] = np.concatenate([np.arange(s) for s in sizes])
         for column, v in zip(columns, (n, [p[0] for p in own], [p[1] for p in own], np.concatenate(([0], np.cumsum(sizes))).tolist(), ids.tobytes(), positions.tobytes()), strict=True):
             column.append(v)
-    kinds = (pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=PACKED.names)
+    return pa.RecordBatch.from_arrays([pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(columns, schema, strict=True)], names=schema.names)
 
 
 def id_type(vocabulary_size: int, length: int) -> np.dtype:
@@ -124,14 +125,15 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary
     """Packed rows: n_tokens, doc_ids and starts (each segment's document and first id in it), cu_seqlens, input_ids and position_ids.
 
     The ids of a document, segments in order of their starts, are exactly those of its whole text. Null and empty texts have no
-    ids and no segments. A null id reads as the smallest long; rows that repeat an id have segments each. input_ids and
-    position_ids are little-endian integers (``id_type``), padded with ``pad`` and zero to ``length``.
+    ids and no segments; a very long text is cut like any other. doc_ids has the rows' own ids, of whatever type, null or not; rows
+    that repeat an id have segments each. Other columns play no part; an empty table gives no rows. input_ids and position_ids are little-endian integers (``id_type``), padded with ``pad`` and zero to ``length``.
     """
     with open(vocabulary, "rb") as f:
         raw = f.read(VOCABULARY_BYTES + 1)
     if len(raw) > VOCABULARY_BYTES:
         raise ValueError(f"{vocabulary} is larger than {VOCABULARY_BYTES} bytes")
     kind = id_type(max(pad, raw.count(b"\n")), length)
+    schema = packed_type(docs.schema[doc_id].dataType)
     shared = docs.sparkSession.sparkContext.broadcast(raw)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,9 +145,9 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary
                     block.append((doc, np.array(ids, kind)))
                     total += len(ids)
                 if total >= block_tokens:
-                    yield _rows(block, length, pad, kind)
+                    yield _rows(block, length, pad, kind, schema)
                     block, total = [], 0
         if block:
-            yield _rows(block, length, pad, kind)
+            yield _rows(block, length, pad, kind, schema)
 
-    return docs.select(id_as_long(docs, doc_id).alias("id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, PACKED)
+    return docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, schema)

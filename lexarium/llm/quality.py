@@ -3,8 +3,14 @@
 Counts of each text come from one vectorised pass over its bytes. Each rule is a rate in thousandths. Its quantile sketch is a
 log-linear histogram of integers (``BITS`` leading bits are kept, so a value is known within one part in ``1 << (BITS - 1)``):
 adding two sketches adds their counts, so partial sketches of a group merge in any order to the same result. A (language, source)
-group sets its own fences, the quartiles moved out by ``FENCE`` interquartile ranges and the rule's slack; a group of fewer than
-``MIN_GROUP`` texts takes those of its language, and a small language those of the whole, each merged from the same sketches.
+group sets its own fences; a group of fewer than ``MIN_GROUP`` texts takes those of its language, and a small language those of the
+whole, each merged from the same sketches.
+
+No fence has a fixed part. It is a quantile of the group moved out by ``FENCE`` times its distance to a lower quantile. Word length
+and symbols take the median and the lower quartile, which junk in up to half of a group doesn't reach; so does the low fence of word
+length. Repeated lines and windows are rare and uneven in good texts, so they take the 99th part and the median, and no group's
+fence is above its language's. A text is beyond a fence if its count is, by more than ``NOISE`` deviations of a count of that mean:
+a short text needs more to be beyond than a long one.
 """
 
 from __future__ import annotations
@@ -23,13 +29,13 @@ COUNTS_TYPE = T.StructType([T.StructField(c, T.LongType()) for c in COUNTS])
 #: Leading bits of a value that a sketch keeps.
 BITS = 7
 MIN_GROUP = 200
-FENCE = 3
-#: Rule: numerator, denominator, slack in thousandths, and whether low values fail too.
+FENCE, NOISE = 3, 4
+#: Rule: numerator, denominator, the quantile and the lower one in hundredths, and whether low values fail too.
 RULES = {
-    "word_length": ("word_chars", "n_words", 1000, True),
-    "symbols": ("n_symbols", "n_words", 100, False),
-    "dup_lines": ("n_dup_lines", "n_lines", 400, False),
-    "repeats": ("n_repeat_words", "n_words", 300, False),
+    "word_length": ("word_chars", "n_words", 50, 25, True),
+    "symbols": ("n_symbols", "n_words", 50, 25, False),
+    "dup_lines": ("n_dup_lines", "n_lines", 99, 50, False),
+    "repeats": ("n_repeat_words", "n_words", 99, 50, False),
 }
 
 _SYMBOL = np.zeros(256, bool)
@@ -107,7 +113,7 @@ def base_failed() -> Column:
 
 def rate(rule: str) -> Column:
     """The rule's rate in whole thousandths; zero where the denominator is."""
-    above, below, _, _ = RULES[rule]
+    above, below, *_ = RULES[rule]
     return F.expr(f"if({below} = 0, 0L, 1000 * {above} div {below})")
 
 
@@ -125,46 +131,67 @@ def sketches(counted: DataFrame, lang: str, source: str) -> DataFrame:
 
 
 def quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """For each of keys and rule: the number of texts and the quartiles of the merged sketches, q1 and q3."""
+    """For each of keys and rule: the number of texts, and the fences low and high of the merged sketches, in thousandths."""
     merged = sketch.groupBy(*keys, "rule", "value").agg(F.sum("n").alias("n"))
     cells = merged.groupBy(*keys, "rule").agg(F.array_sort(F.collect_list(F.struct("value", "n"))).alias("cells"), F.sum("n").alias("total"))  # at most 64 * 2**6 cells
-    at = lambda share: F.expr(f"aggregate(cells, struct(0L AS seen, cast(NULL AS bigint) AS at), (acc, c) -> struct(acc.seen + c.n AS seen, coalesce(acc.at, if((acc.seen + c.n) * 4 >= total * {share}, c.value, NULL)) AS at), acc -> acc.at)")
-    return cells.select(*keys, "rule", "total", at(1).alias("q1"), at(3).alias("q3"))
+    at = lambda share: F.expr(f"aggregate(cells, struct(0L AS seen, cast(NULL AS bigint) AS at), (acc, c) -> struct(acc.seen + c.n AS seen, coalesce(acc.at, if((acc.seen + c.n) * 100 >= total * {share}, c.value, NULL)) AS at), acc -> acc.at)")
+    pick = lambda k: F.coalesce(*(F.when(F.col("rule") == r, at(v[k])) for r, v in RULES.items()))
+    known = cells.select(*keys, "rule", "total", pick(2).alias("most"), pick(3).alias("base"), at(50).alias("middle"), at(25).alias("lower"))
+    # rates are whole thousandths, so the true one is less than one more
+    return known.select(*keys, "rule", "total", (F.col("middle") - FENCE * (F.col("middle") - F.col("lower"))).alias("low"), (F.col("most") + FENCE * (F.col("most") - F.col("base")) + 1).alias("high"))
 
 
-def fences(counted: DataFrame, lang: str = "lang", source: str = "source", min_group: int = MIN_GROUP, fence: int = FENCE) -> DataFrame:
+def fences(counted: DataFrame, lang: str = "lang", source: str = "source", min_group: int = MIN_GROUP) -> DataFrame:
     """(lang, source) with low_<rule> and high_<rule>, in thousandths."""
     sketch = staged(sketches(counted, lang, source), "quality-sketches")
     # a rule's name is a key at every level; the whole has none else
     fine, mid, whole = quantiles(sketch, ["lang", "source"]), quantiles(sketch, ["lang"]), quantiles(sketch, [])
-    fine, mid, whole = (x.select(*keys, "rule", *(F.col(c).alias(f"{c}_{k}") for c in ("total", "q1", "q3"))) for x, keys, k in ((fine, ["lang", "source"], 0), (mid, ["lang"], 1), (whole, [], 2)))
+    fine, mid, whole = (x.select(*keys, "rule", *(F.col(c).alias(f"{c}_{k}") for c in ("total", "low", "high"))) for x, keys, k in ((fine, ["lang", "source"], 0), (mid, ["lang"], 1), (whole, [], 2)))
     mid = mid.withColumnsRenamed({"lang": "lang_1", "rule": "rule_1"})
     both = fine.join(mid, F.col("lang").eqNullSafe(F.col("lang_1")) & (F.col("rule") == F.col("rule_1"))).drop("lang_1", "rule_1").join(whole, "rule")
-    pick = lambda c: F.when(F.col("total_0") >= min_group, F.col(f"{c}_0")).when(F.col("total_1") >= min_group, F.col(f"{c}_1")).otherwise(F.col(f"{c}_2"))
-    slack = F.create_map(*(x for r, v in RULES.items() for x in (F.lit(r), F.lit(v[2]))))[F.col("rule")]
-    both = both.select("lang", "source", "rule", pick("q1").alias("q1"), pick("q3").alias("q3"), slack.alias("slack"))
-    both = both.withColumn("low", F.col("q1") - fence * (F.col("q3") - F.col("q1")) - F.col("slack")).withColumn("high", F.col("q3") + fence * (F.col("q3") - F.col("q1")) + F.col("slack"))
+    wide = lambda c: F.when(F.col("total_1") >= min_group, F.col(f"{c}_1")).otherwise(F.col(f"{c}_2"))
+    own = lambda c: F.when(F.col("total_0") >= min_group, F.col(f"{c}_0")).otherwise(wide(c))
+    tails = [r for r, v in RULES.items() if v[2] > 50]
+    both = both.select("lang", "source", "rule", own("low").alias("low"), F.when(F.col("rule").isin(tails), F.least(own("high"), wide("high"))).otherwise(own("high")).alias("high"))
     return both.groupBy("lang", "source").agg(*(F.max(F.when(F.col("rule") == r, F.col(c))).alias(f"{c}_{r}") for r in RULES for c in ("low", "high")))
 
 
-def judge(counted: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """counted with base_failed and kept: neither base_failed nor beyond a fence of its group."""
+def beyond(rule: str) -> Column:
+    """Whether the rule's count is above its high fence or, where low values fail, below its low one, by more than noise."""
+    count, per, _, _, low = RULES[rule]
+    mean = lambda side: F.greatest(F.lit(0.0), (F.col(f"{side}_{rule}") * F.col(per)).cast("double") / F.lit(1000.0))
+    far = lambda side: (F.col(count) - mean(side)) * (F.col(count) - mean(side)) > NOISE * NOISE * (mean(side) + 1.0)
+    out = (F.col(count) > mean("high")) & far("high")
+    if low:
+        out = out | (F.col(count) < mean("low")) & far("low")
+    return F.coalesce(out, F.lit(False))
+
+
+def _with_fences(counted: DataFrame, limits: DataFrame, lang: str, source: str) -> DataFrame:
     k1, k2 = fresh(counted, "fence_lang", "fence_source")
     limits = limits.withColumnsRenamed({"lang": k1, "source": k2})
-    joined = counted.join(limits, F.col(lang).eqNullSafe(F.col(k1)) & F.col(source).eqNullSafe(F.col(k2)), "left")
+    return counted.join(limits, F.col(lang).eqNullSafe(F.col(k1)) & F.col(source).eqNullSafe(F.col(k2)), "left")
+
+
+def judge(counted: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
+    """counted with base_failed and kept: neither base_failed nor beyond a fence of its group."""
     bad = F.lit(False)
-    for r, (_, _, _, low) in RULES.items():
-        bad = bad | (rate(r) > F.col(f"high_{r}"))
-        if low:
-            bad = bad | (rate(r) < F.col(f"low_{r}"))
-    return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~F.coalesce(bad, F.lit(False))).select(*(F.col(f"`{c}`") for c in counted.columns), "base_failed", "kept")
+    for r in RULES:
+        bad = bad | beyond(r)
+    return _with_fences(counted, limits, lang, source).withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~bad).select(*(F.col(f"`{c}`") for c in counted.columns), "base_failed", "kept")
+
+
+def rejections(counted: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
+    """For each (lang, source): its texts, those that fail the base rules, and those that each adaptive rule rejects besides."""
+    each = _with_fences(counted, limits, lang, source)
+    return each.groupBy(lang, source).agg(F.count("*").alias("n_texts"), F.count_if(base_failed()).alias("base_failed"), *(F.count_if(~base_failed() & beyond(r)).alias(r) for r in RULES))
 
 
 def quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", **how) -> DataFrame:
     """(doc_id, lang, source, the COUNTS, base_failed, kept) for each row of docs.
 
     Null and empty texts have no words and fail the base rules; a null language or source is a group of its own; repeated rows are
-    judged alike. Other columns of docs play no part.
+    judged alike; an empty table gives none. Other columns of docs play no part.
     """
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(source).alias("source"), F.col(text).alias("text"))
     counted = staged(with_counts(narrow, keep=["doc_id", "lang", "source"]), "quality-counts")

@@ -97,18 +97,18 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
 FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)
 """,
     "op3_mixing": r"""
-WITH RECURSIVE c AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens FROM documents),
+WITH RECURSIVE c AS (SELECT doc_id, source, md5(coalesce(text, '')) AS digest, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens FROM documents),
 s AS (SELECT source, CAST(sum(n_tokens) AS BIGINT) AS size, count(*) AS n_docs FROM c GROUP BY source),
 ends AS (SELECT min(ln(size)) AS a, max(ln(size)) AS b, max(size) AS top FROM s WHERE size > 0),
 bisect AS (SELECT CAST(0 AS DOUBLE) AS low, CAST(1 AS DOUBLE) AS high, 0 AS k UNION ALL
   SELECT CASE WHEN exp((1 - (low + high) / 2) * (b - a)) > 2 THEN (low + high) / 2 ELSE low END, CASE WHEN exp((1 - (low + high) / 2) * (b - a)) > 2 THEN high ELSE (low + high) / 2 END, k + 1 FROM bisect, ends WHERE k < 25),
 p AS (SELECT source, size, CASE WHEN size > 0 THEN CAST(floor(size * pow(CAST(top AS DOUBLE) / size, 1 - high)) AS BIGINT) ELSE 0 END AS wanted FROM s, ends, bisect WHERE k = 25),
 q AS (SELECT source, CASE WHEN size > 0 THEN wanted // size ELSE 1 END AS passes, CASE WHEN size > 0 THEN wanted % size ELSE 0 END AS rest FROM p),
-h AS (SELECT c.*, passes, rest, md5('mix-1|pick|' || passes || '|' || doc_id) AS pick FROM c JOIN q ON c.source IS NOT DISTINCT FROM q.source),
+h AS (SELECT c.*, passes, rest, md5('mix-1|pick|' || passes || '|' || doc_id || '|' || digest) AS pick FROM c JOIN q ON c.source IS NOT DISTINCT FROM q.source),
 u AS (SELECT *, sum(n_tokens) OVER (PARTITION BY source ORDER BY pick RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM h),
 t AS (SELECT *, min(CASE WHEN rest > 0 AND upto >= rest THEN pick END) OVER (PARTITION BY source) AS cut FROM u),
-m AS (SELECT doc_id, source, n_tokens, CAST(unnest(range(passes + CASE WHEN pick <= cut THEN 1 ELSE 0 END)) AS INTEGER) AS epoch FROM t),
-k AS (SELECT *, md5('mix-1|mix|' || epoch || '|' || doc_id) AS mix_key FROM m),
+m AS (SELECT doc_id, source, n_tokens, digest, CAST(unnest(range(passes + CASE WHEN pick <= cut THEN 1 ELSE 0 END)) AS INTEGER) AS epoch FROM t),
+k AS (SELECT *, md5('mix-1|mix|' || epoch || '|' || doc_id || '|' || digest) AS mix_key FROM m),
 d AS (SELECT CASE WHEN count(*) <= 4096 THEN 0 WHEN count(*) <= 65536 THEN 1 ELSE 2 END AS digits FROM k),
 b AS (SELECT k.*, CASE WHEN digits = 0 THEN 0 ELSE CAST('0x' || substr(mix_key, 1, digits) AS INTEGER) END AS block FROM k, d)
 SELECT doc_id, source, n_tokens, epoch, block, CAST(row_number() OVER (PARTITION BY block ORDER BY mix_key, doc_id) - 1 AS INTEGER) AS slot FROM b
@@ -128,19 +128,23 @@ r AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM g),
 rw AS (SELECT doc_id, count(DISTINCT k) AS n_repeat_words FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS k FROM r WHERE n >= 2) GROUP BY doc_id),
 c AS (SELECT w.doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars, CAST(length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
       CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, CAST(len(l) AS BIGINT) AS n_lines FROM w LEFT JOIN rw USING (doc_id)),
-x AS (SELECT doc_id, lang, source, unnest(['word_length', 'symbols', 'dup_lines', 'repeats']) AS rule, unnest([1000 * word_chars // n_words, 1000 * n_symbols // n_words, CASE WHEN n_lines = 0 THEN 0 ELSE 1000 * n_dup_lines // n_lines END, 1000 * n_repeat_words // n_words]) AS x FROM c WHERE n_words > 0),
+x AS (SELECT doc_id, lang, source, unnest(['word_length', 'symbols', 'dup_lines', 'repeats']) AS rule, unnest([1000 * word_chars // n_words, 1000 * n_symbols // n_words, CASE WHEN n_lines = 0 THEN 0 ELSE 1000 * n_dup_lines // n_lines END, 1000 * n_repeat_words // n_words]) AS x,
+      unnest([word_chars, n_symbols, n_dup_lines, n_repeat_words]) AS n, unnest([n_words, n_words, n_lines, n_words]) AS d FROM c WHERE n_words > 0),
 v AS (SELECT lang, source, rule, (x >> greatest(0, length(bin(x)) - 7)) << greatest(0, length(bin(x)) - 7) AS v FROM x),
 f AS (SELECT lang, source, rule, v, count(*) AS n FROM v GROUP BY ALL),
 e AS (SELECT lang, source, rule, v, n, sum(n) OVER (PARTITION BY lang, source, rule ORDER BY v) AS cum, sum(n) OVER (PARTITION BY lang, source, rule) AS tot FROM f),
 m AS (SELECT lang, rule, v, sum(n) OVER (PARTITION BY lang, rule ORDER BY v) AS cum, sum(n) OVER (PARTITION BY lang, rule) AS tot FROM (SELECT lang, rule, v, sum(n) AS n FROM f GROUP BY ALL)),
 a AS (SELECT rule, v, sum(n) OVER (PARTITION BY rule ORDER BY v) AS cum, sum(n) OVER (PARTITION BY rule) AS tot FROM (SELECT rule, v, sum(n) AS n FROM f GROUP BY ALL)),
-q0 AS (SELECT lang, source, rule, max(tot) AS tot, min(v) FILTER (cum * 4 >= tot) AS q1, min(v) FILTER (cum * 4 >= tot * 3) AS q3 FROM e GROUP BY ALL),
-q1 AS (SELECT lang, rule, max(tot) AS tot, min(v) FILTER (cum * 4 >= tot) AS q1, min(v) FILTER (cum * 4 >= tot * 3) AS q3 FROM m GROUP BY ALL),
-q2 AS (SELECT rule, min(v) FILTER (cum * 4 >= tot) AS q1, min(v) FILTER (cum * 4 >= tot * 3) AS q3 FROM a GROUP BY ALL),
-z AS (SELECT q0.lang, q0.source, q0.rule, CASE WHEN q0.tot >= 200 THEN q0.q1 WHEN q1.tot >= 200 THEN q1.q1 ELSE q2.q1 END AS a, CASE WHEN q0.tot >= 200 THEN q0.q3 WHEN q1.tot >= 200 THEN q1.q3 ELSE q2.q3 END AS b
-      FROM q0 JOIN q1 ON q0.lang IS NOT DISTINCT FROM q1.lang AND q0.rule = q1.rule JOIN q2 ON q0.rule = q2.rule),
-o AS (SELECT x.doc_id, bool_or(x.x > b + 3 * (b - a) + CASE x.rule WHEN 'word_length' THEN 1000 WHEN 'symbols' THEN 100 WHEN 'dup_lines' THEN 400 ELSE 300 END OR x.rule = 'word_length' AND x.x < a - 3 * (b - a) - 1000) AS beyond
-      FROM x JOIN z ON x.lang IS NOT DISTINCT FROM z.lang AND x.source IS NOT DISTINCT FROM z.source AND x.rule = z.rule GROUP BY x.doc_id)
+q0 AS (SELECT lang, source, rule, max(tot) AS tot, min(v) FILTER (cum * 100 >= tot * 25) AS v25, min(v) FILTER (cum * 100 >= tot * 50) AS v50, min(v) FILTER (cum * 100 >= tot * 99) AS v99 FROM e GROUP BY ALL),
+q1 AS (SELECT lang, rule, max(tot) AS tot, min(v) FILTER (cum * 100 >= tot * 25) AS v25, min(v) FILTER (cum * 100 >= tot * 50) AS v50, min(v) FILTER (cum * 100 >= tot * 99) AS v99 FROM m GROUP BY ALL),
+q2 AS (SELECT rule, min(v) FILTER (cum * 100 >= tot * 25) AS v25, min(v) FILTER (cum * 100 >= tot * 50) AS v50, min(v) FILTER (cum * 100 >= tot * 99) AS v99 FROM a GROUP BY ALL),
+z1 AS (SELECT q1.lang, q1.rule, CASE WHEN tot >= 200 THEN q1.v25 ELSE q2.v25 END AS v25, CASE WHEN tot >= 200 THEN q1.v50 ELSE q2.v50 END AS v50, CASE WHEN tot >= 200 THEN q1.v99 ELSE q2.v99 END AS v99 FROM q1 JOIN q2 ON q1.rule = q2.rule),
+z0 AS (SELECT q0.lang, q0.source, q0.rule, CASE WHEN tot >= 200 THEN q0.v25 ELSE z1.v25 END AS v25, CASE WHEN tot >= 200 THEN q0.v50 ELSE z1.v50 END AS v50,
+       CASE WHEN tot >= 200 THEN least(4 * q0.v99 - 3 * q0.v50, 4 * z1.v99 - 3 * z1.v50) ELSE 4 * z1.v99 - 3 * z1.v50 END + 1 AS tail FROM q0 JOIN z1 ON q0.lang IS NOT DISTINCT FROM z1.lang AND q0.rule = z1.rule),
+z AS (SELECT lang, source, rule, v50 - 3 * (v50 - v25) AS low, CASE WHEN rule IN ('dup_lines', 'repeats') THEN tail ELSE v50 + 3 * (v50 - v25) + 1 END AS high FROM z0),
+y AS (SELECT x.doc_id, x.rule, x.n, greatest(0.0::DOUBLE, CAST(high * x.d AS DOUBLE) / 1000.0::DOUBLE) AS h, greatest(0.0::DOUBLE, CAST(low * x.d AS DOUBLE) / 1000.0::DOUBLE) AS l
+      FROM x JOIN z ON x.lang IS NOT DISTINCT FROM z.lang AND x.source IS NOT DISTINCT FROM z.source AND x.rule = z.rule),
+o AS (SELECT doc_id, bool_or(n > h AND (n - h) * (n - h) > 16 * (h + 1) OR rule = 'word_length' AND n < l AND (n - l) * (n - l) > 16 * (l + 1)) AS beyond FROM y GROUP BY doc_id)
 SELECT c.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT coalesce(beyond, FALSE) AS kept FROM c LEFT JOIN o USING (doc_id)
 """,

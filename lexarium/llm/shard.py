@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import fresh, staged
+from .common import fresh, row_hash, staged
 
 SHARDS, SEED = 40, 17
 #: Bytes of records in a bucket, on average.
@@ -52,17 +52,18 @@ def permutation(n: int, *seed: int) -> np.ndarray:
 def shard(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: int = SHARDS, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """docs with shard int, slot long (gapless from 0 in each shard) and bucket int.
 
-    Columns of docs with these names are replaced. Rows that repeat an id share its shard; rows that are equal in all columns are
-    interchangeable. An empty table gives an empty result. Rows with a null id share a shard.
+    Columns of docs with these names are replaced. Rows that repeat an id, or have a null one, share its shard but not its bucket:
+    that follows from a hash of the whole row. Rows that are equal in all columns, id and all, share a bucket and are
+    interchangeable. Null and empty texts are records of the overhead alone; a very long text is a record like any other, so its
+    bucket is as large. An empty table gives an empty result.
     """
     stay = [c for c in docs.columns if c.lower() not in ("shard", "slot", "bucket")]
     total = docs.agg(F.sum(record_bytes(text))).first()[0] or 0
     buckets = max(1, -(-total // (shards * bucket_bytes)))
     kinds = {f.name: f.dataType for f in docs.schema}
-    hashed = [F.col(f"`{c}`") for c in (doc_id, text)]
     key, tie = fresh(docs, "bucket_key", "record_hash")
-    place = (shard_of(doc_id, shards, seed) * F.lit(buckets) + F.pmod(F.xxhash64(F.lit(seed + 1), hashed[0]), F.lit(buckets))).cast("long")
-    scattered = docs.select(*(F.col(f"`{c}`") for c in stay), place.alias(key), F.xxhash64(*hashed).alias(tie))
+    place = (shard_of(doc_id, shards, seed) * F.lit(buckets) + F.pmod(F.xxhash64(F.lit(seed + 1), F.col(f"`{doc_id}`"), row_hash(docs)), F.lit(buckets))).cast("long")
+    scattered = docs.select(*(F.col(f"`{c}`") for c in stay), place.alias(key), row_hash(docs).alias(tie))
     counts = docs.select(place.alias("key")).groupBy("key").agg(F.count("*").alias("n"))
     ahead = Window.partitionBy(F.expr(f"key div {buckets}")).orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
     starts = staged(counts.select("key", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("start")), "shard-starts")

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import attach, fresh, longs, staged, text_blocks
+from .common import attach, fresh, longs, row_hash, staged, text_blocks, unstage
 
 SEED, SHINGLE, DISTANCE = 42, 3, 2
 #: A bucket of more nodes is cut further, while more than FREE_BITS bits are free.
@@ -179,6 +179,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     cur = edges
     before = None
+    used: list[DataFrame] = []
     while True:
         both = cur.unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
@@ -188,6 +189,8 @@ def components(edges: DataFrame) -> DataFrame:
         low = staged(large.groupBy("a").agg(F.min("b").alias("m")), "components-low")
         small = large.join(low, "a").select(F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("m").alias("y")), F.struct(F.col("b").alias("x"), F.col("m").alias("y")))).alias("e")).select(F.col("e.x").alias("a"), F.col("e.y").alias("b")).where("a != b").distinct()
         cur = staged(small.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "components")
+        unstage(*used, least, large, low)  # with the edges of the loop before
+        used = [cur]
         mark = cur.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(mark) == before:
             break
@@ -217,23 +220,25 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component, with the columns of docs: that with the smallest id (null ids last), then the smallest text digest.
+    """One row of each component, with the columns of docs: that with the smallest id (null ids last), then the smallest text digest,
+    then the smallest hash of the whole row.
 
-    A row is known by its id and a 128-bit digest of its text, so every component keeps a row whatever the ids; of rows that repeat
-    both, which are of one component, one stays.
+    A row is known by its id, a 128-bit digest of its text and that hash, so every component keeps a row whatever the ids, and the
+    same one if a task runs again; of rows that are equal in all columns, which are of one component, one stays. Null and empty
+    texts are one component. An empty table gives an empty result.
     """
-    own, mark = fresh(docs, "kept_id", "kept_digest")
+    own, mark, whole = fresh(docs, "kept_id", "kept_digest", "kept_hash")
     digest = F.md5(F.col(text).cast("binary"))  # null for a null
-    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), digest.alias("digest"))
-    prints = with_fingerprint(narrow, keep=["doc_id", "digest"])
-    rows = staged(prints.groupBy("doc_id", "digest", "fingerprint").agg(F.count("*").alias("n")), "simhash-rows")
-    row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest", "n")
+    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), digest.alias("digest"), row_hash(docs).alias("hash"))
+    prints = with_fingerprint(narrow, keep=["doc_id", "digest", "hash"])
+    rows = staged(prints.groupBy("doc_id", "digest", "hash", "fingerprint").agg(F.count("*").alias("n")), "simhash-rows")
+    row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest", "hash", "n")
     nodes = staged(rows.groupBy("fingerprint").agg(F.min(row).alias("least")), "simhash-nodes")
     best = _labelled(nodes).groupBy("label").agg(F.min("least").alias("least"))
-    found = staged(best.select(F.col("least.doc_id").alias(own), F.col("least.digest").alias(mark), F.col("least.n").alias("n")), "simhash-kept")
-    same = F.col(doc_id).eqNullSafe(F.col(own)) & digest.eqNullSafe(F.col(mark))
-    kept = docs.join(found.where("n = 1").select(own, mark), same, "left_semi")
-    if (again := found.where("n > 1").select(own, mark)).isEmpty():
+    found = staged(best.select(F.col("least.doc_id").alias(own), F.col("least.digest").alias(mark), F.col("least.hash").alias(whole), F.col("least.n").alias("n")), "simhash-kept")
+    same = F.col(doc_id).eqNullSafe(F.col(own)) & digest.eqNullSafe(F.col(mark)) & (row_hash(docs) == F.col(whole))
+    kept = docs.join(found.where("n = 1").select(own, mark, whole), same, "left_semi")
+    if (again := found.where("n > 1").select(own, mark, whole)).isEmpty():
         return kept
-    repeated = docs.join(again, same, "left_semi").withColumn(mark, digest).dropDuplicates([doc_id, mark]).drop(mark)
+    repeated = docs.join(again, same, "left_semi").withColumn(mark, digest).withColumn(whole, row_hash(docs)).dropDuplicates([doc_id, mark, whole]).drop(mark, whole)
     return kept.unionByName(repeated)
