@@ -64,7 +64,7 @@ class Grams:
             h, at = (np.concatenate(x) for x in zip(*parts, strict=True))
             order = np.argsort(h, kind="stable")
             self.by_size[size] = h[order], at[order]
-            width = min(30, max(13, (8 * len(h)).bit_length()))
+            width = min(30, max(16, (16 * len(h)).bit_length()))
             table = np.zeros(1 << (width - 3), np.uint8)
             prefix = h >> np.uint64(64 - width)
             np.bitwise_or.at(table, prefix >> np.uint64(3), np.uint8(1) << (prefix & np.uint64(7)).astype(np.uint8))
@@ -75,11 +75,13 @@ class Grams:
         own = [self.buf, self.start, self.first, *(x for pair in self.by_size.values() for x in pair), *(t for _, t in self.bits.values())]
         return sum(x.nbytes for x in own) + sum(map(len, self.names))
 
-    def may_have(self, size: int, hashes: np.ndarray) -> np.ndarray:
-        """The places of the hashes whose bit is set."""
+    def known(self, size: int, hashes: np.ndarray) -> np.ndarray:
+        """The places of those hashes that are of the set; the bits sort out most of the others."""
         width, table = self.bits[size]
         prefix = hashes >> np.uint64(64 - width)
-        return np.flatnonzero(table[prefix >> np.uint64(3)] >> (prefix & np.uint64(7)).astype(np.uint8) & 1)
+        at = np.flatnonzero(table[prefix >> np.uint64(3)] >> (prefix & np.uint64(7)).astype(np.uint8) & 1)
+        own = self.by_size[size][0]
+        return at[own[np.minimum(np.searchsorted(own, hashes[at]), len(own) - 1)] == hashes[at]]
 
     def owners(self, size: int, h: np.uint64, words: bytes) -> set[str]:
         """The items with a window of these words, each followed by a space."""
@@ -129,7 +131,7 @@ def scan(column: pa.Array, grams: Grams) -> dict[str, pa.Array]:
             last = np.repeat(first[1:], np.diff(first))  # for each word the first word of the next text
             for size in grams.bits:
                 w = window_hash(h, size)
-                at = grams.may_have(size, w)
+                at = grams.known(size, w)
                 at = at[at + size <= last[at]]
                 for k in at.tolist():
                     if owners := grams.owners(size, w[k], b"".join(low[s[x] : e[x]].tobytes() + b" " for x in range(k, k + size))):
