@@ -29,7 +29,7 @@ STEM = 5
 #: Most labelled rows, and bytes of their texts, of each label in the training sample, on average; longer texts are not in it.
 SAMPLE = {1: 6000, 0: 10000}
 SAMPLE_BYTES, TEXT_BYTES = 64 << 20, 1 << 20
-PASSES, ALPHA, BETA, L1, L2 = 4, 2.0, 1.0, 3.0, 0.1
+PASSES, ALPHA, BETA, L1, L2 = 2, 2.0, 1.0, 5.0, 0.1
 THRESHOLD = 0.3
 SEED = 5
 FOLDS, HELD_OUT = 4, 2
