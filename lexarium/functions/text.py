@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Marks the ends of matches while a text is cut; a text's own marks become spaces, so lengths stay.
-MARK = "\u0001"
+#: Running sums are taken in lots of so many, so that no step copies a long array.
+LOT = 256
+#: Pages are looked up by every so many starts, then among these.
+PAGES = 64
 
 
 def pattern(p: str, ignore_case: bool = True, multiline: bool = False, dotall: bool = False) -> str:
@@ -32,42 +34,40 @@ def squeeze(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
 
 
-def pieces(text: Column, regex: str) -> Column:
-    """The text cut at its matches: gap, match, gap, match, ..., gap."""
-    return F.split(F.regexp_replace(_unmarked(text), _grouped(regex), F.lit(f"{MARK}$1{MARK}")), MARK)
-
-
-def _unmarked(text: Column) -> Column:
-    return F.replace(text, F.lit(MARK), F.lit(" "))
-
-
-def _grouped(regex: str) -> str:
-    """The whole pattern as group 1, flags first."""
-    if regex.startswith("(?") and ")" in regex and regex[2] not in ":=!<":
-        end = regex.index(")") + 1
-        return f"{regex[:end]}({regex[end:]})"
-    return f"({regex})"
+def sums_before(sizes: Column) -> Column:
+    """For each of an array of ints the sum of those before it."""
+    none = F.array().cast("array<int>")
+    lots = F.transform(F.sequence(F.lit(0), F.ceil(F.size(sizes) / LOT).cast("int") - 1), lambda k: F.slice(sizes, k * LOT + 1, F.lit(LOT)))
+    run = lambda xs, start: F.aggregate(xs, F.struct(start.alias("at"), none.alias("out")), lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+    starts = run(F.transform(lots, lambda xs: F.aggregate(xs, F.lit(0), lambda acc, x: acc + x)), F.lit(0))
+    return F.when(F.size(sizes) > 0, F.flatten(F.transform(F.arrays_zip(lots.alias("xs"), starts.alias("at")), lambda p: run(p["xs"], p["at"])))).otherwise(none)
 
 
 def find_all(text: Column, regex: str) -> Column:
-    """array<struct<start int, text string>> of the matches in order."""
-    cut = pieces(text, regex)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,text:string>>").alias("found"), F.lit(False).alias("match"))
-    step = lambda acc, p: F.struct(
-        (acc["at"] + F.length(p)).alias("at"), F.when(acc["match"], F.concat(acc["found"], F.array(F.struct(acc["at"].alias("start"), p.alias("text"))))).otherwise(acc["found"]).alias("found"), (~acc["match"]).alias("match")
-    )
-    return F.when(F.rlike(_unmarked(text), F.lit(regex)), F.aggregate(cut, start, step, lambda acc: acc["found"])).otherwise(F.array().cast("array<struct<start:int,text:string>>"))
+    """array<struct<start int, text string>> of the matches in order.
+
+    The gaps come from a split of the text at its matches and the matches from a second scan, so no character of the text has a
+    meaning of its own; starts are running sums of both.
+    """
+    found, gaps = F.regexp_extract_all(text, F.lit(regex), F.lit(0)), F.split(text, regex, -1)
+    # a match starts at the sum of the gaps and matches before it
+    sizes = F.transform(found, lambda m, i: F.length(m) + F.length(F.get(gaps, i + 1)))
+    starts = F.transform(sums_before(sizes), lambda n: n + F.length(F.get(gaps, F.lit(0))))
+    rows = F.transform(F.arrays_zip(starts.alias("start"), found.alias("text")), lambda p: F.struct(p["start"].alias("start"), p["text"].alias("text")))
+    return F.when(F.rlike(text, F.lit(regex)), rows).otherwise(F.array().cast("array<struct<start:int,text:string>>"))
 
 
 def page_starts(pages: Column) -> Column:
     """Start of each page in the pages joined by blank lines."""
-    empty = F.array().cast("array<int>")
-    return F.aggregate(pages, F.struct(F.lit(0).alias("at"), empty.alias("starts")), lambda acc, p: F.struct((acc["at"] + F.length(p) + 2).alias("at"), F.concat(acc["starts"], F.array(acc["at"])).alias("starts")), lambda acc: acc["starts"])
+    return sums_before(F.transform(pages, lambda p: F.length(p) + 2))
 
 
 def page_of(offset: Column, starts: Column) -> Column:
     """The 0-based page of an offset; what separates two pages belongs to the first."""
-    return F.size(F.filter(starts, lambda s: s <= offset)) - 1
+    before = lambda xs: F.size(F.filter(xs, lambda s: s <= offset))
+    heads = F.transform(F.sequence(F.lit(0), F.ceil(F.size(starts) / PAGES).cast("int") - 1), lambda k: F.get(starts, k * PAGES))
+    lot = F.greatest(before(heads) - 1, F.lit(0)) * PAGES
+    return lot + before(F.slice(starts, lot + 1, F.lit(PAGES))) - 1
 
 
 def before(text: Column, start: Column, n: int) -> Column:
