@@ -6,8 +6,10 @@ alternation a family, so a section without any cue of a family costs one scan fo
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import registry, text
 
@@ -79,27 +81,36 @@ def locate(sections: DataFrame, families: list[str] | None = None, cues: dict[st
     )
 
 
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("size", T.IntegerType())])))
+def _runs(places: pd.Series, lengths: pd.Series, most: pd.Series) -> pd.Series:
+    """Of ordered members, by their index and length: the first (from 1) and the number of each cluster."""
+    out = []
+    for own, sizes, cap in zip(places, lengths, most, strict=True):
+        runs: list[list[int]] = []
+        total = 0
+        for k, (at, n) in enumerate(zip(own, sizes, strict=True)):
+            if runs and at == own[k - 1] + 1 and total + n <= cap:
+                runs[-1][1] += 1
+                total += n
+            else:
+                runs.append([k + 1, 1])
+                total = n
+        out.append([{"start": a, "size": n} for a, n in runs])
+    return pd.Series(out, dtype=object)
+
+
 def cluster(candidates: DataFrame, key: str = "storage_key", most: int = CLUSTER, by: tuple[str, ...] = ("clause_family",)) -> DataFrame:
     """Neighbouring candidates of a document as one, while their texts together have at most ``most`` code points.
 
-    A new cluster starts at a gap in section_index or where the cap would be passed, which depends on the cluster so far: the
-    candidates of a document are folded in order. No more than a document's sections come together.
+    A new cluster starts at a gap in section_index or where the cap would be passed, which depends on the cluster so far: indexes
+    and lengths of a document's candidates are walked in order, in Arrow batches; texts stay on the JVM. No more than a document's
+    sections come together.
     """
     fields = [c for c in candidates.columns if c not in (key, *by)]
     members = F.array_sort(F.collect_list(F.struct("section_index", "section_id", *(F.col(c) for c in fields if c not in ("section_index", "section_id")))))
-    kinds = {f.name: f.dataType.simpleString() for f in candidates.schema}
-    order = ["section_index", "section_id", *(c for c in fields if c not in ("section_index", "section_id"))]
-    one = "array<struct<" + ",".join(f"{c}:{kinds[c]}" for c in order) + ">>"
-    state = F.struct(F.array().cast(f"array<{one}>").alias("done"), F.array().cast(one).alias("open"), F.lit(0).alias("size"))
-
-    def step(acc, c):
-        joins = (F.size(acc["open"]) > 0) & (c["section_index"] == F.try_element_at(acc["open"], F.lit(-1))["section_index"] + 1) & (acc["size"] + F.length(c["section_text"]) <= most)
-        return F.when(joins, F.struct(acc["done"].alias("done"), F.concat(acc["open"], F.array(c)).alias("open"), (acc["size"] + F.length(c["section_text"])).alias("size"))).otherwise(
-            F.struct(F.when(F.size(acc["open"]) > 0, F.concat(acc["done"], F.array(acc["open"]))).otherwise(acc["done"]).alias("done"), F.array(c).alias("open"), F.length(c["section_text"]).alias("size"))
-        )
-
     folded = candidates.groupBy(key, *by).agg(members.alias("members"))
-    rows = folded.select(key, *by, F.explode(F.aggregate("members", state, step, lambda acc: F.concat(acc["done"], F.array(acc["open"])))).alias("m"))
+    runs = _runs(F.transform("members", lambda c: c["section_index"].cast("long")), F.transform("members", lambda c: F.length(c["section_text"])), F.lit(most))
+    rows = folded.select(key, *by, "members", F.explode(runs).alias("r")).select(key, *by, F.slice("members", F.col("r.start"), F.col("r.size")).alias("m"))
     all_of = lambda f: F.transform("m", lambda c: c[f])
     merged = {
         "page_range": F.struct(F.array_min(F.transform("m", lambda c: c["page_range"]["start"])).alias("start"), F.array_max(F.transform("m", lambda c: c["page_range"]["end"])).alias("end")),

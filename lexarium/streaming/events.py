@@ -7,12 +7,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery, StreamingQueryListener
 
-from ..operators import ingest
+from ..operators import blockwise, ingest
 
 
 def timed(rows: DataFrame, time: str) -> DataFrame:
@@ -39,6 +40,23 @@ def sessions(events: DataFrame, by: list[str], time: str = "ts", gap: str = "30
     return n.select(F.col("session_window.start").alias("session_start"), F.col("session_window.end").alias("session_end"), *by, "n")
 
 
+PAUSE, ABORT = 1, 2
+
+
+def trips(bad: np.ndarray, in_a_row: int, in_all: int, pause: int, abort: int, total: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Failures in a row and in all at each outcome, from those before, up to the one that aborts; and what is done there: PAUSE, ABORT or nothing (0)."""
+    at = np.arange(len(bad))
+    last_good = np.maximum.accumulate(np.where(bad, -1, at))
+    row = np.where(last_good < 0, at + 1 + in_a_row, at - last_good)
+    all_ = in_all + np.cumsum(bad)
+    over = np.flatnonzero((row >= abort) | (all_ >= total))
+    n = int(over[0]) + 1 if len(over) else len(bad)
+    action = np.where((row > 0) & (row % pause == 0), PAUSE, 0)[:n]
+    if len(over):
+        action[-1] = ABORT
+    return row[:n], all_[:n], action
+
+
 class Breaker(StatefulProcessor):
     """For each key the run of failures in a row and in all: pause at ``pause`` in a row, abort at ``abort`` in a row or ``total`` in all."""
 
@@ -50,18 +68,16 @@ class Breaker(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         in_a_row, in_all, tripped = self.state.get() if self.state.exists() else (0, 0, False)
-        own = pd.concat(list(rows)).sort_values(self.order, kind="stable")
-        out = []
-        for _, r in own.iterrows():
-            if not tripped:
-                in_a_row = in_a_row + 1 if r[self.failed] else 0
-                in_all += bool(r[self.failed])
-                tripped = in_a_row >= self.limits[1] or in_all >= self.limits[2]
-                action = "abort" if tripped else "pause" if in_a_row and in_a_row % self.limits[0] == 0 else None
-                if action:
-                    out.append((key[0], r[self.order], action, in_a_row, in_all))
+        if not tripped:
+            # a batch's rows of a key come in no order, so its two columns are put in order first
+            own = pd.concat([r[[self.order, self.failed]] for r in rows]).sort_values(self.order, kind="stable")
+            row, all_, action = trips(own[self.failed].fillna(False).to_numpy(bool), in_a_row, in_all, *self.limits)
+            told = np.flatnonzero(action)
+            if len(told):
+                names = np.where(action[told] == ABORT, "abort", "pause")
+                yield pd.DataFrame({self.key: key[0], self.order: own[self.order].to_numpy()[told], "action": names, "in_a_row": row[told].astype(np.int32), "in_all": all_[told].astype(np.int32)})
+            in_a_row, in_all, tripped = int(row[-1]), int(all_[-1]), bool(len(told) and action[told[-1]] == ABORT)
         self.state.update((in_a_row, in_all, tripped))
-        yield pd.DataFrame(out, columns=[self.key, self.order, "action", "in_a_row", "in_all"])
 
     def close(self) -> None:
         pass
@@ -75,27 +91,24 @@ def breaker(events: DataFrame, key: str, order: str, failed: str, pause: int = 3
 
 
 def breaker_rows(events: DataFrame, key: str, order: list[str], failed: str, pause: int = 3, abort: int = 8, total: int = 10**9) -> DataFrame:
-    """The same of a static table, by windows: a run of failures starts after each success."""
-    from pyspark.sql.window import Window
-
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    """The same of a static table: a run of failures starts after each success. Running values are taken in blocks, so no key is one task."""
     bad = F.col(failed).cast("int")
-    rows = events.withColumn("run_", F.sum(1 - bad).over(w)).withColumn("in_all", F.sum(bad).over(w).cast("int"))
-    rows = rows.withColumn("in_a_row", F.sum(bad).over(Window.partitionBy(key, "run_").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)).cast("int"))
+    rows = blockwise.with_block(events, order[0])
+    rows = blockwise.running(rows, [key], order, in_all=("sum", bad))
+    rows = blockwise.running(rows, [key], order, good_=("max", F.when(bad == 0, F.col("in_all"))))  # failures up to the last success
+    rows = rows.withColumn("in_a_row", F.col("in_all") - F.coalesce("good_", F.lit(0)))
     rows = rows.withColumn("trip_", ((F.col("in_a_row") >= abort) | (F.col("in_all") >= total)).cast("int"))
-    rows = rows.withColumn("trips_", F.sum("trip_").over(w))
+    rows = blockwise.running(rows, [key], order, trips_=("sum", F.col("trip_")))
     action = F.when(F.col("trip_") == 1, "abort").when((F.col("in_a_row") > 0) & (F.col("in_a_row") % pause == 0), "pause")
-    return rows.where((F.col("trips_") == 0) | ((F.col("trips_") == 1) & (F.col("trip_") == 1))).withColumn("action", action).where("action IS NOT NULL").select(key, *order, "action", "in_a_row", "in_all")
+    rows = rows.where((F.col("trips_") == 0) | ((F.col("trips_") == 1) & (F.col("trip_") == 1))).withColumn("action", action).where("action IS NOT NULL")
+    return rows.select(key, *order, "action", F.col("in_a_row").cast("int").alias("in_a_row"), F.col("in_all").cast("int").alias("in_all"))
 
 
 def gate(rows: DataFrame, by: str, order: list[str], zero: str, first: int = 50, most: int = 5, after: int = 100, share: float = 0.1) -> DataFrame:
     """(by, order, seen, zeroes): the first row of each key at which too many of its rows are zero: over ``most`` among the first ``first``, or over ``share`` after ``after``."""
-    from pyspark.sql.window import Window
-
-    w = Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    own = rows.withColumn("seen", F.count("*").over(w)).withColumn("zeroes", F.sum(F.col(zero).cast("int")).over(w))
+    own = blockwise.running(blockwise.with_block(rows, order[0]), [by], order, seen=("sum", F.lit(1).cast("long")), zeroes=("sum", F.col(zero).cast("long")))
     bad = own.where(((F.col("seen") <= first) & (F.col("zeroes") > most)) | ((F.col("seen") >= after) & (F.col("zeroes") / F.col("seen") > share)))
-    return ingest.first_of(bad.select(by, *order, "seen", "zeroes"), [by], [F.col("seen")])
+    return bad.groupBy(by).agg(F.min(F.struct("seen", *order, "zeroes")).alias("b")).select(by, *(F.col(f"b.{c}") for c in order), "b.seen", "b.zeroes")
 
 
 def load_new(rows: DataFrame, table: str, key: list[str], checkpoint: str) -> StreamingQuery:
