@@ -112,3 +112,34 @@ def parse_checks(headers: DataFrame, pages: DataFrame, key: str = "storage_key",
     n = n.withColumn("contiguous", F.col("order_") == F.transform(F.sequence(F.lit(0), F.col("n_pages") - 1), lambda k: k.cast(pages.schema[page].dataType))).drop("order_")
     both = headers.select(key, F.col("page_count").alias("promised"), "parse_status").join(n, key, "full_outer")
     return both.select(key, "promised", F.coalesce("n_pages", F.lit(0)).alias("n_pages"), (F.col("promised").eqNullSafe(F.coalesce("n_pages", F.lit(0)))).alias("count_matches"), F.coalesce("contiguous", F.lit(False)).alias("contiguous"), F.coalesce("empty_pages", F.lit(0)).alias("empty_pages"), F.col("promised").isNull().alias("no_header"), "parse_status")
+
+
+def parse_gates(checks: DataFrame, expected: int, most_errors: float = 0.05, least_coverage: float = 0.9) -> DataFrame:
+    """One row about parse_checks: documents, those with an error (no header, pages missing, gaps), their share, the share of ``expected`` that is there, and whether both gates pass."""
+    bad = F.col("no_header") | ~F.col("count_matches") | ~F.col("contiguous")
+    n = checks.agg(F.count("*").alias("documents"), F.count_if(bad).alias("errors"), F.coalesce(F.sum("empty_pages"), F.lit(0)).alias("empty_pages"))
+    n = n.withColumn("error_rate", F.when(F.col("documents") > 0, F.col("errors") / F.col("documents")).otherwise(F.lit(0.0))).withColumn("coverage", F.col("documents") / F.lit(max(1, expected)))
+    return n.withColumn("passed", (F.col("error_rate") <= most_errors) & (F.col("coverage") >= least_coverage))
+
+
+def flat_extractions(records: DataFrame) -> DataFrame:
+    """Verified candidates as flat rows for export: page numbers from 1 and only where pages are known, Yes and No, lists joined, nothing null but numbers."""
+    flat = F.col("source_format") == "flat_jsonl"
+    page = lambda k: F.when(flat & F.col(f"page_range.{k}").isNotNull(), (F.col(f"page_range.{k}") + 1).cast("string")).otherwise("")
+    some = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    joined = lambda c: F.coalesce(F.array_join(c, ", "), F.lit(""))
+    return records.select(
+        some("candidate_id").alias("candidate_id"), some("storage_key").alias("storage_key"), some("country").alias("country"), F.coalesce(F.nullif("document_title", F.lit("")), some("storage_key")).alias("document_title"), some("section_heading").alias("section_heading"),
+        page("start").alias("page_start"), page("end").alias("page_end"), F.when(F.col("heading_match"), "Yes").otherwise("No").alias("heading_match"), joined("cue_families_hit").alias("cue_families"), some("extraction.confidence").alias("llm_confidence"), some("extraction.reasoning").alias("llm_reasoning"),
+        some("extraction.clause_text").alias("clause_text"), F.length(some("extraction.clause_text")).alias("clause_length"), some("section_text").alias("section_text"), some("verification.status").alias("verbatim_status"), F.col("verification.verbatim_similarity").alias("verbatim_similarity"),
+        joined("verification.quality_flags").alias("quality_flags"), some("source_format").alias("source_format"), some("run_id").alias("run_id"), some("clause_family").alias("clause_family"),
+    )
+
+
+def display(flat: DataFrame) -> DataFrame:
+    """flat_extractions as a table to look at: the ends of keys, the beginnings of titles and texts, how a candidate was found, capitals."""
+    capital = lambda c: F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 30)))
+    return flat.select(
+        "candidate_id", F.right("storage_key", F.lit(40)).alias("document"), F.left("document_title", F.lit(50)).alias("title"), F.left("section_heading", F.lit(80)).alias("section"), F.when(F.col("heading_match") == "Yes", "Heading").otherwise("Body").alias("found_by"),
+        capital("llm_confidence").alias("confidence"), capital("verbatim_status").alias("verbatim"),
+    )

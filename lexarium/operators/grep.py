@@ -68,7 +68,7 @@ def page_hits(pages: DataFrame, patterns: list[dict[str, str]], key: str, page:
 
 def metadata(docs: DataFrame, key: str, body: str = "text") -> DataFrame:
     """(key, and for each fact of the registry its distinct matches in order)."""
-    found = [F.array_distinct(F.regexp_extract_all(F.coalesce(F.col(body), F.lit("")), F.lit(p), F.lit(0))).alias(name) for name, p in registry.rows(registry.METADATA, 2)]
+    found = [F.array_distinct(F.regexp_extract_all(F.coalesce(F.col(body), F.lit("")), F.lit(p), F.lit(0))).alias(name) for name, p in registry.METADATA]
     return docs.select(key, *found)
 
 
@@ -83,11 +83,40 @@ def best_page_range(hits: DataFrame, key: str, page: str = "page", gap: int = 2,
     return best.select(key, "pattern_name", F.greatest(F.col("x.a") - widen, F.lit(first)).alias("first_page"), (F.col("x.b") + widen).alias("last_page"), F.col("x.matches").alias("matches"))
 
 
-def clause_text(docs: DataFrame, header: str, start: str = "start", body: str = "text", most: int = 3000) -> Column:
-    """From the match on at most ``most`` code points, cut after the last sentence end past the middle."""
-    cut = F.substring(F.col(body), F.col(start) + 1, F.lit(most))
-    end = F.length(cut) - F.locate(" .", F.reverse(cut)) - 1
-    return F.when((F.length(cut) == most) & (F.locate(" .", F.reverse(cut)) > 0) & (end > most // 2), F.substring(cut, F.lit(1), end + 1)).otherwise(cut)
+def clause_text(pages: DataFrame, ranges: DataFrame, headers: dict[str, str], key: str = "storage_key", page: str = "page", body: str = "text", most: int = 3000, more: int = 4, lines: int = 5) -> DataFrame:
+    """(key, clause_type, page, range_start, range_end, quote, context_before, context_after) for each of ranges (key, clause_type, first_page, last_page) whose header is found.
+
+    The first page of the range, one more included, that has the header is taken, else the first of the whole document; where a
+    page has it only with line breaks before capitals collapsed, the offset is that of the collapsed page, which has the same
+    length. The quote runs from the header over up to ``more`` further pages, ``most`` code points, cut after the last sentence end
+    past the middle. Pages are numbered from 1; null pages are empty; headers are in the common dialect, with case as given.
+    """
+    text_of = F.coalesce(F.col(body), F.lit(""))
+    flat = F.regexp_replace(text_of, r"\n(?=[A-Z])", " ")
+    first = lambda t, p: F.when(t.rlike(text.pattern(p, False)), F.length(F.get(F.split(t, text.pattern(p, False), 2), F.lit(0))))
+    each = F.array(*(F.struct(F.lit(n).alias("clause_type"), F.coalesce(first(text_of, p), first(flat, p)).alias("at")) for n, p in sorted(headers.items())))
+    hits = pages.select(key, F.col(page).alias("page"), F.explode(each).alias("h")).where("h.at IS NOT NULL").select(key, "page", "h.clause_type", "h.at")
+    inside = (F.col("page") >= F.col("first_page")) & (F.col("page") <= F.col("last_page") + 1)
+    best = ranges.select(key, "clause_type", "first_page", "last_page").join(hits, [key, "clause_type"]).groupBy(key, "clause_type", "first_page", "last_page").agg(F.min(F.struct((~inside).alias("outside"), "page", "at")).alias("b"))
+    best = best.select(key, "clause_type", F.col("first_page").alias("range_start"), F.col("b.page").alias("found"), F.col("b.at").alias("at"))
+    # the page that has the header and those after it
+    near = best.join(pages.select(key, F.col(page).alias("page"), text_of.alias("t")), key).where((F.col("page") >= F.col("found")) & (F.col("page") <= F.col("found") + more))
+    whole = near.groupBy(key, "clause_type", "range_start", "found", "at").agg(F.array_sort(F.collect_list(F.struct("page", "t"))).alias("p"))
+    head = F.get("p", F.lit(0))["t"]
+    rest = F.concat(F.substring(head, F.col("at") + 1, F.length(head)), F.array_join(F.transform(F.slice("p", 2, more), lambda x: F.concat(F.lit("\n"), x["t"])), ""))
+    whole = whole.select(key, "clause_type", F.col("found").alias("page"), "range_start", F.element_at("p", -1)["page"].alias("range_end"), F.substring(head, F.lit(1), F.col("at")).alias("before"), rest.alias("rest"))
+    whole = whole.withColumn("cut", cut_at_sentence(F.col("rest"), most))
+    last = lambda c: F.array_join(F.reverse(F.slice(F.reverse(F.split(c, "\n", -1)), 1, lines)), "\n")
+    after = F.split(F.substring(F.col("rest"), F.length("cut") + 1, F.length("rest")), "\n", -1)
+    return whole.select(key, "clause_type", "page", "range_start", "range_end", text.strip(F.col("cut")).alias("quote"), text.strip(last(F.col("before"))).alias("context_before"), text.strip(F.array_join(F.slice(after, 1, lines), "\n")).alias("context_after"))
+
+
+def cut_at_sentence(body: Column, most: int) -> Column:
+    """At most ``most`` code points, cut after the last sentence end if that is past the middle."""
+    cut = F.substring(body, 1, most)
+    gap = F.locate(" .", F.reverse(cut))
+    end = F.length(cut) - gap - 1
+    return F.when((gap > 0) & (2 * end > most), F.substring(cut, F.lit(1), end + 1)).otherwise(cut)
 
 
 def quoted(quote: Column, full: Column, n: int = 200) -> Column:

@@ -6,11 +6,12 @@ writes.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from . import provenance
+from . import provenance, search
 
 KNOWN = (
     "source native_id storage_key title issuer_name lei doc_type publication_date submitted_date download_url file_path file_hash page_count parse_tool parse_version "
@@ -70,15 +71,16 @@ def last_of(rows: DataFrame, key: list[str], order: str, value: list[str]) -> Da
     return rows.groupBy(*key).agg(F.max_by(F.struct(*value), F.col(order)).alias("last_")).select(*key, "last_.*")
 
 
-def new_rows(rows: DataFrame, existing: DataFrame, key: list[str]) -> DataFrame:
-    """The rows whose key isn't there yet, each key once."""
-    return rows.dropDuplicates(key).join(existing.select(*key), key, "left_anti")
+def new_rows(rows: DataFrame, existing: DataFrame, key: list[str], skip: list[str] | None = None) -> DataFrame:
+    """The rows whose key isn't there yet, each key once. skip: a part of the key; what has any row there is left out whole."""
+    own = skip or key
+    return rows.dropDuplicates(key).join(existing.select(*own).distinct(), own, "left_anti")
 
 
-def append_new(rows: DataFrame, table: str, key: list[str]) -> int:
-    """Appends the rows with new keys to a table, creating it; returns how many."""
+def append_new(rows: DataFrame, table: str, key: list[str], skip: list[str] | None = None) -> int:
+    """Appends the rows with new keys to a table, creating it; returns how many. For pages key is document and page, skip the document."""
     spark = rows.sparkSession
-    fresh = new_rows(rows, spark.table(table), key) if spark.catalog.tableExists(table) else rows.dropDuplicates(key)
+    fresh = new_rows(rows, spark.table(table), key, skip) if spark.catalog.tableExists(table) else rows.dropDuplicates(key)
     fresh = fresh.persist()
     try:
         n = fresh.count()
@@ -89,9 +91,39 @@ def append_new(rows: DataFrame, table: str, key: list[str]) -> int:
         fresh.unpersist()
 
 
-def replace_run(rows: DataFrame, path: str, partitions: tuple[str, ...] = ("run_id", "pattern_name")) -> None:
-    """Writes the rows' partitions in place of what they held, and leaves the others."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+def replace_run(rows: DataFrame, path: str, run_id: str, patterns: list[str], source: str | None = None) -> None:
+    """In a table partitioned by run_id, pattern_name and source, puts the rows in place of what this run had of these patterns.
+
+    A pattern that matches nothing any more keeps no old rows; with ``source`` only that source's rows are replaced. Rows of other
+    runs, patterns and sources stay. Rows that aren't of this run, patterns and source are refused.
+    """
+    spark = rows.sparkSession
+    parts = ["run_id", "pattern_name", "source"]
+    own = (F.col("run_id") == run_id) & F.col("pattern_name").isin(*patterns) & (F.col("source") == source if source is not None else F.lit(True))
+    made = rows.groupBy(*parts, F.coalesce(own, F.lit(False)).alias("own")).count().collect()  # a row a pattern and source
+    if other := [r for r in made if not r["own"]]:
+        raise ValueError(f"rows outside the run: {other[0]}")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+    kept = {(r["pattern_name"], r["source"]) for r in made}
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return
+    name = lambda s: s.getPath().getName().split("=", 1)[1]
+    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    children = lambda p: [s for s in fs.listStatus(p) if "=" in s.getPath().getName()]
+    for run in (s for s in children(root) if unescape(name(s)) == run_id):
+        for pattern in (s for s in children(run.getPath()) if unescape(name(s)) in patterns):
+            for at in children(pattern.getPath()):
+                key = (unescape(name(pattern)), unescape(name(at)))
+                if key not in kept and (source is None or key[1] == source):
+                    fs.delete(at.getPath(), True)
+
+
+def resolved(rows: DataFrame, docs: DataFrame, key: str = "storage_key", value: str = "document_id") -> tuple[DataFrame, DataFrame]:
+    """(rows with the documents' ids, rows without a document): misses are kept and can be counted, not dropped in silence."""
+    known = docs.select(key, value).dropDuplicates([key])
+    return rows.join(known, key), rows.join(known.select(key), key, "left_anti")
 
 
 def upsert(rows: DataFrame, existing: DataFrame, key: list[str]) -> DataFrame:
@@ -100,12 +132,28 @@ def upsert(rows: DataFrame, existing: DataFrame, key: list[str]) -> DataFrame:
 
 
 def publish(tables: dict[str, DataFrame], database: str) -> dict[str, int]:
-    """Writes each table that has rows to a database; returns their counts."""
+    """Writes each table that has rows to a database; returns their counts. A plan runs once: it is kept on disk while it is counted and written."""
     done = {}
     for name, df in tables.items():
-        if df is not None and not df.isEmpty():
-            df.write.mode("overwrite").saveAsTable(f"{database}.{name}")
-            done[name] = df.sparkSession.table(f"{database}.{name}").count()
+        if df is None:
+            continue
+        df = df.persist(StorageLevel.DISK_ONLY)
+        try:
+            if n := df.count():
+                df.write.mode("overwrite").saveAsTable(f"{database}.{name}")
+                done[name] = n
+        finally:
+            df.unpersist()
+    return done
+
+
+def publish_with_index(tables: dict[str, DataFrame], database: str, pages: str = "document_pages", key: tuple[str, ...] = ("document_id", "page_number"), body: str = "page_text") -> dict[str, int]:
+    """Publishes tables and, if the pages are among them, builds their search index anew: tables ``search_postings`` and ``search_totals``."""
+    done = publish(tables, database)
+    if pages in done:
+        spark = next(df for df in tables.values() if df is not None).sparkSession
+        own = spark.table(f"{database}.{pages}").select(F.concat_ws("_", *key).alias("page_key"), body)
+        search.write_index(own, "page_key", f"{database}.search", body)
     return done
 
 

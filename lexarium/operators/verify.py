@@ -17,7 +17,7 @@ VERBATIM, SECTION = 0.95, 0.85
 
 
 def window_similarity(own: str, source: str, autojunk: bool = True) -> float:
-    """The ratio of a passage to the window around its longest match in the source."""
+    """The ratio of a passage to the window around its longest match in the source. The steps are those that the values ask for."""
     best = SequenceMatcher(None, own, source, autojunk).find_longest_match(0, len(own), 0, len(source))
     if not best.size:
         return 0.0
@@ -39,6 +39,39 @@ def similarity(extracted: Column, source: Column, whole: bool = False, autojunk:
     return F.when(a == "", 0.0).when(F.contains(b, a), 1.0).otherwise(rest(F.when(left, a), F.when(left, b)))
 
 
+def contained(items: DataFrame, docs: DataFrame, item_id: str, item: str, doc_id: str, text_: str, size: int = 4, most_bytes: int = 64 << 20) -> DataFrame:
+    """(item_id, doc_id) for each item that stands in a document, white space squeezed; empty items stand nowhere.
+
+    The grams of ``size`` words inside items are a set: grams of a document that it doesn't have are dropped where they are made, if
+    the set is at most ``most_bytes``, so that few are shuffled. A pair meets by the item's rarest inner gram and is compared whole.
+    Items without an inner gram are met by their text in each document's words, at most ``most_bytes`` of them at a time.
+    """
+    squeezed = lambda c: text.squeeze(F.coalesce(c, F.lit("")))
+    own = items.select(F.col(item_id).alias("item_id"), squeezed(F.col(item)).alias("item")).where("item != ''").withColumn("w", F.split("item", " "))
+    inner = F.transform(F.sequence(F.lit(2), F.size("w") - size), lambda k: F.array_join(F.slice("w", k, size), " "))  # not the first and last word, which may be parts of words
+    long = own.where(F.size("w") > size + 1).select("item_id", "item", F.explode(F.array_distinct(inner)).alias("gram"))
+    short = own.where(F.size("w") <= size + 1).select("item_id", "item")
+    whole = docs.select(F.col(doc_id).alias("doc_id"), squeezed(F.col(text_)).alias("doc"))
+    w = F.split("doc", " ")
+    made = whole.select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - size + 1, F.lit(1))), lambda k: F.array_join(F.slice(w, k, size), " ")))).alias("gram"))
+    known = long.select("gram").distinct()
+    total = known.agg(F.sum(F.octet_length("gram") + 24)).first()[0] or 0
+    made = made.join(F.broadcast(known) if total <= most_bytes else known, "gram", "left_semi")
+    # of an item's grams the one that fewest documents have
+    counts = made.groupBy("gram").agg(F.count("*").alias("n"))
+    rare = long.join(counts, "gram", "left").groupBy("item_id", "item").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("g")).where("g.n > 0").select("item_id", "item", F.col("g.gram").alias("gram"))
+    found = made.join(rare.select("item_id", "gram"), "gram").select("doc_id", "item_id").join(whole, "doc_id").join(rare.select("item_id", "item"), "item_id").where(F.contains("doc", "item")).select("item_id", "doc_id")
+    size_ = short.agg(F.sum(F.octet_length("item") + 24), F.count("*")).first()
+    if not size_[1]:
+        return found
+    parts = -(-size_[0] // most_bytes)
+    for part in range(parts):
+        few = [r["item"] for r in short.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == part).select("item").distinct().toLocalIterator()]
+        hit = whole.select("doc_id", F.explode(F.filter(F.array(*map(F.lit, few)), lambda s: F.contains(F.col("doc"), s))).alias("item"))
+        found = found.unionByName(hit.join(short, "item").select("item_id", "doc_id"))
+    return found
+
+
 def completeness(body: Column, family: str, components: dict[str, dict[str, list[str]]] | None = None) -> Column:
     """map<component, found>; empty for an unknown family."""
     own = (registry.components() if components is None else components).get(family, {})

@@ -13,7 +13,8 @@ from ..operators import annotate
 HEADER = "storage_key string, page_count int, parse_tool string, parse_version string, parse_status string, parsed_at timestamp"
 PAGE = "page int, text string, char_count int"
 TELEMETRY = "timestamp timestamp, run_id string, document_id string, step string, duration_ms long, status string, error_message string"
-FILINGS = "cik string, name string, filings struct<recent struct<accessionNumber:array<string>,filingDate:array<string>,form:array<string>,primaryDocument:array<string>,primaryDocDescription:array<string>>>"
+FILINGS = "cik string, name string, filings struct<recent struct<accessionNumber:array<string>,filingDate:array<string>,form:array<string>,primaryDocument:array<string>,primaryDocDescription:array<string>>,files:array<struct<name:string>>>"
+OLDER = "accessionNumber array<string>, filingDate array<string>, form array<string>, primaryDocument array<string>, primaryDocDescription array<string>"
 HITS = "hits struct<total:struct<value:int>,hits:array<struct<_id:string,_source:struct<submitted_date:string,publication_date:string,company:string,lei:string,type:string,type_code:string,headline:string,download_link:string,disclosure_id:string,latest_flag:string,seq_id:string,hist_seq:string>>>>"
 
 
@@ -74,6 +75,19 @@ def filings(payload: DataFrame, forms: list[str] | None = None) -> DataFrame:
     return rows.where(F.col("form").isin(*forms)) if forms else rows
 
 
+def older_files(payload: DataFrame) -> DataFrame:
+    """(cik, name, file): the further files of a company's filings."""
+    return payload.select("cik", "name", F.explode("filings.files").alias("f")).select("cik", "name", F.col("f.name").alias("file"))
+
+
+def all_filings(payload: DataFrame, older: DataFrame, forms: list[str] | None = None) -> DataFrame:
+    """The filings of payloads and of their older files (cik, name, and the arrays of OLDER), each accession number once, the newer payload's first."""
+    wrapped = older.select("cik", "name", F.struct(F.struct(*(F.col(c.split()[0]) for c in OLDER.split(", "))).alias("recent"), F.array().cast("array<struct<name:string>>").alias("files")).alias("filings"))
+    both = filings(payload, forms).withColumn("rank_", F.lit(0)).unionByName(filings(wrapped, forms).withColumn("rank_", F.lit(1)))
+    rest = [c for c in both.columns if c not in ("cik", "accession_number", "rank_")]
+    return both.groupBy("cik", "accession_number").agg(F.min(F.struct("rank_", *rest)).alias("f")).select("cik", "accession_number", *(F.col(f"f.{c}") for c in rest))
+
+
 def search_hits(payload: DataFrame, source: str = "nsm") -> DataFrame:
     """Documents of a search answer, one row a hit, with what has no column of its own as metadata."""
     rows = payload.select(F.explode("hits.hits").alias("h")).select("h._id", "h._source.*")
@@ -110,6 +124,13 @@ def binaries(spark: SparkSession, path: str, pattern: str = "*", done: DataFrame
     return own if done is None else own.join(done.select("storage_key"), "storage_key", "left_anti").select(*own.columns)
 
 
+def outstanding_files(found: DataFrame, *outputs: DataFrame) -> DataFrame:
+    """The files whose key has not every output (storage_key, length) with something in it."""
+    for out in outputs:
+        found = found.join(out.where("length > 0").select("storage_key").distinct().withColumn("have_", F.lit(1)), "storage_key", "left").withColumn("missing_", F.col("have_").isNull() | (F.col("missing_") if "missing_" in found.columns else F.lit(False))).drop("have_")
+    return found.where("missing_").drop("missing_") if outputs else found
+
+
 def by_size(files: DataFrame, task_bytes: int = 64 << 20) -> DataFrame:
     """Files dealt to tasks of about so many bytes, by ranges of their sizes, so that a few large ones don't end in one task."""
     total = files.agg(F.sum("length")).first()[0] or 0

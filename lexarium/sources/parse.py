@@ -128,3 +128,10 @@ def parse(files: DataFrame, parser: str, key: str = "path", content: str = "cont
 
     pages = files.select(key, content).mapInPandas(run, f"{key} {kind}, page int, text string, char_count int, error string")
     return pages.select(key, "page", "text", "char_count", F.lit(tool or parser).alias("parse_tool"), F.lit(version).alias("parse_version"), "error")
+
+
+def headers(parsed: DataFrame, key: str = "path") -> DataFrame:
+    """(key, page_count, parse_tool, parse_version, parse_status, error, parsed_at): the header table of a parse; status ok, empty or failed."""
+    n = parsed.groupBy(key, "parse_tool", "parse_version").agg(F.count("page").cast("int").alias("page_count"), F.sum("char_count").alias("chars_"), F.max("error").alias("error"))
+    state = F.when(F.col("error").isNotNull(), "failed").when(F.coalesce("chars_", F.lit(0)) == 0, "empty").otherwise("ok")
+    return n.select(key, "page_count", "parse_tool", "parse_version", state.alias("parse_status"), "error", F.current_timestamp().alias("parsed_at"))

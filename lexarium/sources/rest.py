@@ -50,6 +50,60 @@ def pages(fetch: Fetch, url: str, params: dict, items: Callable[[dict], list], s
             return
 
 
+def numbered(fetch: Fetch, url: str, params: dict, items: Callable[[dict], list], size: int = 100, page: str = "page", limit: str = "size", first: int = 0, smallest: int = 1) -> Iterator[dict]:
+    """The items of all numbered pages. A page that fails is asked for again in halves, whose numbers follow from their size; one of ``smallest`` items that still fails is passed over."""
+    at = 0
+    while True:
+        own = size
+        while True:
+            try:
+                got = items(fetch(url, params | {page: first + at // own, limit: own}))
+                break
+            except OSError:
+                if own <= smallest:
+                    got = None
+                    break
+                own = max(smallest, own // 2)
+                while at % own:
+                    own //= 2
+        if got is None:
+            at += own
+            continue
+        yield from got
+        at += own
+        if len(got) < own:
+            return
+
+
+def graphql(query: str, post: Callable[[str, dict], dict]) -> Fetch:
+    """A transport that sends a query with the parameters as variables; an answer with errors counts as failed, so that it is asked for in smaller pages."""
+
+    def fetch(url: str, params: dict) -> dict:
+        answer = post(url, {"query": query, "variables": params})
+        if answer.get("errors"):
+            raise OSError(str(answer["errors"]))
+        return answer.get("data") or {}
+
+    return fetch
+
+
+def post_json(url: str, body: dict, agent: str = "lexarium") -> dict:
+    with urlopen(Request(url, data=json.dumps(body).encode(), headers={"User-Agent": agent, "Content-Type": "application/json"}), timeout=60) as r:  # noqa: S310
+        return json.load(r)
+
+
+def spaced(fetch: Fetch, seconds: float) -> Fetch:
+    """fetch, with at least so many seconds from one request to the next."""
+    last = [0.0]
+
+    def own(url: str, params: dict) -> dict:
+        time.sleep(max(0.0, last[0] + seconds - time.monotonic()))
+        last[0] = time.monotonic()
+        return fetch(url, params)
+
+    return own
+
+
 class Query(InputPartition):
     def __init__(self, text: str):
         self.text = text
