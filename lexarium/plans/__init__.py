@@ -1,6 +1,6 @@
 """Named queries over the test tables, each with the SQL that gives the same rows."""
 
-from . import domain, relational, stream
+from . import domain, records, relational, stream
 from .base import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "domain", "relational", "stream"]
+__all__ = ["ORACLE_SQL", "QUERIES", "domain", "records", "relational", "stream"]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text
-from ..operators import evaluate, ingest, provenance
+from ..operators import blockwise, evaluate, ingest, provenance
 from ..sources import files
 from .base import query, table
 
@@ -94,9 +94,9 @@ def requested_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(F.broadcast(asked.withColumn("doc_id", F.col("doc_id").cast("long"))), "doc_id").orderBy("pos").select("pos", "doc_id", "source")
 
 
-@query("SELECT o_orderpriority, o_custkey, list(substr(o_orderstatus || o_orderkey, 1, 500) ORDER BY o_orderkey) AS quotes FROM orders WHERE o_custkey < 50 GROUP BY ALL")
+@query("SELECT o_orderpriority, o_custkey, list(substr(o_orderstatus || o_orderkey, 1, 500) ORDER BY o_orderkey) AS quotes FROM orders GROUP BY ALL")
 def compare_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").where("o_custkey < 50")
+    o = table(spark, sf_dir, "orders")
     own = F.array_sort(F.collect_list(F.struct("o_orderkey", F.substring(F.concat("o_orderstatus", "o_orderkey"), 1, 500).alias("q"))))
     return o.groupBy("o_orderpriority", "o_custkey").agg(F.transform(own, lambda x: x["q"]).alias("quotes"))
 
@@ -203,13 +203,13 @@ def longest_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH f AS (SELECT doc_id, source, CASE WHEN doc_id - lag(doc_id) OVER w <= 2 THEN 0 ELSE 1 END AS b FROM documents WHERE lang = 'en' WINDOW w AS (PARTITION BY source ORDER BY doc_id)), i AS (SELECT *, sum(b) OVER (PARTITION BY source ORDER BY doc_id) AS isl FROM f)
+WITH f AS (SELECT doc_id, source, CASE WHEN doc_id - lag(doc_id) OVER w <= 2 THEN 0 ELSE 1 END AS b FROM documents WINDOW w AS (PARTITION BY source ORDER BY doc_id)), i AS (SELECT *, sum(b) OVER (PARTITION BY source ORDER BY doc_id) AS isl FROM f)
 SELECT source, CAST(isl AS BIGINT) AS island, min(doc_id) AS first, max(doc_id) AS last, count(*) AS n FROM i GROUP BY ALL
 """)
 def adjacency_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("source").orderBy("doc_id")
-    docs = table(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", "source")
-    flags = docs.withColumn("b", F.when(F.col("doc_id") - F.lag("doc_id").over(w) <= 2, 0).otherwise(1)).withColumn("island", F.sum("b").over(w))
+    docs = blockwise.with_block(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
+    flags = blockwise.previous(docs, ["source"], "doc_id", "before")
+    flags = blockwise.running(flags, ["source"], ["doc_id"], island=("sum", F.when(F.col("doc_id") - F.col("before") <= 2, 0).otherwise(1)))
     return flags.groupBy("source", "island").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
 
 
@@ -230,7 +230,8 @@ def last_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, value - lag(value, 49) OVER (PARTITION BY event_type ORDER BY event_id) AS trend FROM events")
 def moving_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select("event_id", (F.col("value") - F.lag("value", 49).over(Window.partitionBy("event_type").orderBy("event_id"))).alias("trend"))
+    events = blockwise.with_block(table(spark, sf_dir, "events").select("event_type", "event_id", "value"), "event_id")
+    return blockwise.lagged(events, ["event_type"], ["event_id"], "value", 49, "earlier").select("event_id", (F.col("value") - F.col("earlier")).alias("trend"))
 
 
 # --------------------------------------------------------------------------- order and sets
@@ -291,29 +292,6 @@ def atomic_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return provenance.with_source_page(docs).select("doc_id", F.col("source_page_url").alias("url"), F.col("source_page_kind").alias("kind"))
 
 
-_MANIFEST = [
-    '{"source": "nsm", "native_id": "1", "storage_key": "nsm__1", "title": "A", "download_url": "http://x/a.pdf", "page_count": 3, "extra": "e", "source_metadata": {"k": 1, "extra": "own"}}',
-    '{"source": "edgar", "native_id": "2", "title": "B", "is_sovereign": true, "publication_date": "2020-02-30", "source_metadata": "{\\"cik\\": \\"0012\\", \\"accession_number\\": \\"0-1-2\\"}", "countries": [{"country_code": "GHA", "country_name": "Ghana"}]}',
-    "",
-    "not json",
-    '{"source": "luxse", "native_id": "3", "source_metadata": "plain"}',
-]
-
-
-@query("""
-SELECT * FROM (VALUES ('nsm__1', 'A', 3, NULL, 'http://x/a.pdf', 'artifact_pdf', 'own', '1'), ('edgar__2', 'B', NULL, TRUE, 'https://www.sec.gov/Archives/edgar/data/12/012/0-1-2-index.htm', 'filing_index', NULL, NULL), ('luxse__3', NULL, NULL, NULL, NULL, 'none', NULL, NULL))
-t(storage_key, title, page_count, is_sovereign, source_page_url, source_page_kind, extra, k)
-""")
-def manifest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = ingest.documents(spark.createDataFrame([(m,) for m in _MANIFEST], "value string"))
-    return d.select("storage_key", "title", "page_count", "is_sovereign", "source_page_url", "source_page_kind", F.get_json_object("source_metadata", "$.extra").alias("extra"), F.get_json_object("source_metadata", "$.k").alias("k"))
-
-
-@query("SELECT 'not json' AS value")
-def manifest_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest.malformed(spark.createDataFrame([(m,) for m in _MANIFEST], "value string"))
-
-
 @query("SELECT doc_id, coalesce(CASE WHEN doc_id % 2 = 0 THEN n_chars END, CASE WHEN doc_id % 3 = 0 THEN 7 END) AS page_count FROM documents")
 def header_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 2 == 0, F.col("n_chars")).alias("page_count"))
