@@ -34,8 +34,8 @@ from pyspark.sql import types as T
 from .common import NOT_SPACE, fresh, hot_join, longs, mix, prefix_hash, span_hash, staged, text_blocks
 
 LENGTH, GRAM = 200, 64
-#: Distinct contexts of a group that are sorted together: about 0.6 MB of text.
-GROUP = 2048
+#: Distinct contexts of a group that are sorted together: about 80 kB of text.
+GROUP = 256
 #: Steps of distances by which a larger group is split, and split again.
 WIDTHS = (16, 4, 1)
 #: Bytes of contexts sorted at a time, if no group is larger.
