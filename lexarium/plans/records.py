@@ -448,3 +448,25 @@ def resolved_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT conv_id || '_' || turn AS path, CASE WHEN turn % 3 = 2 THEN 1 ELSE 2 END AS page_count, CASE turn % 3 WHEN 0 THEN 'html' WHEN 1 THEN 'text' ELSE 'filing' END AS parse_tool, 'ok' AS parse_status FROM conversations")
 def parse_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse.headers(_parsed(spark, sf_dir)).select("path", "page_count", "parse_tool", "parse_status")
+
+
+@query("""
+WITH t AS (SELECT conv_id, turn, regexp_replace(regexp_replace(coalesce(text, ''), '^\\s+', ''), '\\s+$', '') AS s FROM conversations)
+SELECT count(DISTINCT conv_id) AS documents, CAST(0 AS BIGINT) AS zero_clause_documents, count(*) AS clauses, count(*) FILTER (turn % 3 = 0 AND s <> '') AS with_text, count(DISTINCT CASE WHEN turn % 4 = 3 THEN 1 END) AS unmapped_labels FROM t
+""")
+def annotation_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = payloads(spark, sf_dir)
+    return annotate.stats(classify.label_families(annotate.flatten(own)), own)
+
+
+@query("""
+SELECT conv_id || '__s' || turn || '_' || k AS part, CAST(n AS BIGINT) AS n FROM (
+  SELECT conv_id, turn, k, length(array_to_string(w[40 * k + 1:40 * k + 40], chr(10) || chr(10))) AS n FROM (
+    SELECT conv_id, turn, list_transform(range(100), lambda i: 'p' || lpad(CAST(i AS VARCHAR), 3, '0') || lpad('', 8, 'x')) AS w FROM conversations), LATERAL (SELECT unnest(range(3)) AS k))
+""")
+def large_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sections over the limit, cut between paragraphs: a hundred of 12 characters, 40 of which and their joints fit in 560."""
+    body = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(99)), lambda i: F.concat(F.lit("p"), F.lpad(i.cast("string"), 3, "0"), F.lit("xxxxxxxx"))), "\n\n")
+    docs = table(spark, sf_dir, "conversations").select(F.concat(F.col("conv_id"), F.lit("__s"), F.col("turn")).alias("key"), body.alias("text"))
+    cut = sections.markdown_sections(docs, "key", most=560)
+    return cut.select(F.concat("key", F.lit("_"), "section_index").alias("part"), F.col("char_count").cast("long").alias("n"))
