@@ -587,6 +587,14 @@ def test_simhash_keeps_one_row_of_each_group(spark):
     assert Counter((r["doc_id"], r["text"]) for r in left.collect()) == Counter(want)
 
 
+def test_simhash_keeps_the_same_row_again(spark):
+    """Of rows that share id and text but not the rest, the same one stays however the rows are dealt."""
+    text = " ".join(f"w{j}" for j in range(30))
+    docs = spark.createDataFrame([(5, text, k) for k in range(20)] + [(5, text, 3)] + [(None, "other words of another text", k) for k in range(5)], "doc_id long, text string, n int")
+    kept = [sorted((r["doc_id"] or 0, r["n"]) for r in simhash.drop_near_duplicates(docs.repartition(p)).collect()) for p in (1, 3, 7)]
+    assert kept[0] == kept[1] == kept[2] and len(kept[0]) == 2
+
+
 # ------------------------------------------------------------------ 9 suffix array
 
 
