@@ -5,8 +5,8 @@ over its tags. Elements that hold something other than content are taken out fir
 footers, sidebars, notices, adverts, forms, scripts, styles and comments. The ratios of the other lines, smoothed by a Gaussian, are
 split at their deviation: lines above are content, and so is a heading with the line under it. The content region of every page,
 whatever its tags, is the deepest container with most of the content; it grows by the containers around it as long as what they add
-is content rather than not. All lines of the region are its text, short ones too. Where the region is the whole page, containers in
-which no line is content stay out.
+is content rather than not or, inside one article or main, no list of links. All lines of the region are its text, short ones too.
+Where the region is the whole page, containers in which no line is content stay out.
 
 Words in class and id are only evidence for a veto (``marked``): no heading, paragraph or main falls by them (a paragraph only by the
 whole name of an advert), nor an element that holds most of the content around it, so a wrapper named for its layout keeps its text.
@@ -68,12 +68,15 @@ PART, WHOLE = 1, 2
 HOLDS = {PART: 0.5, WHOLE: 0.9}
 
 
+Line = tuple[str, int, int, float]
+
+
 class Page(HTMLParser):
-    """Lines of a page: (text, tags, element); elements, parents before children: tag, parent, veto, kind of mark."""
+    """Lines of a page: (text, tags, element, share that is links); elements, parents before children: tag, parent, veto, kind of mark."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int]] = []
+        self.lines: list[Line] = []
         self.tags: list[str] = ["#page"]
         self.parent: list[int] = [-1]
         self.other: list[bool] = [False]
@@ -89,14 +92,15 @@ class Page(HTMLParser):
         self.silent = 0
         self.text: list[str] = []
         self.n_tags = 0
+        self.linked = 0
 
     def flush(self) -> None:
         if self.text:
-            words = "".join(self.text).split()
-            if words:
-                self.lines.append((" ".join(words), self.n_tags, self.open[-1]))
+            whole = "".join(self.text)
+            if words := whole.split():
+                self.lines.append((" ".join(words), self.n_tags, self.open[-1], self.linked / len(whole)))
             self.text.clear()
-        self.n_tags = 0
+        self.n_tags = self.linked = 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if self.silent and tag in SILENT and tag not in VOID:
@@ -213,6 +217,7 @@ class Page(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self.silent:
             self.text.append(data)
+            self.linked += len(data) if self.places.get("a") else 0
 
     def close(self) -> None:
         at = self.rawdata.rfind("<")
@@ -238,9 +243,9 @@ def content_lines(lines: list[tuple[str, int]]) -> list[bool]:
     return [s >= cut for s in smooth]
 
 
-def _content(page: Page, lines: list[tuple[str, int, int]]) -> list[bool]:
+def _content(page: Page, lines: list[Line]) -> list[bool]:
     """Which lines are content: by their ratios, a heading with the line under it; all, if none is."""
-    good = content_lines([(text, tags) for text, tags, _ in lines])
+    good = content_lines([x[:2] for x in lines])
     if not any(good):
         return [True] * len(lines)
     for i in range(len(lines) - 2, -1, -1):
@@ -249,17 +254,17 @@ def _content(page: Page, lines: list[tuple[str, int, int]]) -> list[bool]:
     return good
 
 
-def _held(page: Page, lines: list[tuple[str, int, int]], flags: list[bool]) -> list[int]:
-    """For each element the characters of its flagged lines."""
+def _held(page: Page, lines: list[Line], flags: list[float]) -> list[float]:
+    """For each element the characters of its lines, each times its flag."""
     out = [0] * len(page.tags)
-    for (text, _, at), flag in zip(lines, flags, strict=True):
+    for (text, _, at, _), flag in zip(lines, flags, strict=True):
         out[at] += flag * len(text)
     for k in range(len(out) - 1, 0, -1):
         out[page.parent[k]] += out[k]
     return out
 
 
-def _outside(page: Page, gone: list[bool]) -> list[tuple[str, int, int]]:
+def _outside(page: Page, gone: list[bool]) -> list[Line]:
     """The lines in no element that is gone; an element around a region that is not gone stays."""
     free = set()
     for k, tag in enumerate(page.tags):
@@ -274,7 +279,7 @@ def _outside(page: Page, gone: list[bool]) -> list[tuple[str, int, int]]:
     return [x for x in page.lines if not other[x[2]]]
 
 
-def marked(page: Page, lines: list[tuple[str, int, int]]) -> list[int]:
+def marked(page: Page, lines: list[Line]) -> list[int]:
     """The elements that their marks exclude: those that don't hold most of the content of their region or of a page without regions, and those beside the regions of a page."""
     held, size = _held(page, lines, _content(page, lines)), _held(page, lines, [True] * len(lines))
     around = [0] * len(page.tags)
@@ -292,7 +297,7 @@ def marked(page: Page, lines: list[tuple[str, int, int]]) -> list[int]:
     return out
 
 
-def veto(page: Page) -> tuple[list[bool], list[tuple[str, int, int]]]:
+def veto(page: Page) -> tuple[list[bool], list[Line]]:
     """Which elements are something other than content, and the lines outside them."""
     text = _held(page, page.lines, [True] * len(page.lines))
     # a form around most of a page is its wrapper
@@ -305,16 +310,20 @@ def veto(page: Page) -> tuple[list[bool], list[tuple[str, int, int]]]:
     return gone, lines
 
 
-def region(page: Page, gone: list[bool], lines: list[tuple[str, int, int]], good: list[bool]) -> int:
-    """The deepest container with MOST of the content, grown by those around it that add more content than other text."""
-    held, rest = _held(page, lines, good), _held(page, lines, [not x for x in good])
+def region(page: Page, gone: list[bool], lines: list[Line], good: list[bool]) -> int:
+    """The deepest container with MOST of the content, grown by those around it that add more content than other text or, up to the article or main that it is in, text that isn't mostly links."""
+    held, rest, links = _held(page, lines, good), _held(page, lines, [not x for x in good]), _held(page, lines, [x[3] for x in lines])
     at = 0
     for k in range(1, len(page.tags)):  # parents come first: of the containers with most of the content the last is the deepest
         if page.tags[k] in CONTAINERS and held[k] >= MOST * held[0] and held[k]:
             at = k
+    own = at
+    while own > 0 and page.tags[own] not in REGION:
+        own = page.parent[own]
     k = page.parent[at]
     while k > 0 and page.tags[k] not in ROOTS and not gone[k] and page.marks[k] != WHOLE:
-        if held[k] > held[at] and held[k] - held[at] >= rest[k] - rest[at]:
+        more, other = held[k] - held[at], rest[k] - rest[at]
+        if more > 0 and more >= other or k >= own > 0 and more + other > 0 and 2 * (links[k] - links[at]) < more + other:
             at = k
         k = page.parent[k]
     return at
@@ -335,7 +344,7 @@ def extract(html: str | None) -> str:
     inside = [False] * len(page.tags)
     for k in range(at, len(page.tags)):
         inside[k] = k == at or k > 0 and inside[page.parent[k]] and not (whole and not held[k] and page.tags[k] in PARTS)
-    return "\n".join(text for text, _, k in lines if inside[k])
+    return "\n".join(text for text, _, k, _ in lines if inside[k])
 
 
 def with_main_text(pages: DataFrame, html: str = "html", name: str = "text", keep: list[str] | None = None) -> DataFrame:

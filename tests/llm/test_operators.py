@@ -92,7 +92,7 @@ def brute_extract(html):
     def above(k):
         return {k} | (above(page.parent[k]) if k else set())
 
-    ratios = [len(t) / max(1, n) for t, n, _ in lines]
+    ratios = [len(t) / max(1, n) for t, n, _, _ in lines]
     mean = sum(ratios) / max(1, len(ratios))
     cut = (sum((r - mean) ** 2 for r in ratios) / max(1, len(ratios))) ** 0.5
     good = []
@@ -102,18 +102,21 @@ def brute_extract(html):
     good = good if any(good) else [True] * len(lines)
     for i in reversed(range(len(good) - 1)):
         good[i] |= good[i + 1] and page.tags[lines[i][2]] in ("h1", "h2", "h3", "h4", "h5", "h6")
-    chars = lambda k, flag: sum(len(t) for (t, _, at), g in zip(lines, good, strict=True) if g == flag and k in above(at))
+    chars = lambda k, flag: sum(len(t) for (t, _, at, _), g in zip(lines, good, strict=True) if g == flag and k in above(at))
+    linked = lambda k: sum(len(t) * x for t, _, at, x in lines if k in above(at))
     held = {k: chars(k, True) for k in range(len(page.tags))}
     fit = [k for k in held if page.tags[k] in html_extract.CONTAINERS and held[k] and 10 * held[k] >= 7 * held[0]]
-    at = max(fit, key=lambda k: len(above(k)), default=0)
+    start = at = max(fit, key=lambda k: len(above(k)), default=0)
     for k in sorted(above(at) - {at}, reverse=True):
         if page.tags[k] in ("#page", "html", "body") or gone[k] or page.marks[k] == html_extract.WHOLE:
             break
-        if held[k] > held[at] and held[k] - held[at] >= chars(k, False) - chars(at, False):
+        more, other = held[k] - held[at], chars(k, False) - chars(at, False)
+        in_article = max((x for x in above(start) if page.tags[x] in ("article", "main")), default=len(page.tags)) <= k
+        if more > 0 and more >= other or in_article and more + other and linked(k) - linked(at) < (more + other) / 2:
             at = k
     whole = page.tags[at] in ("#page", "html", "body")
     bare = {k for k in held if whole and not held[k] and page.tags[k] in html_extract.PARTS and k != at}
-    return "\n".join(t for t, _, k in lines if at in above(k) and not bare & (above(k) - above(at)))
+    return "\n".join(t for t, _, k, _ in lines if at in above(k) and not bare & (above(k) - above(at)))
 
 
 def test_html_against_brute_force(spark, sf_dir):
@@ -151,6 +154,16 @@ def test_html_ratios_decide(monkeypatch, wrap):
     assert "Topic number 7" in html_extract.extract(page)
 
 
+@pytest.mark.parametrize("page", [
+    f"<body><div>Word</div><article><h1>Head line</h1><p>By me.</p><div>{_BODY}</div><p>The end.</p></article><div>Other</div></body>",
+    f"<body><main><div><h1>Head line</h1><p>By me.</p><section><div>{_BODY}</div></section></div><p>The end.</p></main><ul>{_LINKS}</ul></body>",
+])
+def test_html_short_parts_of_an_article(page):
+    """Short lines beside the dense part of an article are its text; a list of links there isn't, nor is what stands outside."""
+    got = html_extract.extract(page).split("\n")
+    assert [x for x in got if "Topic" not in x] == ["Head line", "By me.", *_PARTS, "The end."]
+
+
 @pytest.mark.parametrize("page", [
     f'<article>{_BODY}<h2 id="social-impact">Social impact</h2><p id="share">Shares of it.</p><div class="promotion-rules">{_BODY}</div></article>',
     f'<body><form action="/x"><div class="menu"><a href=a>A</a></div><article>{_BODY}<h2 id="social-impact">Social impact</h2><p id="share">Shares of it.</p><div>{_BODY}</div></article></form></body>',
