@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import annotate, classify, evaluate, grep, locate, provenance, runs, search, sections, verify
-from ..sources import files, parse
+from ..operators import classify, evaluate, grep, locate, provenance, runs, search, sections, verify
+from ..sources import parse
 from .base import query, table
 
 #: name, pattern; in a dialect that any engine reads alike.
