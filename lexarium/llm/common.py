@@ -33,14 +33,20 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_lexarium_staged"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet in the shared folder and read again: cuts the lineage, survives lost executors, and is computed once."""
-    spark = df.sparkSession
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder of that name in the shared one, deleted with the staged tables."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
     if not _staged:
         atexit.register(clear_staged)
     _staged.append(path)
+    return path
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """df written as Parquet in the shared folder and read again: cuts the lineage, survives lost executors, and is computed once."""
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_path = path
     return out

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_extract, mixing, packing, quality, shard, simhash, suffix, toxicity
+from . import align, chat, decontaminate, html_extract, importance, jaccard, mixing, packing, quality, shard, simhash, suffix, toxicity
 from .common import staged, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,9 +74,35 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
-    for q in (op1_html_extraction, op2_sharding, op3_mixing, op4_decontamination, op5_chat_formatting, op6_quality_rules, op7_token_packing, op8_simhash, op9_suffix_dedup, op10_toxicity)
+    for q in (
+        op1_html_extraction,
+        op2_sharding,
+        op3_mixing,
+        op4_decontamination,
+        op5_chat_formatting,
+        op6_quality_rules,
+        op7_token_packing,
+        op8_simhash,
+        op9_suffix_dedup,
+        op10_toxicity,
+        op11_tokenizer_alignment,
+        op12_importance_resampling,
+        op13_jaccard_join,
+    )
 }
 
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
