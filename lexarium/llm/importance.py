@@ -24,7 +24,7 @@ from .common import attach, longs, staged, text_blocks
 
 BUCKETS, LEAST_WORDS, SHARE, SEED = 10_000, 20, (5, 100), 42
 #: DuckDB gets texts in blocks of about so many bytes, and at most so much memory a task.
-BLOCK, MEMORY = 1 << 20, "1GB"
+BLOCK, MEMORY = 1 << 19, "1GB"
 
 #: ``texts`` (row, text) to (row, bucket, n).
 SQL = r"""

@@ -6,7 +6,7 @@ one order fall into components, links never leave one, and what several orders l
 
 1. the order of a hash: with its ``k``-prefix a set stays only if ``k`` of those tokens stand in other sets;
 2. rarest first, ties by a second hash: sets with too few shared tokens go, prefix sharing gives components;
-3. rarest first inside those components, ties by a third hash, which cuts them again.
+3. rarest first, ties by a third hash, gives others: a candidate pair is in one component under both.
 
 Equal sets are one node. What is left of each component, its shared tokens, is verified exactly: small components in one task;
 of large ones every member meets a few pivots first, and where that does not join all of them, lots meet lots, in tasks of bounded
@@ -26,12 +26,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import LOWER, NOT_SPACE, hot_join, longs, mix, prefix_hash, span_hash, staged, text_blocks, unstage, window_hash, word_spans
+from .common import LOWER, NOT_SPACE, hot_join, longs, mix, prefix_hash, span_hash, staged, text_blocks, window_hash, word_spans
 from .simhash import components
 
 SHINGLE = 5
 #: Tokens of all members that one task verifies at once, and pivots of a larger component.
 TASK_TOKENS, PIVOTS = 1 << 20, 8
+#: Most bits of a map, which is broadcast.
+MOST_BITS = 1 << 29
 #: Seeds of the orders.
 FIRST, SECOND, THIRD = 0x51ED270B, 0x2545F491, 0x9E3779B1
 
@@ -165,8 +167,8 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([longs(node), longs(total)], names=["node", "n"])
 
 
-def _texts(seed: int):
-    """(node, text) of each text with words."""
+def _texts(seed: int, alive):
+    """(node, text) of each text with words whose node may be in the map ``alive``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,43 +176,101 @@ def _texts(seed: int):
                 continue
             made = [(np.diff(ends, prepend=0), nodes_of(tokens, ends, seed)[0]) for tokens, ends in shingle_sets(batch.column(0))]
             size, node = (np.concatenate(c) for c in zip(*made, strict=True))
-            yield pa.RecordBatch.from_arrays([longs(node), batch.column(0)], names=["node", "text"]).filter(pa.array(size > 0))
+            yield pa.RecordBatch.from_arrays([longs(node), batch.column(0)], names=["node", "text"]).filter(pa.array((size > 0) & _has(alive.value, node)))
 
     return run
 
 
-def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, size, token) of (node, text)."""
-    for batch in batches:
-        node, at = batch.column(0).to_numpy(zero_copy_only=False), 0
-        for tokens, ends in shingle_sets(batch.column(1)):
-            size = np.diff(ends, prepend=0)
-            own = node[at : at + len(ends)]
-            at += len(ends)
-            yield pa.RecordBatch.from_arrays([longs(np.repeat(own, size)), longs(np.repeat(size, size)), longs(tokens.view(np.int64))], names=["node", "size", "token"])
+TOKEN = "node long, token long"
+
+
+def _tokens(known=None):
+    """(node, token) of (node, text), of the tokens that may be in the map ``known``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, at = batch.column(0).to_numpy(zero_copy_only=False), 0
+            for tokens, ends in shingle_sets(batch.column(1)):
+                own, token = np.repeat(node[at : at + len(ends)], np.diff(ends, prepend=0)), tokens.view(np.int64)
+                at += len(ends)
+                keep = slice(None) if known is None else _has(known.value, token)
+                yield pa.RecordBatch.from_arrays([longs(own[keep]), longs(token[keep])], names=["node", "token"])
+
+    return run
+
+
+# --------------------------------------------------------------------------- bit maps
+
+
+def _bit(values: np.ndarray, bits: int) -> np.ndarray:
+    return (mix(values.view(np.uint64) ^ np.uint64(FIRST)) & np.uint64(bits - 1)).astype(np.int64)
+
+
+def bit_map(values: DataFrame, most_bits: int = MOST_BITS) -> tuple[np.ndarray, int]:
+    """A map of the bits that the longs of the one column of values hash to, of 16 bits a value but at most ``most_bits``: what it
+    doesn't have is not among them. It is made in chunks by the executors; a full one lets all pass."""
+    n = values.count()
+    bits = min(most_bits, 1 << max(19, (16 * n - 1).bit_length()))
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.unique(_bit(batch.column(0).to_numpy(zero_copy_only=False), bits))
+            yield pa.RecordBatch.from_arrays([longs(at >> 19), longs(at)], names=["chunk", "at"])
+
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: dict[int, np.ndarray] = {}
+        for batch in batches:
+            chunk, at = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            for c in np.unique(chunk).tolist():
+                np.bitwise_or.at(made.setdefault(c, np.zeros(1 << 16, np.uint8)), (at[chunk == c] & ((1 << 19) - 1)) >> 3, np.left_shift(1, at[chunk == c] & 7).astype(np.uint8))
+        if made:
+            yield pa.RecordBatch.from_arrays([longs(np.array([*made])), pa.array([x.tobytes() for x in made.values()], pa.binary())], names=["chunk", "map"])
+
+    out = np.zeros(bits >> 3, np.uint8)
+    for r in values.mapInArrow(places, "chunk long, at long").repartition("chunk").mapInArrow(chunks, "chunk long, map binary").collect():  # bits >> 3 bytes
+        out[r["chunk"] << 16 : (r["chunk"] + 1) << 16] |= np.frombuffer(r["map"], np.uint8)
+    return out, bits
+
+
+def _has(known: tuple[np.ndarray, int], values: np.ndarray) -> np.ndarray:
+    at = _bit(values, known[1])
+    return (known[0][at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
 # --------------------------------------------------------------------------- further orders
 
 
-def refine(tokens: DataFrame, seed: int) -> DataFrame:
-    """tokens (group, node, size, token) with smaller groups: the components, inside each group, of sets that share prefix tokens in the
-    order of rarity in the group, ties by a hash. Sets without a partner go, and so do tokens that one set of a group has alone."""
-    at = ["group", "token"]
-    counts = staged(tokens.groupBy(*at).agg(F.count("*").alias("n")).where("n > 1"), "jaccard-counts")
-    shared = hot_join(tokens, counts, at, "n")
-    own = Window.partitionBy("node")
-    need = F.floor((4 * F.col("size") + 4) / 5)
-    kept = shared.withColumn("have", F.count("*").over(own)).where(F.col("have") >= need)
-    kept = kept.withColumn("place", F.row_number().over(own.orderBy("n", F.xxhash64("token", F.lit(seed)), "token")))
-    kept = staged(kept.select("group", "node", "size", "token", (F.col("place") <= F.col("have") - need + 1).alias("early")), "jaccard-kept")
-    entries = kept.where("early").select(*at, "node")
-    least = staged(entries.groupBy(*at).agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1"), "jaccard-least")
-    edges = hot_join(entries, least, at, "n").where("node != least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    label = components(staged(edges, "jaccard-edges"))
-    out = staged(kept.join(label, "node").select(F.col("label").alias("group"), "node", "size", "token"), "jaccard-tokens")
-    unstage(counts, kept, least)
-    return out
+def _shared_tokens(texts: DataFrame) -> DataFrame:
+    """(node, tokens: array<struct<n, token>>) of texts (node, text): the tokens that several nodes have, with their number."""
+    counts = staged(texts.mapInArrow(_tokens(), TOKEN).groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "jaccard-counts")
+    known = texts.sparkSession.sparkContext.broadcast(bit_map(counts.select("token")))
+    rows = hot_join(texts.mapInArrow(_tokens(known), TOKEN), counts, ["token"], "n")
+    return rows.groupBy("node").agg(F.collect_list(F.struct("n", "token")).alias("tokens"))
+
+
+def _early(tokens: str, seed: int) -> Column:
+    """Of a set's shared tokens those in its prefix, rarest first, ties by a hash; have - need + 1 of them, as its other tokens come first."""
+    keyed = F.array_sort(F.transform(tokens, lambda t: F.struct(t["n"].alias("n"), F.xxhash64(t["token"], F.lit(seed)).alias("h"), t["token"].alias("token"))))
+    return F.transform(F.slice(keyed, F.lit(1), F.size(tokens) - F.col("need") + 1), lambda t: t["token"])
+
+
+def _labels(kept: DataFrame, seed: int) -> DataFrame:
+    """(node, label): the components of the sets that share prefix tokens in the order of a seed; sets without a partner go."""
+    entries = kept.select("node", F.explode(_early("tokens", seed)).alias("token"))
+    least = staged(entries.groupBy("token").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1"), "jaccard-least")
+    edges = hot_join(entries, least, ["token"], "n").where("node != least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+    return components(staged(edges, "jaccard-edges"))
+
+
+def candidates(texts: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(group, node, size, tokens) of texts (node, text), each set once: its shared tokens, and its component under both orders, for the
+    sets that have a partner under both. sizes: (node, size)."""
+    need = F.floor((4 * F.col("size") + 4) / 5).cast("int").alias("need")
+    kept = _shared_tokens(texts).join(sizes, "node").select("node", "size", "tokens", need).where(F.size("tokens") >= F.col("need"))
+    kept = staged(kept, "jaccard-kept")
+    second, third = _labels(kept, SECOND), _labels(kept, THIRD)
+    both = second.join(third.withColumnRenamed("label", "other"), "node").select("node", F.xxhash64("label", "other").alias("group"))
+    return staged(kept.join(both, "node").select("group", "node", "size", F.col("tokens.token").alias("tokens")), "jaccard-candidates")
 
 
 # --------------------------------------------------------------------------- verification
@@ -295,10 +355,9 @@ def _pivot_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([longs(np.array(a)), longs(np.array(b))], names=["a", "b"])
 
 
-def verify(tokens: DataFrame, task_tokens: int = TASK_TOKENS) -> DataFrame:
-    """Links (a, b) that span the components of all links inside the groups of tokens."""
-    rows = tokens.groupBy("group", "node", "size").agg(F.collect_list("token").alias("tokens"))
-    rows = staged(rows.withColumn("label", F.col("node")), "jaccard-members")
+def verify(sets: DataFrame, task_tokens: int = TASK_TOKENS) -> DataFrame:
+    """Links (a, b) that span the components of all links inside the groups of sets (group, node, size, tokens), which are staged."""
+    rows = sets.withColumn("label", F.col("node"))
     member = F.struct("node", "size", "label", "tokens").alias("m")
     weight = staged(rows.groupBy("group").agg(F.count("*").alias("n"), F.sum(F.size("tokens") + 64).alias("weight")).where("n > 1"), "jaccard-groups")
     small = hot_join(rows, weight.where(F.col("weight") <= task_tokens), ["group"], "n")
@@ -345,13 +404,9 @@ def links(docs: DataFrame, sets: DataFrame, seed: int, task_tokens: int = TASK_T
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     met = rows.repartition(parts, "token").sortWithinPartitions("token").mapInArrow(_met, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
     alive = staged(met.join(sets, "node").where(F.col("n") > F.floor(F.col("size") / 10)).select("node"), "jaccard-alive")  # more(size) + 1
-    texts = docs.select("text").mapInArrow(_texts(seed), "node long, text string").dropDuplicates(["node"]).join(alive, "node", "left_semi")
-    tokens = staged(texts.mapInArrow(_tokens, "node long, size long, token long").select(F.lit(0).cast("long").alias("group"), "*"), "jaccard-tokens")
-    unstage(alive)
-    for order in (SECOND, THIRD):
-        before, tokens = tokens, refine(tokens, order)
-        unstage(before)
-    return verify(tokens, task_tokens)
+    known = spark.sparkContext.broadcast(bit_map(alive.select("node")))
+    texts = docs.select("text").mapInArrow(_texts(seed, known), "node long, text string").dropDuplicates(["node"]).join(alive, "node", "left_semi")
+    return verify(candidates(staged(texts, "jaccard-texts"), sets), task_tokens)
 
 
 def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", task_tokens: int = TASK_TOKENS) -> DataFrame:
