@@ -31,7 +31,9 @@ BYTE_BPE, PIECE_BPE = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piec
 #: Most bytes of a vocabulary file, which is broadcast.
 VOCABULARY_BYTES = 64 << 20
 #: Partial counts of one shard, and distinct pairs that a task counts before it passes them on.
-SHARD_ROWS, HELD = 1 << 20, 1 << 21
+SHARD_ROWS, HELD = 1 << 20, 1 << 20
+#: Bytes of text that are encoded at a time: a token takes some tens of bytes then.
+BLOCK = 1 << 18
 DIGITS = 10
 
 LINKS = T.StructType(
@@ -173,7 +175,7 @@ def with_links(docs: DataFrame, text: str = "text", keep: list[str] | None = Non
         digests = pa.array([d for p in parts for d in p["digests"]], pa.string())
         return {"n_a": longs(joined["n_a"]), "n_b": longs(joined["n_b"]), "n_groups": longs(n), "n_links": longs(n), "groups_sha256": digests, "a": _lists(joined["a"], n), "b": _lists(joined["b"], n)}
 
-    return attach(docs, text, align, LINKS, keep)
+    return attach(docs, text, align, LINKS, keep, BLOCK)
 
 
 # --------------------------------------------------------------------------- counts of pairs

@@ -118,8 +118,9 @@ def row_hash(df: DataFrame) -> Column:
 # --------------------------------------------------------------------------- row functions
 
 
-def attach(df: DataFrame, of: str, fn: Callable[[pa.Array], dict[str, pa.Array]], new: T.StructType, keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` of df (None: all) and those that ``fn`` makes, row for row, from Arrow batches of the column ``of``.
+def attach(df: DataFrame, of: str, fn: Callable[[pa.Array], dict[str, pa.Array]], new: T.StructType, keep: list[str] | None = None, block: int | None = None) -> DataFrame:
+    """The columns ``keep`` of df (None: all) and those that ``fn`` makes, row for row, from Arrow batches of the column ``of``, which
+    holds texts of about ``block`` bytes a batch if that is given.
 
     A column of df with the name of a new one is replaced.
     """
@@ -131,8 +132,10 @@ def attach(df: DataFrame, of: str, fn: Callable[[pa.Array], dict[str, pa.Array]]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                made = fn(batch.column(need.index(of)))
-                yield pa.RecordBatch.from_arrays([*(batch.column(need.index(c)) for c in stay), *(made[f.name] for f in new)], names=[*stay, *(f.name for f in new)])
+                at = batch.column(need.index(of))
+                for part in [batch] if block is None else (batch.slice(i, j - i) for i, j, _, _ in text_blocks(at, block)):
+                    made = fn(part.column(need.index(of)))
+                    yield pa.RecordBatch.from_arrays([*(part.column(need.index(c)) for c in stay), *(made[f.name] for f in new)], names=[*stay, *(f.name for f in new)])
 
     return df.select(*(F.col(f"`{c}`") for c in need)).mapInArrow(run, schema)
 

@@ -78,7 +78,7 @@ def with_features(docs: DataFrame, text: str = "text", keep: list[str] | None =
         lists = lambda x: pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(x))
         return {"n_features": longs(total), "buckets": lists(np.concatenate(at)), "counts": lists(n)}
 
-    return attach(docs, text, count, COUNTED, keep)
+    return attach(docs, text, count, COUNTED, keep, 8 * BLOCK)
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
