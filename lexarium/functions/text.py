@@ -1,4 +1,4 @@
-"""Column functions over text with the semantics of Python's ``re`` and ``str``, on the JVM.
+"""Column functions over text with the semantics of Python's ``re`` and ``str``: on the JVM where its expressions have them in linear time.
 
 Offsets count code points from zero. Patterns are given in the common dialect of Java and Python (no look-around, no
 back-references, no empty matches) and get the flags under which Java agrees with Python on Unicode classes and line ends.
@@ -6,11 +6,16 @@ back-references, no empty matches) and get the flags under which Java agrees wit
 
 from __future__ import annotations
 
+import re
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from . import scan
 
-#: Running sums are taken in lots of so many, so that no step copies a long array.
-LOT = 256
 #: Pages are looked up by every so many starts, then among these.
 PAGES = 64
 
@@ -34,27 +39,29 @@ def squeeze(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
 
 
-def sums_before(sizes: Column) -> Column:
+_JAVA = re.compile(r"\(\?(i?)uUd(m?)(s?)\)")
+
+
+def flagged(regex: str) -> tuple[str, int]:
+    """A pattern that ``pattern`` has given flags, as Python's, and re's flags."""
+    if not (own := _JAVA.match(regex)):
+        return regex, 0
+    return regex[own.end() :], re.IGNORECASE * bool(own[1]) | re.MULTILINE * bool(own[2]) | re.DOTALL * bool(own[3])
+
+
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def sums_before(sizes: pa.Array) -> pa.Array:
     """For each of an array of ints the sum of those before it."""
-    none = F.array().cast("array<int>")
-    lots = F.transform(F.sequence(F.lit(0), F.ceil(F.size(sizes) / LOT).cast("int") - 1), lambda k: F.slice(sizes, k * LOT + 1, F.lit(LOT)))
-    run = lambda xs, start: F.aggregate(xs, F.struct(start.alias("at"), none.alias("out")), lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
-    starts = run(F.transform(lots, lambda xs: F.aggregate(xs, F.lit(0), lambda acc, x: acc + x)), F.lit(0))
-    return F.when(F.size(sizes) > 0, F.flatten(F.transform(F.arrays_zip(lots.alias("xs"), starts.alias("at")), lambda p: run(p["xs"], p["at"])))).otherwise(none)
+    ends = np.r_[0, np.cumsum(sizes.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]
+    flat = sizes.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    before = np.cumsum(flat) - flat
+    first = np.repeat(np.r_[before, 0][ends[:-1]], np.diff(ends))
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array((before - first).astype(np.int32)))
 
 
 def find_all(text: Column, regex: str) -> Column:
-    """array<struct<start int, text string>> of the matches in order.
-
-    The gaps come from a split of the text at its matches and the matches from a second scan, so no character of the text has a
-    meaning of its own; starts are running sums of both.
-    """
-    found, gaps = F.regexp_extract_all(text, F.lit(regex), F.lit(0)), F.split(text, regex, -1)
-    # a match starts at the sum of the gaps and matches before it
-    sizes = F.transform(found, lambda m, i: F.length(m) + F.length(F.get(gaps, i + 1)))
-    starts = F.transform(sums_before(sizes), lambda n: n + F.length(F.get(gaps, F.lit(0))))
-    rows = F.transform(F.arrays_zip(starts.alias("start"), found.alias("text")), lambda p: F.struct(p["start"].alias("start"), p["text"].alias("text")))
-    return F.when(F.rlike(text, F.lit(regex)), rows).otherwise(F.array().cast("array<struct<start:int,text:string>>"))
+    """array<struct<start int, text string>> of the matches in order, in time linear in the text and its matches."""
+    return F.transform(scan.found(text, (flagged(regex),)), lambda m: F.struct(m["start"].alias("start"), m["text"].alias("text")))
 
 
 def page_starts(pages: Column) -> Column:
@@ -87,11 +94,10 @@ def any_match(text: Column, regexes: list[str], **flags: bool) -> Column:
     return out
 
 
-def title_case(c: Column) -> Column:
+@F.arrow_udf(T.StringType())
+def title_case(c: pa.Array) -> pa.Array:
     """Each letter after a non-letter in upper case, the others in lower case."""
-    letters = F.split(F.lower(c), "")
-    cased = F.transform(letters, lambda x, i: F.when((i == 0) | ~F.get(letters, i - 1).rlike(r"(?U)\p{L}"), F.upper(x)).otherwise(x))
-    return F.array_join(cased, "")
+    return pa.array([None if x is None else x.title() for x in c.to_pylist()], pa.string())
 
 
 # --------------------------------------------------------------------------- markdown and reflow

@@ -1,7 +1,7 @@
 """Pattern search over whole documents, with exact offsets, pages and contexts.
 
-Each pattern is a literal in its own expression, so it is compiled once in a task; texts without a match never reach the cutting.
-Documents are scanned once for all patterns.
+Documents are scanned once for all patterns (``functions.scan``): an automaton over the literals that their matches must have says which
+of them to run. Only rows with a match reach the cutting.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import registry, text
+from ..functions import registry, scan, text
 
 CONTEXT = 500
 
@@ -27,19 +27,16 @@ def grep(docs: DataFrame, patterns: list[dict[str, str]] | None = None, key: str
     Matches of a pattern don't overlap, may straddle pages, and belong to the page they start on. Without ``starts`` a document is
     one page. Null and empty texts have no matches.
     """
-    each = []
-    for p in registry.patterns() if patterns is None else patterns:
-        name, version = F.lit(p["name"]).alias("pattern_name"), F.lit(p.get("version", "")).alias("pattern_version")
-        each.append(_named(text.find_all(F.col(body), text.pattern(p["pattern"], ignore_case)), name, version))
-    if not each:
-        each = [F.array().cast("array<struct<pattern_name:string,pattern_version:string,start:int,text:string>>")]
-    rows = docs.where(F.col(body).isNotNull()).select(key, body, *([starts] if starts else []), F.explode(F.concat(*each)).alias("m"))
+    own = registry.patterns() if patterns is None else patterns
+    found = scan.found(F.col(body), tuple(scan.compiled(p["pattern"], ignore_case) for p in own))
+    named = lambda names: F.get(F.array(*map(F.lit, names)), F.col("m.p")) if names else F.lit("")
+    rows = docs.where(F.col(body).isNotNull()).select(key, body, *([starts] if starts else []), F.explode(found).alias("m"))
     full, start, end = F.col(body), F.col("m.start"), F.col("m.start") + F.length("m.text")
     return rows.select(
         key,
         F.lit(run_id).alias("run_id"),
-        "m.pattern_name",
-        "m.pattern_version",
+        named([p["name"] for p in own]).alias("pattern_name"),
+        named([p.get("version", "") for p in own]).alias("pattern_version"),
         start.alias("start"),
         end.alias("end"),
         (text.page_of(start, F.col(starts)) if starts else F.lit(0)).alias("page_index"),
@@ -49,10 +46,6 @@ def grep(docs: DataFrame, patterns: list[dict[str, str]] | None = None, key: str
     )
 
 
-def _named(found: Column, *names: Column) -> Column:
-    return F.transform(found, lambda m: F.struct(*names, m["start"].alias("start"), m["text"].alias("text")))
-
-
 def clause_counts(docs: DataFrame, patterns: list[dict[str, str]], key: str, body: str = "text", ignore_case: bool = True) -> DataFrame:
     """(key, counts: map<name, n>): how often each pattern matches, without zeroes."""
     counts = F.create_map(*(x for p in patterns for x in (F.lit(p["name"]), F.regexp_count(F.coalesce(F.col(body), F.lit("")), F.lit(text.pattern(p["pattern"], ignore_case))).cast("long"))))

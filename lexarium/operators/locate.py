@@ -1,7 +1,7 @@
 """Candidate sections for clause families: cues in headings and bodies, negative signals, clustering of neighbours, stubs.
 
-All families are judged in one pass over the sections: every cue is a literal expression over the section, guarded by one
-alternation a family, so a section without any cue of a family costs one scan for it.
+All families are judged in one scan of a section (``functions.scan``), whatever their number: it finds the cues of all of them, and only
+families with hits become rows.
 """
 
 from __future__ import annotations
@@ -11,36 +11,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import registry, text
+from ..functions import registry, scan, text
 
 LARGE, CLUSTER, STUB = 50_000, 25_000, 100
 HITS = "array<struct<family:string,pattern:string,matched_text:string>>"
 
 
+def _hits(found: Column, groups: list[str], regexes: list[str]) -> Column:
+    """Matches as hits, from their patterns' numbers."""
+    of = lambda names, m: F.get(F.array(*map(F.lit, names)), m["p"])
+    return F.transform(found, lambda m: F.struct(of(groups, m).alias("family"), of(regexes, m).alias("pattern"), m["text"].alias("matched_text"))).cast(HITS) if regexes else F.array().cast(HITS)
+
+
+def _found(c: Column, regexes: list[str], first: bool = False) -> Column:
+    return scan.found(c, tuple(map(scan.compiled, regexes)), first)
+
+
 def heading_hits(heading: Column, cues: list[str]) -> Column:
     """The first match of each cue that a heading has."""
-    each = F.array(*(F.struct(F.lit("heading").alias("family"), F.lit(p).alias("pattern"), F.regexp_substr(heading, F.lit(text.pattern(p))).alias("matched_text")) for p in cues)) if cues else F.array()
-    return F.filter(each.cast(HITS), lambda h: h["matched_text"].isNotNull())
+    return _hits(_found(heading, cues, True), ["heading"] * len(cues), cues)
 
 
 def body_hits(body: Column, groups: dict[str, list[str]]) -> Column:
     """Every match of every cue but the headings', in registry order."""
     own = [(g, p) for g, ps in groups.items() if g != "heading" for p in ps]
-    if not own:
-        return F.array().cast(HITS)
-    each = [_hits(body, g, p) for g, p in own]
-    return F.when(body.rlike(text.pattern("|".join(f"(?:{p})" for _, p in own))), F.concat(*each)).otherwise(F.array()).cast(HITS)
-
-
-def _hits(body: Column, group: str, regex: str) -> Column:
-    found = F.regexp_extract_all(body, F.lit(text.pattern(regex)), F.lit(0))
-    return F.transform(found, lambda m: F.struct(F.lit(group).alias("family"), F.lit(regex).alias("pattern"), m.alias("matched_text")))
+    return _hits(_found(body, [p for _, p in own]), [g for g, _ in own], [p for _, p in own])
 
 
 def negative_signals(body: Column, negatives: dict[str, list[str]] | None = None) -> Column:
     """The categories of which a pattern matches."""
-    own = registry.negatives() if negatives is None else negatives
-    return F.filter(F.array(*(F.when(text.any_match(body, ps, multiline=True), F.lit(c)) for c, ps in own.items())), lambda c: c.isNotNull()) if own else F.array().cast("array<string>")
+    own = [(c, p) for c, ps in (registry.negatives() if negatives is None else negatives).items() for p in ps]
+    return scan.chosen(scan.present(body, tuple(scan.compiled(p, multiline=True) for _, p in own)), [c for c, _ in own])
 
 
 def negatives_dominate(negatives: Column, groups: Column, length: Column) -> Column:
@@ -55,11 +56,16 @@ def locate(sections: DataFrame, families: list[str] | None = None, cues: dict[st
     """
     known = registry.cues() if cues is None else cues
     own = {f: known[f] for f in (sorted(known) if families is None else families) if f in known}
-    if not own:
-        own = {"": {}}
-    judged = F.array(*(F.struct(F.lit(f).alias("clause_family"), heading_hits(F.col("heading"), g.get("heading", [])).alias("in_heading"), body_hits(F.col("text"), g).alias("in_body")) for f, g in own.items()))
-    rows = sections.withColumn("j", F.explode(judged)).where((F.size("j.in_heading") > 0) | (F.size("j.in_body") > 1))
+    head = [(f, "heading", p) for f, groups in own.items() for p in groups.get("heading", [])]
+    body = [(f, g, p) for f, groups in own.items() for g, ps in groups.items() if g != "heading" for p in ps]
+    # one scan of a section finds the cues of all families; only families with hits get rows
+    rows = sections.withColumn("h", _found(F.col("heading"), [p for *_, p in head], True)).withColumn("b", _found(F.col("text"), [p for *_, p in body]))
+    family = lambda found, cues: F.transform(found, lambda m: F.get(F.array(*(F.lit(f) for f, *_ in cues)), m["p"])) if cues else F.array().cast("array<string>")
+    rows = rows.withColumn("families", F.array_sort(F.array_distinct(F.concat(family(F.col("h"), head), family(F.col("b"), body))))).where(F.size("families") > 0)
     rows = rows.withColumn("negative_signals", negative_signals(F.col("text"), negatives))
+    of = lambda found, cues: _hits(F.filter(found, lambda m: F.get(F.array(*(F.lit(f) for f, *_ in cues)), m["p"]) == F.col("family")), [g for _, g, _ in cues], [p for *_, p in cues]) if cues else F.array().cast(HITS)
+    rows = rows.withColumn("family", F.explode("families"))
+    rows = rows.withColumn("j", F.struct(F.col("family").alias("clause_family"), of(F.col("h"), head).alias("in_heading"), of(F.col("b"), body).alias("in_body"))).where((F.size("j.in_heading") > 0) | (F.size("j.in_body") > 1))
     groups = F.array_sort(F.array_distinct(F.transform("j.in_body", lambda h: h["family"])))
     rows = rows.withColumn("groups", groups).withColumn("heading_match", F.size("j.in_heading") > 0)
     rows = rows.where(F.col("heading_match") | (F.size("groups") >= 2) & ~negatives_dominate(F.col("negative_signals"), F.col("groups"), F.length("text")))

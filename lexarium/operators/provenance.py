@@ -50,19 +50,3 @@ def file_kind(path: Column) -> Column:
     """pdf, text, html or unsupported, by extension."""
     ext = F.lower(F.regexp_extract(path, r"(\.[^./]*)$", 1))
     return F.when(ext == ".pdf", "pdf").when(ext == ".txt", "text").when(ext.isin(".htm", ".html"), "html").otherwise("unsupported")
-
-
-def first_match(rows: DataFrame, patterns: DataFrame, value: str, pattern: str = "pattern", rank: str = "ord", most: int = 2000) -> DataFrame:
-    """rows with the columns of the first pattern, by rank, that the value contains in upper case; nulls where none does.
-
-    Patterns are a registry of at most ``most``: they are folded into one ordered array and met by each row once, so nothing is joined
-    or multiplied. More are refused.
-    """
-    fields = [c for c in patterns.columns if c not in (pattern, rank)]
-    own = patterns.orderBy(rank).limit(most + 1).collect()
-    if len(own) > most:
-        raise ValueError(f"more than {most} patterns")
-    kind = ", ".join(f"{c}: string" for c in (pattern, *fields))
-    table = F.array(*(F.struct(F.lit(r[pattern]).alias(pattern), *(F.lit(r[c]).alias(c) for c in fields)) for r in own)) if own else F.array().cast(f"array<struct<{kind}>>")
-    hit = F.try_element_at(F.filter(table, lambda p: F.contains(F.upper(F.col(value)), p[pattern])), F.lit(1))
-    return rows.withColumn("hit_", hit).select("*", *(F.col(f"hit_.{c}").alias(c) for c in fields)).drop("hit_")

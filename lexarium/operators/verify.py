@@ -11,7 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import registry, text
+from ..functions import registry, scan, text
+from . import substrings
 
 VERBATIM, SECTION = 0.95, 0.85
 
@@ -39,53 +40,51 @@ def similarity(extracted: Column, source: Column, whole: bool = False, autojunk:
     return F.when(a == "", 0.0).when(F.contains(b, a), 1.0).otherwise(rest(F.when(left, a), F.when(left, b)))
 
 
-def contained(items: DataFrame, docs: DataFrame, item_id: str, item: str, doc_id: str, text_: str, size: int = 4, most_bytes: int = 64 << 20) -> DataFrame:
+def contained(items: DataFrame, docs: DataFrame, item_id: str, item: str, doc_id: str, text_: str, most_bytes: int = substrings.BLOCK_BYTES) -> DataFrame:
     """(item_id, doc_id) for each item that stands in a document, white space squeezed; empty items stand nowhere.
 
-    The grams of ``size`` words inside items are a set: grams of a document that it doesn't have are dropped where they are made, if
-    the set is at most ``most_bytes``, so that few are shuffled. A pair meets by the item's rarest inner gram and is compared whole.
-    Items without an inner gram are met by their text in each document's words, at most ``most_bytes`` of them at a time.
+    Items are automata of at most ``most_bytes`` each; a document is scanned once for each of these, in time linear in its text and
+    its hits.
     """
-    squeezed = lambda c: text.squeeze(F.coalesce(c, F.lit("")))
-    own = items.select(F.col(item_id).alias("item_id"), squeezed(F.col(item)).alias("item")).where("item != ''").withColumn("w", F.split("item", " "))
-    inner = F.transform(F.sequence(F.lit(2), F.size("w") - size), lambda k: F.array_join(F.slice("w", k, size), " "))  # not the first and last word, which may be parts of words
-    long = own.where(F.size("w") > size + 1).select("item_id", "item", F.explode(F.array_distinct(inner)).alias("gram"))
-    short = own.where(F.size("w") <= size + 1).select("item_id", "item")
-    whole = docs.select(F.col(doc_id).alias("doc_id"), squeezed(F.col(text_)).alias("doc"))
-    w = F.split("doc", " ")
-    made = whole.select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - size + 1, F.lit(1))), lambda k: F.array_join(F.slice(w, k, size), " ")))).alias("gram"))
-    known = long.select("gram").distinct()
-    total = known.agg(F.sum(F.octet_length("gram") + 24)).first()[0] or 0
-    made = made.join(F.broadcast(known) if total <= most_bytes else known, "gram", "left_semi")
-    # of an item's grams the one that fewest documents have
-    counts = made.groupBy("gram").agg(F.count("*").alias("n"))
-    rare = long.join(counts, "gram", "left").groupBy("item_id", "item").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("g")).where("g.n > 0").select("item_id", "item", F.col("g.gram").alias("gram"))
-    found = made.join(rare.select("item_id", "gram"), "gram").select("doc_id", "item_id").join(whole, "doc_id").join(rare.select("item_id", "item"), "item_id").where(F.contains("doc", "item")).select("item_id", "doc_id")
-    size_ = short.agg(F.sum(F.octet_length("item") + 24), F.count("*")).first()
-    if not size_[1]:
-        return found
-    parts = -(-size_[0] // most_bytes)
-    for part in range(parts):
-        few = [r["item"] for r in short.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == part).select("item").distinct().toLocalIterator()]
-        hit = whole.select("doc_id", F.explode(F.filter(F.array(*map(F.lit, few)), lambda s: F.contains(F.col("doc"), s))).alias("item"))
-        found = found.unionByName(hit.join(short, "item").select("item_id", "doc_id"))
-    return found
-
-
-def completeness(body: Column, family: str, components: dict[str, dict[str, list[str]]] | None = None) -> Column:
-    """map<component, found>; empty for an unknown family."""
-    own = (registry.components() if components is None else components).get(family, {})
-    if not own:
+    return substrings.contained(items, docs, item_id, item, doc_id, text_, text.squeeze, most_bytes)
+
+
+Components = dict[str, dict[str, list[str]]]
+
+
+def _flat(known: Components) -> list[tuple[str, str, str]]:
+    return [(f, c, p) for f, parts in known.items() for c, ps in parts.items() for p in ps]
+
+
+def component_numbers(body: Column, components: Components | None = None) -> Column:
+    """The numbers of the patterns, of all families' components, that a text has: one scan of it."""
+    own = _flat(registry.components() if components is None else components)
+    return scan.present(F.coalesce(body, F.lit("")), tuple(scan.compiled(p) for *_, p in own))
+
+
+def completeness_of(numbers: Column, family: str, components: Components | None = None) -> Column:
+    """map<component, found> of a family from the numbers of the patterns that match."""
+    known = registry.components() if components is None else components
+    if not known.get(family):
         return F.create_map().cast("map<string,boolean>")
-    return F.create_map(*(x for c, ps in own.items() for x in (F.lit(c), text.any_match(F.coalesce(body, F.lit("")), ps))))
+    own = _flat(known)
+    at = lambda c: F.array(*(F.lit(k) for k, (f, d, _) in enumerate(own) if (f, d) == (family, c)))
+    return F.create_map(*(x for c in known[family] for x in (F.lit(c), F.arrays_overlap(numbers, at(c)))))
+
+
+def completeness(body: Column, family: str, components: Components | None = None) -> Column:
+    """map<component, found>; empty for an unknown family."""
+    known = registry.components() if components is None else components
+    own = {family: known[family]} if known.get(family) else {}
+    return completeness_of(component_numbers(body, own), family, own)
 
 
-def completeness_by(family: Column, body: Column, components: dict[str, dict[str, list[str]]] | None = None) -> Column:
-    """The same with the family in a column."""
+def completeness_by(family: Column, numbers: Column, components: Components | None = None) -> Column:
+    """The same with the family in a column, from the numbers of the patterns that match."""
     known = registry.components() if components is None else components
     out = F.create_map().cast("map<string,boolean>")
     for f in known:
-        out = F.when(family == f, completeness(body, f, known)).otherwise(out)
+        out = F.when(family == f, completeness_of(numbers, f, known)).otherwise(out)
     return out
 
 
@@ -110,10 +109,10 @@ def verify(extractions: DataFrame, family: str = "clause_family", extracted: str
     sectional = f.isin(registry.SECTION_FAMILIES)
     judged = ~errs & have
     rows = extractions.withColumn("sim_", F.when(judged & sectional, similarity(F.when(judged & sectional, a), b, True, autojunk)).when(judged, similarity(F.when(judged & ~sectional, a), b, False, autojunk)))
-    rows = rows.withColumn("parts_", F.when(judged, completeness_by(f, a)))
+    rows = rows.withColumn("numbers_", component_numbers(F.when(judged, a))).withColumn("parts_", F.when(judged, completeness_by(f, F.col("numbers_"))))
     passes = F.col("sim_") >= F.when(sectional, SECTION).otherwise(VERBATIM)
     present, total = F.size(F.filter(F.map_values("parts_"), lambda x: x)), F.size("parts_")
     state = F.when(errs, "error_skipped").when(~have, "not_found").when(sectional, F.when(passes, "section_located").otherwise("needs_review")).otherwise(F.when(passes, "verified").otherwise("failed"))
     flags = F.when(judged, F.concat(quality_flags(a, b), F.when(passes, F.array().cast("array<string>")).otherwise(F.array(F.lit("verification_failed"))), F.when((present <= 1) & (total >= 3), F.array(F.lit("partial_extraction"))).otherwise(F.array().cast("array<string>"))))
     record = F.struct(state.alias("status"), F.bround(F.col("sim_"), 3).alias("verbatim_similarity"), F.col("parts_").alias("completeness"), flags.alias("quality_flags"), F.when(judged, present).alias("components_present"), F.when(judged, total).alias("components_total"))
-    return rows.withColumn("verification", record).drop("sim_", "parts_")
+    return rows.withColumn("verification", record).drop("sim_", "parts_", "numbers_")

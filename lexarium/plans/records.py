@@ -123,8 +123,8 @@ SELECT doc_id, f.family, coalesce(present, '') AS present, n.total FROM p CROSS
 """)
 def registry_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All families' components in every text."""
-    each = F.array(*(F.struct(F.lit(f).alias("family"), verify.completeness(F.col("text"), f).alias("m")) for f in registry.components()))
-    rows = planted(spark, sf_dir).select("doc_id", F.explode(each).alias("e"))
+    each = F.array(*(F.struct(F.lit(f).alias("family"), verify.completeness_of(F.col("numbers"), f).alias("m")) for f in registry.components()))
+    rows = planted(spark, sf_dir).select("doc_id", verify.component_numbers(F.col("text")).alias("numbers")).select("doc_id", F.explode(each).alias("e"))
     present = F.array_sort(F.map_keys(F.map_filter("e.m", lambda _, v: v)))
     return rows.select("doc_id", "e.family", F.array_join(present, ",").alias("present"), F.size("e.m").cast("long").alias("total"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text
-from ..operators import blockwise, evaluate, ingest, provenance
+from ..operators import blockwise, evaluate, ingest, provenance, substrings
 from ..sources import files
 from .base import query, table
 
@@ -50,7 +50,7 @@ def last_error(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT p_partkey, CASE WHEN contains(upper(p_name), 'RED') THEN 'warm' WHEN contains(upper(p_name), 'BLUE') THEN 'cold' WHEN contains(upper(p_name), 'E') THEN 'other' END AS tone FROM part")
 def substring_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame([(1, "RED", "warm"), (2, "BLUE", "cold"), (3, "E", "other")], "ord int, pattern string, tone string")
-    return provenance.first_match(table(spark, sf_dir, "part").select("p_partkey", "p_name"), rules, "p_name").select("p_partkey", "tone")
+    return substrings.first_match(table(spark, sf_dir, "part").select("p_partkey", "p_name"), rules, "p_name").select("p_partkey", "tone")
 
 
 @query("SELECT coalesce(a.k, b.k) AS k, a.k IS NOT NULL AND b.k IS NOT NULL AS both_sides, a.k IS NULL AS only_right FROM (SELECT DISTINCT doc_id AS k FROM labels WHERE quality = 1) a FULL JOIN (SELECT doc_id AS k FROM documents WHERE n_chars > 2000) b ON a.k = b.k")
@@ -207,7 +207,7 @@ WITH f AS (SELECT doc_id, source, CASE WHEN doc_id - lag(doc_id) OVER w <= 2 THE
 SELECT source, CAST(isl AS BIGINT) AS island, min(doc_id) AS first, max(doc_id) AS last, count(*) AS n FROM i GROUP BY ALL
 """)
 def adjacency_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = blockwise.with_block(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
+    docs = blockwise.with_block(table(spark, sf_dir, "documents").select("doc_id", "source"), ["source"], "doc_id")
     flags = blockwise.previous(docs, ["source"], "doc_id", "before")
     flags = blockwise.running(flags, ["source"], ["doc_id"], island=("sum", F.when(F.col("doc_id") - F.col("before") <= 2, 0).otherwise(1)))
     return flags.groupBy("source", "island").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
@@ -230,7 +230,7 @@ def last_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, value - lag(value, 49) OVER (PARTITION BY event_type ORDER BY event_id) AS trend FROM events")
 def moving_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = blockwise.with_block(table(spark, sf_dir, "events").select("event_type", "event_id", "value"), "event_id")
+    events = blockwise.with_block(table(spark, sf_dir, "events").select("event_type", "event_id", "value"), ["event_type"], "event_id")
     return blockwise.lagged(events, ["event_type"], ["event_id"], "value", 49, "earlier").select("event_id", (F.col("value") - F.col("earlier")).alias("trend"))
 
 

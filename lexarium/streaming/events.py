@@ -93,7 +93,7 @@ def breaker(events: DataFrame, key: str, order: str, failed: str, pause: int = 3
 def breaker_rows(events: DataFrame, key: str, order: list[str], failed: str, pause: int = 3, abort: int = 8, total: int = 10**9) -> DataFrame:
     """The same of a static table: a run of failures starts after each success. Running values are taken in blocks, so no key is one task."""
     bad = F.col(failed).cast("int")
-    rows = blockwise.with_block(events, order[0])
+    rows = blockwise.with_block(events, [key], order[0])
     rows = blockwise.running(rows, [key], order, in_all=("sum", bad))
     rows = blockwise.running(rows, [key], order, good_=("max", F.when(bad == 0, F.col("in_all"))))  # failures up to the last success
     rows = rows.withColumn("in_a_row", F.col("in_all") - F.coalesce("good_", F.lit(0)))
@@ -106,7 +106,7 @@ def breaker_rows(events: DataFrame, key: str, order: list[str], failed: str, pau
 
 def gate(rows: DataFrame, by: str, order: list[str], zero: str, first: int = 50, most: int = 5, after: int = 100, share: float = 0.1) -> DataFrame:
     """(by, order, seen, zeroes): the first row of each key at which too many of its rows are zero: over ``most`` among the first ``first``, or over ``share`` after ``after``."""
-    own = blockwise.running(blockwise.with_block(rows, order[0]), [by], order, seen=("sum", F.lit(1).cast("long")), zeroes=("sum", F.col(zero).cast("long")))
+    own = blockwise.running(blockwise.with_block(rows, [by], order[0]), [by], order, seen=("sum", F.lit(1).cast("long")), zeroes=("sum", F.col(zero).cast("long")))
     bad = own.where(((F.col("seen") <= first) & (F.col("zeroes") > most)) | ((F.col("seen") >= after) & (F.col("zeroes") / F.col("seen") > share)))
     return bad.groupBy(by).agg(F.min(F.struct("seen", *order, "zeroes")).alias("b")).select(by, *(F.col(f"b.{c}") for c in order), "b.seen", "b.zeroes")
 
