@@ -1,4 +1,4 @@
-"""A Python data source over paged search services: offset or page number, back-off on errors, first-seen ids.
+"""A Python data source, batch and stream, over paged search services: by offset, page number or GraphQL, in smaller pages after errors.
 
 The transport is a function (url, parameters) -> decoded JSON, so tests and offline runs bring their own.
 """
@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 from urllib.parse import urlencode
 from urllib.request import Request, urlopen
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
 Fetch = Callable[[str, dict], dict]
@@ -104,34 +104,117 @@ def spaced(fetch: Fetch, seconds: float) -> Fetch:
     return own
 
 
-class Query(InputPartition):
-    def __init__(self, text: str):
-        self.text = text
+def _at(answer: dict | None, path: str):
+    for p in path.split("."):
+        answer = (answer or {}).get(p)
+    return answer
+
+
+class Service:
+    """A search service by its options: url; mode (offset, page or graphql, with a document); items and total, paths to the list and to
+    the number of all items; size and smallest, of pages; queries, parted by |."""
+
+    def __init__(self, options: dict, fetch: Fetch, post: Fetch):
+        self.url, self.mode = options["url"], options.get("mode", "offset")
+        if self.mode not in ("offset", "page", "graphql"):
+            raise ValueError(f"no mode {self.mode}")
+        self.fetch = graphql(options["document"], post) if self.mode == "graphql" else fetch
+        self.list, self.count = options.get("items", "hits.hits"), options.get("total", "hits.total.value")
+        self.size, self.smallest, self.first = int(options.get("size", 100)), int(options.get("smallest", 1)), int(options.get("first", 0))
+        self.queries = options.get("queries", "").split("|")
+
+    def items(self, answer: dict) -> list:
+        return _at(answer, self.list) or []
+
+    def all(self, query: str) -> Iterator[dict]:
+        """Every item, page by page until a short one."""
+        walk = numbered if self.mode == "page" else pages
+        more = {"first": self.first} if self.mode == "page" else {}
+        return walk(self.fetch, self.url, {"q": query}, self.items, self.size, smallest=self.smallest, **more)
+
+    def total(self, query: str) -> int:
+        """How many items there are now."""
+        own = {"page": self.first} if self.mode == "page" else {"from": 0}
+        return int(_at(self.fetch(self.url, {"q": query, "size": 1, **own}), self.count) or 0)
+
+    def between(self, query: str, start: int, end: int) -> Iterator[dict]:
+        """The items start to end - 1, which the service has said that it has; one that can't be had is an error, so that none is lost.
+
+        Numbered pages begin at multiples of their size: of those around an item the largest that can be had is taken.
+        """
+        at = start
+        while at < end:
+            own = self.size
+            while True:
+                own = max(own, 1)
+                low = at // own * own if self.mode == "page" else at
+                where = {"page": self.first + low // own} if self.mode == "page" else {"from": at}
+                try:
+                    got = self.items(self.fetch(self.url, {"q": query, "size": own, **where}))
+                    break
+                except OSError:
+                    if own <= self.smallest:
+                        raise
+                    own //= 2
+            part = got[at - low : end - low]
+            if not part:
+                raise OSError(f"{self.url} has no item {at} of {end}")
+            yield from part
+            at += len(part)
+
+
+class Part(InputPartition):
+    def __init__(self, query: str, start: int = 0, end: int | None = None):
+        self.query, self.start, self.end = query, start, end
+
+
+def _rows(query: str, items: Iterator[dict]) -> Iterator[tuple]:
+    for item in items:
+        yield query, json.dumps(item, ensure_ascii=False)
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, options: dict, fetch: Fetch):
-        self.options, self.fetch = options, fetch
+    """A query is a partition."""
+
+    def __init__(self, service: Service):
+        self.service = service
+
+    def partitions(self) -> list[Part]:
+        return [Part(q) for q in self.service.queries]
 
-    def partitions(self) -> list[Query]:
-        return [Query(q) for q in self.options.get("queries", "").split("|")]
+    def read(self, partition: Part) -> Iterator[tuple]:
+        return _rows(partition.query, self.service.all(partition.query))
 
-    def read(self, partition: Query) -> Iterator[tuple]:
-        path = self.options.get("items", "hits.hits").split(".")
 
-        def items(answer: dict) -> list:
-            for p in path:
-                answer = (answer or {}).get(p) or []
-            return answer
+class _Stream(DataSourceStreamReader):
+    """New items of each query as they are added at its end. The offset is how many of each have been read, so that Spark's checkpoint
+    knows what is left; a batch's items are read in parts of a page."""
 
-        for item in pages(self.fetch, self.options["url"], {"q": partition.text}, items, int(self.options.get("size", 100))):
-            yield partition.text, json.dumps(item, ensure_ascii=False)
+    def __init__(self, service: Service):
+        self.service = service
+
+    def initialOffset(self) -> dict:
+        return {q: 0 for q in self.service.queries}
+
+    def latestOffset(self) -> dict:
+        return {q: self.service.total(q) for q in self.service.queries}
+
+    def partitions(self, start: dict, end: dict) -> list[Part]:
+        size = self.service.size
+        return [Part(q, a, min(a + size, end[q])) for q in end for a in range(start.get(q, 0), end[q], size)]
+
+    def read(self, partition: Part) -> Iterator[tuple]:
+        return _rows(partition.query, self.service.between(partition.query, partition.start, partition.end))
+
+    def commit(self, end: dict) -> None:
+        """Nothing is kept outside the offsets."""
 
 
 class SearchSource(DataSource):
-    """``format("paged_search")`` with options url, queries (parted by |), items (path to the list) and size; rows (query, item)."""
+    """``format("paged_search")`` with the options of ``Service``, for ``spark.read`` and ``spark.readStream``; rows (query, item as JSON)."""
 
     fetch: Fetch = staticmethod(http)
+    post: Fetch = staticmethod(lambda url, body: post_json(url, body))
 
     @classmethod
     def name(cls) -> str:
@@ -140,5 +223,11 @@ class SearchSource(DataSource):
     def schema(self) -> str:
         return "query string, item string"
 
+    def _service(self) -> Service:
+        return Service(dict(self.options), type(self).fetch, type(self).post)
+
     def reader(self, schema: StructType) -> _Reader:
-        return _Reader(dict(self.options), type(self).fetch)
+        return _Reader(self._service())
+
+    def streamReader(self, schema: StructType) -> _Stream:
+        return _Stream(self._service())

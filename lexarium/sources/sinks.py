@@ -9,8 +9,10 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import UTC, datetime
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text
 from ..operators import provenance, runs
@@ -47,17 +49,19 @@ def write_once(df: DataFrame, path: str, overwrite: bool = False, fmt: str = "pa
 
 
 def write_text(spark: SparkSession, path: str, body: str) -> None:
-    """A small file, written beside its place and renamed."""
+    """A small file, written beside its place and renamed over it in one step, so that readers see the old one or the new one."""
     fs, at = _fs(spark, path)
-    _, part = _fs(spark, f"{path}.part")
+    _, part = _fs(spark, f"{path}.part-{uuid.uuid4().hex}")
     out = fs.create(part, True)
     try:
         out.write(bytearray(body.encode()))
     finally:
         out.close()
-    fs.delete(at, False)
-    if not fs.rename(part, at):
-        raise OSError(f"can't write {path}")
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+    context = jvm.FileContext.getFileContext(at.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.Options.Rename, 1)
+    options[0] = jvm.Options.Rename.OVERWRITE
+    context.rename(fs.makeQualified(part), fs.makeQualified(at), options)
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
@@ -132,18 +136,30 @@ def is_complete(spark: SparkSession, folder: str, family: str) -> bool:
 # --------------------------------------------------------------------------- manifests of documents
 
 
+@F.arrow_udf(T.StringType())
+def _with_fields(lines: pa.Array, urls: pa.Array, kinds: pa.Array) -> pa.Array:
+    """JSON objects with the two fields after their others, whose order and nesting stay; what is no object is given back."""
+    out = []
+    for line, url, kind in zip(lines.to_pylist(), urls.to_pylist(), kinds.to_pylist(), strict=True):
+        try:
+            own = json.loads(line or "")
+        except ValueError:
+            own = None
+        if isinstance(own, dict):
+            rest = {k: v for k, v in own.items() if k not in ("source_page_url", "source_page_kind")}
+            line = json.dumps(rest | {"source_page_url": url, "source_page_kind": kind}, ensure_ascii=False)
+        out.append(line)
+    return pa.array(out, pa.string())
+
+
 def backfilled(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Manifest lines with source_page_url and source_page_kind, derived where one of them is missing; other fields stay, in their order. Lines that are no objects stay as they are."""
+    """Manifest lines with source_page_url and source_page_kind, derived where one of them is missing; other fields stay, in their order,
+    fields of these names inside others too. Lines that are no objects stay as they are."""
     field = lambda c: F.get_json_object(line, f"$.{c}")
     rows = lines.select(line, field("source").alias("source"), field("download_url").alias("download_url"), field("source_metadata").alias("source_metadata"), field("source_page_url").alias("source_page_url"), field("source_page_kind").alias("source_page_kind"))
     whole = F.col("source_page_url").isNotNull() & F.col("source_page_kind").isNotNull()
     paired = provenance.with_source_page(rows.withColumn("have_", whole))
-    # what is half there is replaced by the derived pair
-    bare = F.rtrim(F.regexp_replace(F.regexp_replace(F.col(line), r',?\s*"source_page_(url|kind)":\s*(null|"(?:[^"\\]|\\.)*")', ""), r"^\{\s*,", "{"))
-    more = F.regexp_replace(F.to_json(F.struct("source_page_url", "source_page_kind"), {"ignoreNullFields": "false"}), r"^\{", "")
-    joint = F.when(bare.rlike(r"^\{\s*\}$"), "{").otherwise(F.concat(F.regexp_replace(bare, r"\s*\}$", ""), F.lit(", ")))
-    good = F.from_json(line, "map<string,string>").isNotNull()
-    return paired.select(F.when(~good | F.col("have_"), F.col(line)).otherwise(F.concat(joint, more)).alias(line))
+    return paired.select(F.when(F.col("have_"), F.col(line)).otherwise(_with_fields(F.col(line), "source_page_url", "source_page_kind")).alias(line))
 
 
 METADATA = "tag_status country instrument_type creditor_country creditor_type entity_type maturity_date".split()

@@ -111,6 +111,108 @@ def gate(rows: DataFrame, by: str, order: list[str], zero: str, first: int = 50,
     return bad.groupBy(by).agg(F.min(F.struct("seen", *order, "zeroes")).alias("b")).select(by, *(F.col(f"b.{c}") for c in order), "b.seen", "b.zeroes")
 
 
+class Gate(StatefulProcessor):
+    """For each key how many rows and zeroes it has had; tells once of the first row at which there are too many."""
+
+    def __init__(self, key: str, order: str, zero: str, first: int, most: int, after: int, share: float):
+        self.key, self.order, self.zero, self.first, self.most, self.after, self.share = key, order, zero, first, most, after, share
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("gate", "seen long, zeroes long, shut boolean")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        seen, zeroes, shut = self.state.get() if self.state.exists() else (0, 0, False)
+        if shut:
+            return
+        own = pd.concat([r[[self.order, self.zero]] for r in rows]).sort_values(self.order, kind="stable")
+        n = seen + np.arange(1, len(own) + 1)
+        z = zeroes + np.cumsum(own[self.zero].fillna(0).to_numpy(np.int64))
+        bad = np.flatnonzero(((n <= self.first) & (z > self.most)) | ((n >= self.after) & (z / n > self.share)))
+        self.state.update((int(n[-1]), int(z[-1]), bool(len(bad))))
+        if len(bad):
+            k = bad[0]
+            yield pd.DataFrame({self.key: key[0], self.order: own[self.order].to_numpy()[k : k + 1], "seen": n[k : k + 1], "zeroes": z[k : k + 1]})
+
+    def close(self) -> None:
+        pass
+
+
+def gate_stream(rows: DataFrame, by: str, order: str, zero: str, first: int = 50, most: int = 5, after: int = 100, share: float = 0.1) -> DataFrame:
+    """What ``gate`` finds, of a stream whose batches come in order: (by, order, seen, zeroes) once a key, across batches and restarts."""
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    schema = f"{by} {kinds[by]}, {order} {kinds[order]}, seen long, zeroes long"
+    return rows.select(by, order, F.col(zero).cast("int").alias(zero)).groupBy(by).transformWithStateInPandas(Gate(by, order, zero, first, most, after, share), outputStructType=schema, outputMode="append", timeMode="none")
+
+
+class Pauses(StatefulProcessor):
+    """Rows of a key pass until ``pause`` failures in a row; then the key is held for some time, by a timer, and its rows are kept in
+    order. When the time is over they are let go (or, with ``skip``, told as skipped when they came), and the count starts again."""
+
+    def __init__(self, key: str, order: str, failed: str, pause: int, hold_ms: int, skip: bool):
+        self.key, self.order, self.failed, self.pause, self.hold, self.skip = key, order, failed, pause, hold_ms, skip
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.run = handle.getValueState("run", "in_a_row int, until long")
+        self.kept = handle.getListState("kept", "at string, failed boolean")
+
+    def _told(self, key, rows: list[tuple[str, bool]], actions: list[str]) -> pd.DataFrame:
+        return pd.DataFrame({self.key: [key[0]] * len(rows), self.order: [a for a, _ in rows], "action": actions})
+
+    def _pass(self, key, rows: list[tuple[str, bool]], in_a_row: int, now: int) -> pd.DataFrame:
+        """Lets rows go until one makes the pause; the others are kept or skipped."""
+        done, actions = [], []
+        for k, (at, bad) in enumerate(rows):
+            done.append((at, bad))
+            in_a_row = in_a_row + 1 if bad else 0
+            actions.append("passed")
+            if in_a_row >= self.pause:
+                actions[-1] = "paused"
+                until = now + self.hold
+                self.handle.registerTimer(until)
+                self.run.update((0, until))
+                rest = rows[k + 1 :]
+                if self.skip:
+                    done, actions = done + rest, actions + ["skipped"] * len(rest)
+                elif rest:
+                    self.kept.put(rest)
+                return self._told(key, done, actions)
+        self.run.update((in_a_row, 0))
+        return self._told(key, done, actions)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        own = pd.concat([r[[self.order, self.failed]] for r in rows]).sort_values(self.order, kind="stable")
+        pairs = [(str(a), bool(b)) for a, b in zip(own[self.order], own[self.failed].fillna(False), strict=True)]
+        in_a_row, until = self.run.get() if self.run.exists() else (0, 0)
+        if not until:
+            yield self._pass(key, pairs, in_a_row, timerValues.getCurrentProcessingTimeInMs())
+        elif self.skip:
+            yield self._told(key, pairs, ["skipped"] * len(pairs))
+        else:
+            self.kept.appendList(pairs)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        waiting = [(a, b) for a, b in self.kept.get()] if self.kept.exists() else []
+        self.kept.clear()
+        self.run.update((0, 0))
+        if waiting:
+            yield self._pass(key, waiting, 0, timerValues.getCurrentProcessingTimeInMs())
+
+    def close(self) -> None:
+        pass
+
+
+def pauses(events: DataFrame, key: str, order: str, failed: str, pause: int = 3, hold_seconds: float = 60.0, skip: bool = False) -> DataFrame:
+    """(key, order as string, action) for each row: passed; paused, for the failure that makes its key wait ``hold_seconds``; skipped, for
+    a row that came meanwhile, with ``skip``; without it such rows wait in state and go, in order, when the timer ends the pause.
+
+    A row that waits is in the checkpoint, so a restart neither loses nor repeats it. One key's rows of a batch are put in order in memory.
+    """
+    schema = f"{key} {dict(events.dtypes)[key]}, {order} string, action string"
+    own = Pauses(key, order, failed, pause, int(hold_seconds * 1000), skip)
+    return events.select(key, order, failed).groupBy(key).transformWithStateInPandas(own, outputStructType=schema, outputMode="append", timeMode="ProcessingTime")
+
+
 def load_new(rows: DataFrame, table: str, key: list[str], checkpoint: str) -> StreamingQuery:
     """Appends each key once, whatever is sent again or replayed."""
 

@@ -213,3 +213,60 @@ def test_gates(spark):
     assert evaluate.parse_gates(checks, 20).first()["passed"] and not evaluate.parse_gates(checks, 23).first()["passed"]
     assert not evaluate.parse_gates(checks.where("no_header").unionByName(checks.limit(1)), 2).first()["passed"]
     assert evaluate.parse_gates(checks.where("false"), 0).first()["documents"] == 0
+
+
+@pytest.mark.parametrize("nested", [{"source_page_url": "own", "a": 1}, {"b": {"source_page_kind": None}}, {"text": '"source_page_url": "x", '}])
+def test_backfill_leaves_nested_fields(spark, nested):
+    line = json.dumps({"source": "nsm", "source_page_kind": None, "source_metadata": nested, "download_url": "http://x/a.pdf", "n": 1.50})
+    got = json.loads(sinks.backfilled(spark.createDataFrame([(line,)], "value string")).first()["value"])
+    assert list(got) == ["source", "source_metadata", "download_url", "n", "source_page_url", "source_page_kind"]
+    assert got["source_metadata"] == nested and got["source_page_url"] == "http://x/a.pdf" and got["n"] == 1.5
+
+
+def _service(folder, mode):
+    """A source over files that say how many items a query has; pages with item 13 fail unless they are small."""
+    from lexarium.sources import rest
+
+    def answer(q, start, size):
+        n = int((folder / q).read_text())
+        if start <= 13 < start + size and size > 2:
+            raise OSError("too large")
+        return {"hits": {"hits": [{"id": f"{q}{k}"} for k in range(start, min(n, start + size))], "total": {"value": n}}}
+
+    class Own(rest.SearchSource):
+        fetch = staticmethod(lambda url, p: answer(p["q"], p["from"] if "from" in p else p["page"] * p["size"], p["size"]))
+        post = staticmethod(lambda url, body: {"data": answer(body["variables"]["q"], body["variables"]["from"], body["variables"]["size"])})
+
+        @classmethod
+        def name(cls):
+            return f"own_{mode}"
+
+    return Own
+
+
+@pytest.mark.parametrize("mode", ["offset", "page", "graphql"])
+def test_paged_source_in_batch_and_stream(spark, tmp_path, mode):
+    """All kinds of paging; a stream that is stopped and started again reads each item once, a failing page included."""
+    (tmp_path / "a").write_text("23")
+    (tmp_path / "b").write_text("0")
+    spark.dataSource.register(_service(tmp_path, mode))
+    options = {"url": "x", "queries": "a|b", "size": "7", "mode": mode, "document": "query"}
+    ids = lambda df: sorted(json.loads(r["item"])["id"] for r in df.collect())
+    if mode != "page":
+        options["smallest"] = "1"
+    batch = spark.read.format(f"own_{mode}").options(**options).load()
+    assert ids(batch) == sorted(f"a{k}" for k in range(23))
+    for a, b in ((23, 0), (23, 0), (40, 5), (41, 12)):
+        (tmp_path / "a").write_text(str(a))
+        (tmp_path / "b").write_text(str(b))
+        rows = spark.readStream.format(f"own_{mode}").options(**options).load()
+        query = rows.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(str(tmp_path / "out"))
+        query.awaitTermination()
+        assert ids(spark.read.parquet(str(tmp_path / "out"))) == sorted([*(f"a{k}" for k in range(a)), *(f"b{k}" for k in range(b))])
+
+
+def test_small_files_are_replaced_whole(spark, tmp_path):
+    for body in ("one", "two"):
+        sinks.write_text(spark, str(tmp_path / "f/x.json"), body)
+        assert sinks.read_text(spark, str(tmp_path / "f/x.json")) == body
+    assert [p.name for p in (tmp_path / "f").iterdir() if "part" in p.name and not p.name.startswith(".")] == []

@@ -59,3 +59,55 @@ def test_breaker(spark, sf_dir, tmp_path):
     finally:
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
     assert got == want and want
+
+
+@pytest.fixture
+def rocks(spark):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+
+
+def test_gate_over_batches_and_a_restart(spark, tmp_path, rocks):
+    """A stream in four files, stopped in the middle, finds what the batch gate finds."""
+    rows = spark.range(900).selectExpr("concat('k', id % 3) AS k", "id AS at", "id % 3 = 0 AND id > 600 OR id % 3 = 1 AND id % 30 < 3 AS zero")
+    want = sorted(map(str, stream.gate(rows, "k", ["at"], "zero").collect()))
+    read = lambda: spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/*"))
+    for half in (0, 1):
+        for k in (2 * half, 2 * half + 1):
+            rows.where(F.col("at").between(225 * k, 225 * k + 224)).coalesce(1).write.parquet(str(tmp_path / f"in/{k}"))
+        out = stream.gate_stream(read(), "k", "at", "zero").writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).outputMode("append").trigger(availableNow=True).start(str(tmp_path / "out"))
+        out.awaitTermination()
+    assert sorted(map(str, spark.read.parquet(str(tmp_path / "out")).select("k", "at", "seen", "zeroes").collect())) == want and len(want) >= 2
+
+
+@pytest.mark.parametrize("skip", [False, True])
+def test_pauses_end_by_a_timer(spark, tmp_path, rocks, skip):
+    """Rows after the failures wait for the timer, through a restart, or are skipped; each is told of once."""
+    import time
+
+    rows = spark.createDataFrame([("a", f"{k:02}", k in (1, 2, 5)) for k in range(8)] + [("b", "00", False)], "k string, at string, failed boolean")
+    rows.where("at < '04'").coalesce(1).write.parquet(str(tmp_path / "in/0"))
+    read = lambda: stream.pauses(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in/*")), "k", "at", "failed", pause=2, hold_seconds=3, skip=skip)
+    told = lambda: sorted(tuple(r) for r in spark.read.schema("k string, at string, action string").parquet(str(tmp_path / "out")).collect())
+
+    def run(**trigger):
+        return read().writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).outputMode("append").trigger(**trigger).start(str(tmp_path / "out"))
+
+    def wait(query, n):
+        """Until n rows are told, by batches of a second; then the query ends."""
+        deadline = time.time() + 40
+        while time.time() < deadline and not ((tmp_path / "out/_spark_metadata").exists() and len(told()) >= n):
+            time.sleep(0.5)
+        query.stop()
+
+    wait(run(processingTime="1 second"), 4 + skip)
+    rows.where("at >= '04'").coalesce(1).write.parquet(str(tmp_path / "in/1"))
+    time.sleep(5)
+    query = run(processingTime="1 second")
+    wait(query, 9)
+    got = told()
+    assert len(got) == 9 and len({(k, at) for k, at, _ in got}) == 9
+    assert [x for _, at, x in got if at == "02"] == ["paused"]
