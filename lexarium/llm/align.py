@@ -34,6 +34,8 @@ VOCABULARY_BYTES = 64 << 20
 SHARD_ROWS, HELD = 1 << 20, 1 << 20
 #: Bytes of text that are encoded at a time: a token takes some tens of bytes then.
 BLOCK = 1 << 18
+#: Links that a task counts or looks up at a time.
+LOOKED_UP = 1 << 19
 DIGITS = 10
 
 LINKS = T.StructType(
@@ -187,6 +189,17 @@ def keys_of(batch: pa.RecordBatch, a: str = "a", b: str = "b") -> np.ndarray:
     return flat(b) << 32 | flat(a)
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of batches, about LOOKED_UP links at a time."""
+    for batch in batches:
+        ends = np.cumsum(batch.column(batch.schema.get_field_index("a")).value_lengths().to_numpy(zero_copy_only=False))
+        i = 0
+        while i < batch.num_rows:
+            j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + LOOKED_UP, side="right")))
+            yield batch.slice(i, j - i)
+            i = j
+
+
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Runs of equal keys, which are sorted, as one with the sum."""
     if not len(keys):
@@ -198,7 +211,7 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, n) of a partition's links, each key once while no more than HELD are held."""
     keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
-    for batch in batches:
+    for batch in _parts(batches):
         k, n = np.unique(keys_of(batch), return_counts=True)
         keys, counts = np.r_[keys, k], np.r_[counts, n]
         order = np.argsort(keys, kind="stable")
@@ -299,7 +312,7 @@ def with_counts(links: DataFrame, counts: Counts, keep: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Counts(*shared.value)
-        for batch in batches:
+        for batch in _parts(batches):
             keys, back = np.unique(keys_of(batch), return_inverse=True)
             n = own.of(keys)
             best = (n == own.top[keys >> 32])[back] if len(keys) else np.empty(0, bool)
