@@ -213,6 +213,9 @@ def with_score(docs: DataFrame, model: Model, text: str = "text", name: str = "s
 
 
 def drop_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that score under the threshold, with the columns of docs."""
+    """The documents that score under the threshold, with the columns of docs. A model that has learned nothing, as from no labelled row, is
+    an error: it would call all texts alike."""
+    if not len(model.index) and not model.bias and not docs.isEmpty():
+        raise ValueError("the model has learned from no labelled row")
     (own,) = fresh(docs, "toxicity_score")
     return with_score(docs, model, text, own).where(F.col(own) < threshold).select(*(F.col(f"`{c}`") for c in docs.columns))
