@@ -8,8 +8,10 @@ whatever its tags, is the deepest container with most of the content; it grows b
 is content rather than not or, inside one article or main, no list of links. All lines of the region are its text, short ones too.
 Where the region is the whole page, containers in which no line is content stay out.
 
-Words in class and id are only evidence for a veto (``marked``): no heading, paragraph or main falls by them (a paragraph only by the
-whole name of an advert), nor an element that holds most of the content around it, so a wrapper named for its layout keeps its text.
+What an element is taken out for has a rank (``veto``), whatever its size: no text stays because it is long. An element of low rank
+stays only as the wrapper of what a page is about: its articles or mains, else its first headings and elements named for content,
+where none of them is outside such elements. Reader comments are never a wrapper. No heading, body or main falls by its class or id (a
+paragraph only by the whole name of an advert). A headline before the region is part of the text if the region has none.
 
 Every step is linear in the page: nothing recurses, and the open elements are found by their tags, not by a search.
 """
@@ -45,7 +47,16 @@ ASIDES = frozenset("ad ads advert advertisement sponsored promo promoted teaser
 #: Words that text sections of an article are named for, too.
 TOPICS = frozenset("ads advertising promotion banner navigation menu cookie cookies consent gdpr notice notices notification alert newsletter subscription login share sharing social related recommended recommendations trending popular search hidden copyright disclaimer sponsor".split())
 PLAIN_P = frozenset("address article aside blockquote details dialog div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
-#: A form or the like around most of a page's text is its wrapper.
+#: Words for reader comments; beside them in a name, the other words that a part of such a list has.
+COMMENTS = frozenset("comment comments commentlist respond disqus reply replies".split())
+COMMENT_PARTS = frozenset("area author body box container content form item list section template text thread wrap wrapper".split())
+#: Words for the layout of a page; a name of several words with one of them may be a wrapper's.
+LAYOUT = frozenset("banner footer header masthead menu nav navbar rail sidebar siteheader toolbar topbar widget".split())
+#: A name with one of these words says what is around or about an element, not what it is.
+ABOUT = frozenset("has with without no category tag type format".split())
+STATES = frozenset("open closed enabled disabled on off".split())
+#: Words of which the names of content are made.
+NAMED = frozenset("article body content entry main post prose story text".split())
 WRAPPERS = frozenset(("form", "fieldset"))
 #: Class names of paragraphs that are adverts.
 ADVERTS = frozenset("ad ads advert advertisement sponsored promo".split())
@@ -63,25 +74,26 @@ SIGMA, REACH = 1.0, 2
 KERNEL = [math.exp(-(k * k) / (2 * SIGMA * SIGMA)) for k in range(-REACH, REACH + 1)]
 #: Share of the content text that a region holds at least.
 MOST = 0.7
-#: Kinds of marks: a word within a name, and a whole name; and the share of the content around it by which such an element is content.
-PART, WHOLE = 1, 2
-HOLDS = {PART: 0.5, WHOLE: 0.9}
+#: Ranks of what an element is taken out for: a wrapping form or hidden element, a layout's name, a word in a name, a whole name, a
+#: tag or role that is no content, and reader comments.
+WRAP, PLACE, PART, WHOLE, HARD, READERS = 1, 2, 3, 4, 5, 6
 
 
 Line = tuple[str, int, int, float]
 
 
 class Page(HTMLParser):
-    """Lines of a page: (text, tags, element, share that is links); elements, parents before children: tag, parent, veto, kind of mark."""
+    """Lines of a page: (text, tags, element, share that is links); elements, parents before children: tag, parent, ranks of tag and of names."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
         self.tags: list[str] = ["#page"]
         self.parent: list[int] = [-1]
-        self.other: list[bool] = [False]
+        self.other: list[int] = [0]
         self.marks: list[int] = [0]
         self.topic: set[int] = set()
+        self.named: set[int] = set()
         self.open: list[int] = [0]
         #: Places in the stack of open elements, last one last: by tag, and of what ends the search for a tag.
         self.places: dict[str, list[int]] = {}
@@ -104,7 +116,7 @@ class Page(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if self.silent and tag in SILENT and tag not in VOID:
-            self._push(tag, False)
+            self._push(tag)
             self.silent += 1
             return
         if tag in BLOCK:
@@ -120,11 +132,11 @@ class Page(HTMLParser):
             return
         if tag in SILENT:
             self.silent += 1
-            self._push(tag, False)
+            self._push(tag)
         elif tag in BLOCK or attrs:
             self._push(tag, self._is_other(tag, attrs), self._mark(tag, attrs))
         else:
-            self._push(tag, False)
+            self._push(tag)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -142,13 +154,15 @@ class Page(HTMLParser):
             out.append(self.fences)
         return out
 
-    def _push(self, tag: str, other: bool, mark: tuple[int, bool] = (0, False)) -> None:
+    def _push(self, tag: str, other: int = 0, mark: tuple[int, bool, bool] = (0, False, False)) -> None:
         self.tags.append(tag)
         self.parent.append(self.open[-1])
         self.other.append(other)
         self.marks.append(mark[0])
         if mark[1]:
             self.topic.add(len(self.tags) - 1)
+        if mark[2]:
+            self.named.add(len(self.tags) - 1)
         for places in self._kept(tag):
             places.append(len(self.open))
         self.regions += tag in REGION
@@ -168,44 +182,45 @@ class Page(HTMLParser):
         if places and (not fences or fences[-1] <= places[-1]):
             self._pop(places[-1])
 
-    def _is_other(self, tag: str, attrs: list) -> bool:
-        if tag in OTHER or tag == "header" and not self.regions:
-            return True
+    def _is_other(self, tag: str, attrs: list) -> int:
+        """The rank for tag, role and being hidden."""
+        rank = WRAP if tag in WRAPPERS else HARD if tag in OTHER or tag == "header" and not self.regions else 0
         for name, value in attrs:
-            if name == "hidden":
-                return True
-            if not value:
-                continue
-            value = value.lower()
-            if name == "role" and (value.strip() in ROLES) or name == "aria-hidden" and value.strip() == "true":
-                return True
-            if name == "style" and "display:none" in value.replace(" ", ""):
-                return True
-        return False
-
-    def _mark(self, tag: str, attrs: list) -> tuple[int, bool]:
-        """The kind of mark of class and id, and whether it may be the topic of a text section of an article."""
+            value = (value or "").lower()
+            if name == "role" and value.strip() in ROLES:
+                rank = max(rank, WRAP if value.strip() == "form" else HARD)
+            elif name == "hidden" or name == "aria-hidden" and value.strip() == "true" or name == "style" and "display:none" in value.replace(" ", ""):
+                rank = max(rank, WRAP)
+        return rank
+
+    def _mark(self, tag: str, attrs: list) -> tuple[int, bool, bool]:
+        """The rank for class and id, whether it may be the topic of a text section of an article, and whether it is named for content."""
         if tag in HEADINGS or tag in ("html", "body", "main"):
-            return 0, False
+            return 0, False, False
         if tag == "p":
-            return (WHOLE if any(name == "class" and value and not ADVERTS.isdisjoint(value.lower().split()) for name, value in attrs) else 0), False
-        names = [x for name, value in attrs if name in ("class", "id") and value for x in value.lower().split()]
-        if not names:
-            return 0, False
+            return (WHOLE if any(name == "class" and value and not ADVERTS.isdisjoint(value.lower().split()) for name, value in attrs) else 0), False, False
         inside = self.regions > 0
-        whole, part = set(), False
-        for x in names:
-            words = [w for w in _SPLIT.split(x) if w]
-            if not words:
+        rank, topic, named = 0, False, False
+        for key, name in ((key, x) for key, value in attrs if key in ("class", "id") and value for x in value.lower().split()):
+            words = [w for w in _SPLIT.split(name) if w]
+            if not words or not ABOUT.isdisjoint(words[:-1]) or words[-1] in STATES:
                 continue
-            if len(words) == 1 and (words[0] in MARKS or not inside and words[0] in OUTER):
-                whole.add(words[0])
+            named = named or NAMED.issuperset(words)
+            rest = [w for w in words if w not in COMMENTS]
+            if len(rest) < len(words) and (not rest or words[-1] in COMMENTS or all(w in COMMENT_PARTS or w.isdigit() for w in rest)):
+                rank = READERS
+            elif tag == "article":
+                rank = max(rank, PART if len(words) == 1 and words[0] in ASIDES else 0)
+            elif len(words) == 1:
+                if words[0] in MARKS or not inside and words[0] in OUTER:
+                    rank = max(rank, WHOLE)
+                    topic = topic or key == "id" and words[0] in TOPICS
             # in an article the last word says what a thing is: related-work is no box of related pages
-            elif words[-1] in MARKS or not inside and not MARKS.union(OUTER).isdisjoint(words):
-                part = True
-        if tag == "article":
-            return (PART if whole & ASIDES else 0), False
-        return (WHOLE if whole else PART if part else 0), inside and tag == "section" and not part and whole <= TOPICS
+            elif hits := [w for w in (words[-1:] if inside else words) if w in MARKS or not inside and w in OUTER]:
+                rank = max(rank, PLACE if LAYOUT.issuperset(hits) else PART)
+        if rank == PLACE and named:
+            rank = 0
+        return rank, topic and rank == WHOLE and inside and tag == "section", named and not rank
 
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCK:
@@ -264,49 +279,57 @@ def _held(page: Page, lines: list[Line], flags: list[float]) -> list[float]:
     return out
 
 
-def _outside(page: Page, gone: list[bool]) -> list[Line]:
-    """The lines in no element that is gone; an element around a region that is not gone stays."""
-    free = set()
-    for k, tag in enumerate(page.tags):
-        if tag in REGION and not gone[k]:
+def _within(page: Page, out: list[bool]) -> list[bool]:
+    """Whether each element is one of those, or inside one."""
+    within = list(out)
+    for k in range(1, len(within)):
+        within[k] = within[k] or within[page.parent[k]]
+    return within
+
+
+def _free(page: Page, rank: list[int], cores: list[int]) -> list[bool]:
+    """The elements that have a rank, but those around a core."""
+    around = set()
+    for k in cores:
+        while k >= 0 and k not in around:
+            around.add(k)
             k = page.parent[k]
-            while k >= 0 and k not in free:
-                free.add(k)
-                k = page.parent[k]
-    other = [False] * len(page.tags)
-    for k in range(1, len(page.tags)):
-        other[k] = other[page.parent[k]] or gone[k] and k not in free
-    return [x for x in page.lines if not other[x[2]]]
-
-
-def marked(page: Page, lines: list[Line]) -> list[int]:
-    """The elements that their marks exclude: those that don't hold most of the content of their region or of a page without regions, and those beside the regions of a page."""
-    held, size = _held(page, lines, _content(page, lines)), _held(page, lines, [True] * len(lines))
-    around = [0] * len(page.tags)
-    regions = [int(tag in REGION and n > 0 and kind == 0) for tag, n, kind in zip(page.tags, size, page.marks, strict=True)]
-    for k in range(1, len(page.tags)):
-        up = page.parent[k]
-        around[k] = up if page.tags[up] in REGION else around[up]
-    for k in range(len(page.tags) - 1, 0, -1):
-        regions[page.parent[k]] += regions[k]
-    out = []
-    for k, kind in enumerate(page.marks):
-        beside = regions[0] and not regions[k] and not around[k]
-        if kind and not (k in page.topic and 2 * held[k] > size[k]) and (beside or not held[k] or held[k] <= HOLDS[kind] * held[around[k]]):
-            out.append(k)
-    return out
+    return [x > 0 and k not in around for k, x in enumerate(rank)]
 
 
 def veto(page: Page) -> tuple[list[bool], list[Line]]:
-    """Which elements are something other than content, and the lines outside them."""
-    text = _held(page, page.lines, [True] * len(page.lines))
-    # a form around most of a page is its wrapper
-    gone = [other and not (tag in WRAPPERS and 2 * n > text[0]) for other, tag, n in zip(page.other, page.tags, text, strict=True)]
-    lines = _outside(page, gone)
-    if any(page.marks):
-        for k in marked(page, lines):
-            gone[k] = True
-        lines = _outside(page, gone) or lines
+    """Which elements are something other than content, and the lines outside them.
+
+    Elements with a rank go. Cores are articles and mains up to WHOLE, else first headings and elements named for content up to PLACE:
+    of those with text the ones whose elements around them have the least rank. Where that isn't none, what is around them stays. If
+    nothing else is left, articles and mains inside a tag that is no content stay (as of a menu without its end), then layout names.
+    """
+    rank = [max(x) for x in zip(page.other, page.marks, strict=True)]
+    if page.topic:
+        held, own = _held(page, page.lines, _content(page, page.lines)), _held(page, page.lines, [True] * len(page.lines))
+        for k in page.topic:
+            if page.other[k] == 0 and 2 * held[k] > own[k]:
+                rank[k] = 0
+    size = _held(page, page.lines, [True] * len(page.lines))
+    path = list(rank)
+    for k in range(1, len(path)):
+        path[k] = max(path[k], path[page.parent[k]])
+    regions = [k for k, tag in enumerate(page.tags) if size[k] and tag in REGION and not rank[k]]
+    heads = [k for k, tag in enumerate(page.tags) if size[k] and (tag == "h1" or k in page.named)]
+
+    def least(cores: list[int], most: int) -> list[int]:
+        known = [path[k] for k in cores if path[k] <= most]
+        return [k for k in cores if path[k] == min(known)] if known else []
+
+    def outside(gone: list[bool]) -> tuple[list[bool], list[Line]]:
+        within = _within(page, gone)
+        return gone, [x for x in page.lines if not within[x[2]]]
+
+    gone, lines = outside(_free(page, rank, least(regions, WHOLE) or least(heads, PLACE)))
+    if not lines:
+        gone, lines = outside(_free(page, rank, least(regions, HARD)))
+    if not lines:
+        gone, lines = outside([x > PLACE or x == WRAP for x in rank])
     return gone, lines
 
 
@@ -321,7 +344,7 @@ def region(page: Page, gone: list[bool], lines: list[Line], good: list[bool]) ->
     while own > 0 and page.tags[own] not in REGION:
         own = page.parent[own]
     k = page.parent[at]
-    while k > 0 and page.tags[k] not in ROOTS and not gone[k] and page.marks[k] != WHOLE:
+    while k > 0 and page.tags[k] not in ROOTS and not gone[k] and page.marks[k] < WHOLE and page.other[k] < HARD:
         more, other = held[k] - held[at], rest[k] - rest[at]
         if more > 0 and more >= other or k >= own > 0 and more + other > 0 and 2 * (links[k] - links[at]) < more + other:
             at = k
@@ -329,6 +352,18 @@ def region(page: Page, gone: list[bool], lines: list[Line], good: list[bool]) ->
     return at
 
 
+def headline(page: Page, lines: list[Line], inside: list[bool]) -> set[int]:
+    """The lines of the last h1 before a region that has none, and of what is between them in the h1's own element, but links."""
+    at = [i for i, x in enumerate(lines) if inside[x[2]]]
+    if not at or any(page.tags[lines[i][2]] == "h1" for i in at):
+        return set()
+    first = next((i for i in range(at[0] - 1, -1, -1) if page.tags[lines[i][2]] == "h1"), None)
+    if first is None:
+        return set()
+    up = page.parent[lines[first][2]]
+    return {i for i in range(first, at[0]) if page.parent[lines[i][2]] == up and 2 * lines[i][3] < 1}
+
+
 def extract(html: str | None) -> str:
     """The main text: one line a block; empty for a null, an empty page or a page without content."""
     if not html:
@@ -344,7 +379,8 @@ def extract(html: str | None) -> str:
     inside = [False] * len(page.tags)
     for k in range(at, len(page.tags)):
         inside[k] = k == at or k > 0 and inside[page.parent[k]] and not (whole and not held[k] and page.tags[k] in PARTS)
-    return "\n".join(text for text, _, k, _ in lines if inside[k])
+    before = headline(page, lines, inside)
+    return "\n".join(x[0] for i, x in enumerate(lines) if inside[x[2]] or i in before)
 
 
 def with_main_text(pages: DataFrame, html: str = "html", name: str = "text", keep: list[str] | None = None) -> DataFrame:
