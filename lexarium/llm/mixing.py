@@ -4,14 +4,20 @@ A source's weight is its token share to a power (the inverse temperature), norma
 the least one at which no source repeats more than ``max_repeats`` times, or to the one at which the weights have ``entropy``
 (nats). Each source's budget, its weight's part of the total, is realised as whole passes over the source and a part of one more:
 the documents whose seeded hash is at most the source's cut, where the cut is found on per-block token sums and then inside one
-block. All rows are then dealt to blocks by another seeded hash, and each block is a permutation in which every source has its
-weight in expectation only: blocks have no budgets, and a source of few rows is absent from some.
+block.
+
+The mix is a sequence of blocks (``in_blocks``). Each block has an integer budget of every source, its rows' part of the block within
+one row, and is a permutation by a seeded hash. A source's rows are dealt over the blocks in the order of another hash, each source
+from where the one before it ended, so that blocks are of one size, within one row; the stride from block to block is near the golden
+ratio, so that a source of fewer rows than blocks is spread evenly over them.
 
 ``budget`` None: the least budget that passes every source at least once, so mixing repeats documents but drops none.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -20,7 +26,7 @@ from .common import fresh, staged
 
 SEED = "mix-1"
 MAX_REPEATS = 2.0
-#: Most documents of a block, on average.
+#: Most documents of a block.
 BLOCK_DOCS = 4096
 #: Bisection levels: so many jobs, each of so many levels at once.
 JOBS, LEVELS = 5, 5
@@ -130,11 +136,34 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     return rows.withColumn(mix_key, order_key("mix", seed, f"`{epoch}`", f"`{doc_id}`", f"`{k5}`")).drop(k5)
 
 
-def in_blocks(mixed: DataFrame, doc_id: str = "doc_id", block_docs: int = BLOCK_DOCS) -> DataFrame:
-    """mixed with block int and slot int: consecutive blocks of the mix, and the place in the block."""
+def stride(blocks: int) -> int:
+    """The greatest number up to 0.618 of the blocks that has no factor in common with them."""
+    return next((k for k in range(blocks * 618 // 1000, 0, -1) if math.gcd(k, blocks) == 1), 1)
+
+
+def in_blocks(mixed: DataFrame, doc_id: str = "doc_id", block_docs: int = BLOCK_DOCS, source: str = "source", mix_key: str = "mix_key", block: str = "block", slot: str = "slot") -> DataFrame:
+    """mixed with block int and slot int, the place in the block: blocks of at most block_docs rows, with each source's rows spread over
+    them within one row.
+
+    mixed is read three times, so stage it. A null source is a source. Rows that agree in key, id and source are alike; columns that
+    have the new names are replaced; an empty table gives none. A source's rows are ranked inside pieces of about block_docs rows by
+    the sums of the pieces before, so no task gets a whole source.
+    """
+    mixed = mixed.select(*(F.col(f"`{c}`") for c in mixed.columns if c.lower() not in (block.lower(), slot.lower())))
     n = mixed.count()
+    blocks = max(1, -(-n // block_docs))
     digits = next(k for k in range(8) if n <= block_docs * 16**k or k == 7)
-    block = F.conv(F.concat(F.lit("0"), F.substring("mix_key", 1, digits)), 16, 10).cast("int")
-    (own,) = fresh(mixed, "block")
-    place = F.row_number().over(Window.partitionBy(own).orderBy("mix_key", F.col(f"`{doc_id}`"))) - 1
-    return mixed.withColumn(own, block).withColumn("slot", place)
+    piece, own, cut, start, rank = fresh(mixed, "piece", "own", "cut", "start", "rank")
+    rows = mixed.withColumn(piece, F.substring(F.col(f"`{mix_key}`"), 1, digits))
+    sizes = staged(rows.groupBy(F.col(f"`{source}`").alias(own), F.col(piece).alias(cut)).agg(F.count("*").alias("n")), "mixing-pieces")
+    whole = sizes.groupBy(F.col(own).alias("source")).agg(F.sum("n").alias("n"))
+    # one row a source
+    whole = whole.select("source", (F.sum("n").over(Window.orderBy("source").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("first"))
+    upto = F.sum("n").over(Window.partitionBy(own).orderBy(cut).rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    sizes = sizes.withColumn("upto", upto).join(whole, F.col(own).eqNullSafe(F.col("source"))).select(own, cut, (F.col("first") + F.col("upto")).alias(start))
+    order = [F.col(f"`{c}`") for c in (mix_key, doc_id)]
+    rows = rows.withColumn(rank, F.row_number().over(Window.partitionBy(f"`{source}`", piece).orderBy(*order)) - 1)
+    rows = rows.join(sizes, F.col(f"`{source}`").eqNullSafe(F.col(own)) & (F.col(piece) == F.col(cut)))
+    rows = rows.withColumn(block, ((F.col(start) + F.col(rank)) % blocks * stride(blocks) % blocks).cast("int"))
+    place = F.row_number().over(Window.partitionBy(f"`{block}`").orderBy(*order, F.col(f"`{source}`"))) - 1
+    return rows.withColumn(slot, place).select(*(F.col(f"`{c}`") for c in mixed.columns), F.col(f"`{block}`"), F.col(f"`{slot}`"))

@@ -135,9 +135,11 @@ u AS (SELECT *, sum(n_tokens) OVER (PARTITION BY source ORDER BY pick RANGE BETW
 t AS (SELECT *, min(CASE WHEN rest > 0 AND upto >= rest THEN pick END) OVER (PARTITION BY source) AS cut FROM u),
 m AS (SELECT doc_id, source, n_tokens, digest, CAST(unnest(range(passes + CASE WHEN pick <= cut THEN 1 ELSE 0 END)) AS INTEGER) AS epoch FROM t),
 k AS (SELECT *, md5('mix-1|mix|' || epoch || '|' || doc_id || '|' || digest) AS mix_key FROM m),
-d AS (SELECT CASE WHEN count(*) <= 4096 THEN 0 WHEN count(*) <= 65536 THEN 1 ELSE 2 END AS digits FROM k),
-b AS (SELECT k.*, CASE WHEN digits = 0 THEN 0 ELSE CAST('0x' || substr(mix_key, 1, digits) AS INTEGER) END AS block FROM k, d)
-SELECT doc_id, source, n_tokens, epoch, block, CAST(row_number() OVER (PARTITION BY block ORDER BY mix_key, doc_id) - 1 AS INTEGER) AS slot FROM b
+n AS (SELECT greatest(1, (count(*) + 4095) // 4096) AS blocks FROM k),
+j AS (SELECT blocks, coalesce((SELECT max(x) FROM range(1, 1000000) AS r(x) WHERE x <= blocks * 618 // 1000 AND gcd(x, blocks) = 1), 1) AS stride FROM n),
+g AS (SELECT *, row_number() OVER (ORDER BY source NULLS FIRST, mix_key, doc_id) - 1 AS place FROM k),
+b AS (SELECT g.*, CAST(place % blocks * stride % blocks AS INTEGER) AS block FROM g, j)
+SELECT doc_id, source, n_tokens, epoch, block, CAST(row_number() OVER (PARTITION BY block ORDER BY mix_key, doc_id, source NULLS FIRST) - 1 AS INTEGER) AS slot FROM b
 """,
     "op5_chat_formatting": r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -380,6 +380,29 @@ def test_mixing_odd(spark, odd, none):
     assert len({r["mix_key"] for r in mixing.mix(same).collect()}) == 500
 
 
+def test_mixing_blocks_have_budgets(spark, none):
+    """Every block has each source's part within one row, and small sources are spread over the blocks."""
+    rows = [(i, "hot" if i % 3 == 0 else None if i % 97 == 1 else f"s{i % 7}", f"w{i} w", "x", -1) for i in range(6000)] + [(9000 + i, "few", "w", "x", -1) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string, Block string, SLOT int")
+    mixed = mixing.staged(mixing.mix(docs), "test-mix")
+    got = mixing.in_blocks(mixed, block_docs=64).collect()
+    assert len(got) == mixed.count() and "Block" not in got[0].asDict() and "SLOT" not in got[0].asDict()
+    blocks = max(r["block"] for r in got) + 1
+    assert blocks == -(-len(got) // 64)
+    own, size = Counter((r["source"], r["block"]) for r in got), Counter(r["source"] for r in got)
+    for s, n in size.items():
+        assert {own[s, b] for b in range(blocks)} <= {n // blocks, -(-n // blocks)}, s
+    full = Counter(r["block"] for r in got)
+    assert max(full.values()) - min(full.values()) <= 1 and max(full.values()) <= 64
+    assert sorted((r["block"], r["slot"]) for r in got) == [(b, k) for b in range(blocks) for k in range(full[b])]
+    at = sorted(r["block"] for r in got if r["source"] == "few")
+    gaps = [(b - a) % blocks for a, b in zip(at, at[1:] + at[:1], strict=True)]
+    assert min(gaps) >= blocks / len(at) / 4 and max(gaps) <= 3 * blocks / len(at)
+    assert mixing.in_blocks(mixing.mix(none)).count() == 0
+    for n in range(1, 300):
+        assert sorted(k * mixing.stride(n) % n for k in range(n)) == list(range(n))
+
+
 # ------------------------------------------------------------------ 4 decontamination
 
 
