@@ -429,6 +429,21 @@ PAGE_PATTERNS = [
     ("TRUSTEE_FISCAL_AGENT", "(?:Fiscal Agent|Trustee|Agent Bank)"),
 ]
 
+# The headers under which clauses of these types stand.
+#: clause type, header
+CLAUSE_HEADERS = [
+    ("CAC", "(?i)(?:Collective Action|Modification|Reserved Matter)"),
+    ("PARI_PASSU", r"(?i)(?:\d+\.?\s*Status of the Notes|Status of the Notes|Ranking|Pari Passu|rank.*pari passu)"),
+    ("EVENTS_OF_DEFAULT", r"(?i)(?:\d+\.\s*Events? of Default)"),
+    ("GOVERNING_LAW", r"(?i)(?:\d+\.?\s*Governing Law|Governing Law and Submission)"),
+    ("NEGATIVE_PLEDGE", r"(?i)(?:\d+\.\s*Negative Pledge)"),
+    ("SOVEREIGN_IMMUNITY", "(?i)(?:Waiver of (?:Sovereign )?Immunity|Consent to Enforcement)"),
+    ("CROSS_DEFAULT", "(?i)(?:Cross[- ]?[Dd]efault)"),
+    ("EXTERNAL_INDEBTEDNESS", "(?i)(?:External Indebtedness)"),
+    ("ACCELERATION", "(?i)(?:Acceleration)"),
+    ("TRUSTEE_FISCAL_AGENT", "(?i)(?:Fiscal Agent|Trustee)"),
+]
+
 #: name, pattern of facts about a document
 METADATA = [
     ("governing_law", "(?i)(English law|New York law|governed by the laws of [A-Z][a-z]+)"),
@@ -472,6 +487,11 @@ def negatives() -> dict[str, list[str]]:
     return dict(out)
 
 
+def clause_headers() -> dict[str, str]:
+    """The header of each clause type; of a type of the page scan that has none, the pattern of the scan."""
+    return {name: f"(?i){p}" for name, p in PAGE_PATTERNS} | dict(CLAUSE_HEADERS)
+
+
 def components() -> dict[str, dict[str, list[str]]]:
     return grouped(COMPONENTS)
 

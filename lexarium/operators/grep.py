@@ -76,14 +76,16 @@ def best_page_range(hits: DataFrame, key: str, page: str = "page", gap: int = 2,
     return best.select(key, "pattern_name", F.greatest(F.col("x.a") - widen, F.lit(first)).alias("first_page"), (F.col("x.b") + widen).alias("last_page"), F.col("x.matches").alias("matches"))
 
 
-def clause_text(pages: DataFrame, ranges: DataFrame, headers: dict[str, str], key: str = "storage_key", page: str = "page", body: str = "text", most: int = 3000, more: int = 4, lines: int = 5) -> DataFrame:
+def clause_text(pages: DataFrame, ranges: DataFrame, headers: dict[str, str] | None = None, key: str = "storage_key", page: str = "page", body: str = "text", most: int = 3000, more: int = 4, lines: int = 5) -> DataFrame:
     """(key, clause_type, page, range_start, range_end, quote, context_before, context_after) for each of ranges (key, clause_type, first_page, last_page) whose header is found.
 
     The first page of the range, one more included, that has the header is taken, else the first of the whole document; where a
     page has it only with line breaks before capitals collapsed, the offset is that of the collapsed page, which has the same
-    length. The quote runs from the header over up to ``more`` further pages, ``most`` code points, cut after the last sentence end
+    length. Without ``headers`` a type goes by the registry's header, or by its pattern of the page scan; a type without one gives
+    no row. The quote runs from the header over up to ``more`` further pages, ``most`` code points, cut after the last sentence end
     past the middle. Pages are numbered from 1; null pages are empty; headers are in the common dialect, with case as given.
     """
+    headers = registry.clause_headers() if headers is None else headers
     text_of = F.coalesce(F.col(body), F.lit(""))
     flat = F.regexp_replace(text_of, r"\n(?=[A-Z])", " ")
     first = lambda t, p: F.when(t.rlike(text.pattern(p, False)), F.length(F.get(F.split(t, text.pattern(p, False), 2), F.lit(0))))

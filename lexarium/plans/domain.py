@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import classify, evaluate, grep, locate, provenance, runs, search, sections, verify
+from ..operators import classify, evaluate, grep, locate, provenance, runs, search, sections, segments, verify
+from ..session import shared_folder
 from ..sources import parse
 from .base import query, table
 
@@ -298,6 +299,31 @@ def bm25_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.scored_pages(docs, ["the", "tion", "LICENSE", "der"], "doc_id", stems=False).select("doc_id", F.round("score", 6).alias("score"))
 
 
+_CHANGED_SQL = f"""
+WITH own AS (SELECT 'd' || doc_id AS page_key, text FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)
+  UNION ALL SELECT 'b' || item_id, text FROM benchmark),
+t AS (SELECT page_key, list_filter(regexp_split_to_array(lower(strip_accents(coalesce(text, ''))), '[^a-z]+'), lambda x: x <> '' AND x NOT IN ({_STOP_SQL})) AS w FROM own),
+s AS (SELECT count(*) AS n, avg(len(w)) AS mean FROM t),
+p AS (SELECT page_key, len(w) AS l, term, len(list_filter(w, lambda x: x = term)) AS tf FROM t, (VALUES ('tion'), ('license'), ('der')) q(term)),
+d AS (SELECT term, count(*) AS df FROM p WHERE tf > 0 GROUP BY term)
+SELECT page_key, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * l / mean))), 6) AS score FROM p JOIN d USING (term), s WHERE tf > 0 GROUP BY page_key
+ORDER BY sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * l / mean))) DESC, page_key LIMIT 10
+"""
+
+
+@query(_CHANGED_SQL)
+def index_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index that takes all documents, then all benchmark items, then loses the documents labelled toxic: the scores of a rebuild."""
+    root = shared_folder(spark, "index")
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    segments.add(docs.select(F.concat(F.lit("d"), "doc_id").alias("page_key"), "text"), root, "pages", "page_key", stems=False)
+    segments.add(items.select(F.concat(F.lit("b"), "item_id").alias("page_key"), "text"), root, "pages", "page_key", stems=False)
+    toxic = table(spark, sf_dir, "labels").where("toxic = 1").select(F.concat(F.lit("d"), "doc_id").alias("page_key"))
+    index = segments.remove(toxic, root, "pages", "page_key")
+    found = segments.search(spark, index, "pages", ["the", "tion", "LICENSE", "der"], stems=False)
+    return found.rows.select(F.col("key").alias("page_key"), F.round("score", 6).alias("score"))
+
+
 @query()
 def bm25_stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ranked pages (turns) with stems, joined to what they are part of."""

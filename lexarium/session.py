@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import tempfile
 import tomllib
+import uuid
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -39,6 +42,24 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors see: in ``spark.checkpoint.dir``; where that is unset in the warehouse, or, in local mode only, in a
+    temporary folder. It is deleted when the process ends."""
+    master = spark.sparkContext.master
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not base and master.startswith("local") and not master.startswith("local-cluster"):
+        base = f"file://{tempfile.gettempdir()}/lexarium-shared"
+    path = f"{(base or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    atexit.register(_delete, spark, path)
+    return path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is not None:  # the session may have been stopped
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def config(path: str) -> dict:
     """A TOML file of settings; an absent one is empty."""
     try:

@@ -5,6 +5,9 @@ Schemas are stated, never inferred. Paths go to Spark's readers as they are, so
 
 from __future__ import annotations
 
+import heapq
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,10 +134,37 @@ def outstanding_files(found: DataFrame, *outputs: DataFrame) -> DataFrame:
     return found.where("missing_").drop("missing_") if outputs else found
 
 
-def by_size(files: DataFrame, task_bytes: int = 64 << 20) -> DataFrame:
-    """Files dealt to tasks of about so many bytes, by ranges of their sizes, so that a few large ones don't end in one task."""
-    total = files.agg(F.sum("length")).first()[0] or 0
-    return files.repartitionByRange(max(1, -(-total // task_bytes)), "length", "path")
+def _dealt(key: tuple, files: pd.DataFrame, task_bytes: int) -> pd.DataFrame:
+    """Longest first, each file to the task that has least so far; files of one length by path."""
+    own = files.sort_values(["length", "path"], ascending=[False, True], ignore_index=True)
+    least = [(0, t) for t in range(max(1, -(-int(own["length"].sum()) // task_bytes)))]
+    tasks = []
+    for length in own["length"].tolist():
+        load, t = heapq.heappop(least)
+        tasks.append(t)
+        heapq.heappush(least, (load + max(length, 1), t))
+    return pd.DataFrame({"path": own["path"], "group": key[0], "task": tasks})
+
+
+def by_size(files: DataFrame, task_bytes: int = 64 << 20, group_files: int = 100_000) -> DataFrame:
+    """Files (path, length, ...) dealt to tasks of about so many bytes, longest first, so that no task has much over the mean unless one file has.
+
+    A listing of any size is dealt in groups by the hash of the path, of about ``group_files`` files or 1024 tasks, whichever is less;
+    each group has as many tasks as its bytes ask for. Deal paths and lengths, and read contents afterwards. Paths are distinct,
+    as those of a listing are; lengths aren't null.
+    """
+    total, n = files.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).first()
+    groups = max(1, -(-total // (task_bytes << 10)), -(-n // group_files))
+    own = files.select("path", "length", F.pmod(F.xxhash64("path"), F.lit(groups)).cast("int").alias("group"))
+    tasks = own.groupBy("group").applyInPandas(lambda key, rows: _dealt(key, rows, task_bytes), "path string, group int, task int")
+    sizes = {r["group"]: r["n"] for r in own.groupBy("group").agg(F.greatest(F.lit(1), F.ceil(F.sum("length") / task_bytes)).alias("n")).collect()}  # a row a group
+    first, starts = 0, []
+    for g in range(groups):
+        starts.append((g, first))
+        first += int(sizes.get(g, 0))
+    offsets = files.sparkSession.createDataFrame(starts, "group int, first_ int")
+    numbered = tasks.join(F.broadcast(offsets), "group").select("path", (F.col("first_") + F.col("task")).alias("task_"))
+    return files.join(numbered, "path").repartitionById(max(1, first), F.col("task_")).drop("task_")
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -40,6 +40,40 @@ def sessions(events: DataFrame, by: list[str], time: str = "ts", gap: str = "30
     return n.select(F.col("session_window.start").alias("session_start"), F.col("session_window.end").alias("session_end"), *by, "n")
 
 
+def filings(discovered: DataFrame, downloaded: DataFrame, key: list[str], time: str = "detected_at", within: str = "7 days", late: str = "1 day") -> DataFrame:
+    """(key, detected_at, downloaded_at) of each filing that was discovered: null if no download came ``within`` that time of it.
+
+    A filing that is discovered, or downloaded, again within the time that rows may be late counts once. A filing without a download
+    comes out when the watermark, the lesser of both streams', has passed its time; so state is kept for ``within`` + ``late`` and no
+    longer. Rows later than that are dropped, and counted by ``LateRows``. Rows with a null in the key or the time are left out.
+    """
+    whole = lambda rows: rows.select(*key, time).dropna().withColumn(time, F.col(time).cast("timestamp"))
+    left = whole(discovered).withWatermark(time, late).dropDuplicatesWithinWatermark(key)
+    right = whole(downloaded).select(*(F.col(k).alias(f"{k}_r") for k in key), F.col(time).alias("downloaded_at")).withWatermark("downloaded_at", late).dropDuplicatesWithinWatermark([f"{k}_r" for k in key])
+    same = F.expr(f"downloaded_at >= {time} AND downloaded_at <= {time} + INTERVAL {within}")
+    for k in key:
+        same = same & (F.col(k) == F.col(f"{k}_r"))
+    return left.join(right, same, "left_outer").select(*key, time, "downloaded_at")
+
+
+class LateRows(StreamingQueryListener):
+    """Counts, by query id, the rows that were too late for the state of an operator. ``spark.streams.addListener`` takes it."""
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self.dropped[str(p.id)] = self.dropped.get(str(p.id), 0) + sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
+
+    def onQueryIdle(self, event) -> None: ...
+
+    def onQueryTerminated(self, event) -> None: ...
+
+
 PAUSE, ABORT = 1, 2
 
 

@@ -1,12 +1,15 @@
 """Versions of tables, and the index that grows, against full rebuilds."""
 
+import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from lexarium.operators import search, segments
-from lexarium.sources import sinks, snapshots
+from lexarium.operators import grep, search, segments
+from lexarium.sources import files, sinks, snapshots
+from lexarium.streaming import events
 
 
 def test_versions_are_whole(spark, tmp_path, monkeypatch):
@@ -117,3 +120,52 @@ def test_manifest_is_plain(spark, tmp_path):
     snapshots.publish({"a": spark.range(1)}, root, spark)
     body = json.loads(next((tmp_path / "m" / "_log").glob("0*.json")).read_text())
     assert body["version"] == 1 and body["tables"]["a"]["parts"][0]["rows"] == 1
+
+
+def test_tasks_have_alike_bytes(spark):
+    rng = random.Random(5)
+    rows = [(f"f{i}", int(rng.paretovariate(1.1) * 1000)) for i in range(3000)]
+    rows = [(p, min(n, 400_000)) for p, n in rows] + [("zero", 0), ("tie1", 7), ("tie2", 7)]
+    listing = spark.createDataFrame(rows, "path string, length long")
+    for group_files in (100_000, 700):
+        dealt = files.by_size(listing, 500_000, group_files)
+        loads = [r["n"] for r in dealt.groupBy(F.spark_partition_id()).agg(F.sum("length").alias("n")).collect()]
+        assert dealt.count() == len(rows) and sorted(map(tuple, dealt.select("path", "length").collect())) == sorted(rows)
+        assert len(loads) >= sum(n for _, n in rows) // 500_000
+        assert max(loads) <= 1.3 * sum(loads) / len(loads)
+    assert files.by_size(listing.where("length < 0")).count() == 0
+
+
+def test_filing_feed(spark, tmp_path):
+    t = lambda day, hour=0: dt.datetime(2024, 1, day, hour)
+    schema = "native_id string, detected_at timestamp"
+    lots = [  # discovered, downloaded
+        ([("a", t(1)), ("b", t(1)), ("a", t(1, 5)), (None, t(1))], [("a", t(2)), ("a", t(2, 1))]),
+        ([("c", t(12)), ("d", t(12))], [("d", t(12, 3)), ("x", t(12))]),
+        ([("old", t(2))], [("d", t(13))]),  # too late
+        ([("e", t(28))], [("y", t(28))]),
+        ([("f", t(29))], [("y2", t(29))]),
+    ]
+    listener = events.LateRows()
+    spark.streams.addListener(listener)
+    try:
+        for n, (found, fetched) in enumerate(lots):
+            for side, rows in (("found", found), ("fetched", fetched)):
+                spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / side))
+            read = lambda side: spark.readStream.schema(schema).parquet(str(tmp_path / side))
+            feed = events.filings(read("found"), read("fetched"), ["native_id"])
+            query = feed.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+            assert query.awaitTermination(120), n
+    finally:
+        spark.streams.removeListener(listener)
+    got = sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect()), key=lambda r: r[0])
+    assert got == [("a", t(1), t(2)), ("b", t(1), None), ("c", t(12), None), ("d", t(12), t(12, 3))]
+    assert sum(listener.dropped.values()) >= 1
+
+
+def test_default_clause_headers(spark):
+    pages = spark.createDataFrame([("d", 1, "Risks. The Trustee."), ("d", 2, "12. Governing Law\nThe Notes. "), ("d", 3, "5.\nNegative Pledge\nNo lien.")], "storage_key string, page int, text string")
+    ranges = spark.createDataFrame([("d", c, 1, 1) for c in ("GOVERNING_LAW", "NEGATIVE_PLEDGE", "TRUSTEE_FISCAL_AGENT", "CROSS_DEFAULT", "UNKNOWN")], "storage_key string, clause_type string, first_page int, last_page int")
+    got = {r["clause_type"]: (r["page"], r["quote"]) for r in grep.clause_text(pages, ranges).collect()}
+    assert set(got) == {"GOVERNING_LAW", "NEGATIVE_PLEDGE", "TRUSTEE_FISCAL_AGENT"}
+    assert got["GOVERNING_LAW"][0] == 2 and got["GOVERNING_LAW"][1].startswith("12. Governing Law") and got["NEGATIVE_PLEDGE"][0] == 3
