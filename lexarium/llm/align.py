@@ -34,6 +34,8 @@ VOCABULARY_BYTES = 64 << 20
 SHARD_ROWS, HELD = 1 << 20, 1 << 20
 #: Bytes of text that are encoded at a time: a token takes some tens of bytes then.
 BLOCK = 1 << 18
+#: Code points of a text that is encoded by ranks.
+PLAIN = 1 << 16
 #: Links that a task counts or looks up at a time.
 LOOKED_UP = 1 << 19
 DIGITS = 10
@@ -74,6 +76,36 @@ def bytes_of_b(model) -> list[bytes]:
     return [b"" if silent(k) else bytes([int(model.id_to_piece(k)[3:5], 16)]) if model.is_byte(k) else model.id_to_piece(k).replace("\u2581", " ").encode() for k in range(model.get_piece_size())]
 
 
+#: Fixed value: how a byte-level BPE cuts a text into words.
+WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def ranked(vocabulary: bytes, of: list[bytes]):
+    """The same byte-level BPE as ranks of byte strings, which encodes four times as fast; None for a file whose merges aren't in order of their ids."""
+    import tiktoken
+
+    own = json.loads(vocabulary)
+    model, cut = own["model"], own["pre_tokenizer"] or {}
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    ids = [model["vocab"][x + y] for x, y in pairs]
+    odd = own["normalizer"] or any(model.get(c) for c in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    if odd or cut.get("type") != "ByteLevel" or not cut.get("use_regex") or cut.get("add_prefix_space") or any(x >= y for x, y in zip(ids, ids[1:], strict=False)):
+        return None
+    special = {t["id"] for t in own["added_tokens"]}
+    return tiktoken.Encoding("a", pat_str=WORDS, mergeable_ranks={x: k for k, x in enumerate(of) if x and k not in special}, special_tokens={})
+
+
+def _plain(t: str) -> bool:
+    """Whether both ways must agree on a text: of characters whose classes no version of Unicode has changed, and too short for a limit of the regular expressions."""
+    if len(t) > PLAIN:
+        return False
+    try:
+        t.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 @functools.lru_cache(maxsize=1)
 def _models(a: bytes, b: bytes):
     """Both encoders and the bytes of their ids; made once in a worker."""
@@ -83,7 +115,8 @@ def _models(a: bytes, b: bytes):
 
     one, two = Tokenizer.from_str(a.decode()), SentencePieceProcessor(model_proto=b)
     one.encode_special_tokens = True  # their strings are plain text
-    return one, two, bytes_of_a(a), bytes_of_b(two)
+    of = bytes_of_a(a)
+    return one, two, of, bytes_of_b(two), ranked(a, of)
 
 
 def vocabulary(path: str) -> bytes:
@@ -112,13 +145,13 @@ class Aligner:
     """Groups and links of blocks of texts."""
 
     def __init__(self, a: bytes, b: bytes):
-        self.one, self.two, self.bytes_a, self.bytes_b = _models(a, b)
+        self.one, self.two, self.bytes_a, self.bytes_b, self.ranked = _models(a, b)
         self.size_a, self.size_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.bytes_a, self.bytes_b))
         self.digits, self.width = _decimal(max(len(self.bytes_a), len(self.bytes_b)))
 
     def encoded(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]], list[int]]:
         """Ids by A and B, and the length in bytes, of each text; none where the ids don't give the text back."""
-        a = [e.ids for e in self.one.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        a = self.by_a([" " + t for t in texts])
         b = self.two.encode(texts, num_threads=1)
         sizes = []
         for k, t in enumerate(texts):
@@ -130,6 +163,12 @@ class Aligner:
                 sizes.append(0)
         return a, b, sizes
 
+    def by_a(self, texts: list[str]) -> list[list[int]]:
+        """Ids by A: of plain texts by its ranks, of others by its merges."""
+        quick = [self.ranked is not None and _plain(t) for t in texts]
+        rest = iter(self.one.encode_batch_fast([t for t, q in zip(texts, quick, strict=True) if not q], add_special_tokens=False))
+        return [self.ranked.encode_ordinary(t) if q else next(rest).ids for t, q in zip(texts, quick, strict=True)]
+
     def block(self, texts: list[str]) -> dict[str, list]:
         """For each text its counts, the digest of its groups, and the ids of its links."""
         lists_a, lists_b, sizes = self.encoded(texts)

@@ -108,3 +108,21 @@ def test_vocabulary_is_bounded(monkeypatch):
     monkeypatch.setattr(align, "VOCABULARY_BYTES", 1000)
     with pytest.raises(ValueError):
         align.vocabulary(align.BYTE_BPE)
+
+
+def test_ranks_and_merges_agree(sf_dir):
+    """Texts that are encoded by ranks get the ids that the merges give."""
+    import random
+
+    import pyarrow.parquet as pq
+
+    own = align.Aligner(align.vocabulary(align.BYTE_BPE), align.vocabulary(align.PIECE_BPE))
+    rng = random.Random(3)
+    letters = [chr(c) for c in range(256)]
+    texts = ["".join(rng.choices(letters if k % 2 else " \n\t\r'sdtlvemx0.\u00a0\u0085", k=rng.randrange(60))) for k in range(20000)]
+    texts += [x or "" for x in pq.read_table(f"{sf_dir}/documents.parquet", columns=["text"])["text"].to_pylist()]
+    texts += ["<|endoftext|> it's WE'LL", " " * 60000 + "x", "\n" * 65535, "ab" * 32000, "'" * 5000, "1" * 9000]
+    quick = [t for t in texts if align._plain(t)]
+    assert own.ranked is not None and len(quick) > 20000
+    assert [own.ranked.encode_ordinary(t) for t in quick] == [e.ids for e in own.one.encode_batch_fast(quick, add_special_tokens=False)]
+    assert own.by_a(texts) == [e.ids for e in own.one.encode_batch_fast(texts, add_special_tokens=False)]
