@@ -1,10 +1,10 @@
 """Importance resampling towards a target distribution, by hashed word n-grams.
 
-Each partition runs DuckDB on blocks of its texts: SQL unnests their words, a window makes runs of one to three, a registered zlib CRC
-puts each in a bucket, and the buckets are counted by text. These counts are spilled to Parquet in the shared folder, so every text
-is read once. Spark merges them into the bucket counts of the corpus and of the target, whose ratio gives each bucket its gain, and
-scores the texts from the spilled counts. The highest scores, noise added, are drawn without replacement: a range partition in that
-order, with the sizes of its parts, numbers them without gathering any rows.
+Each partition runs DuckDB on blocks of its texts: SQL takes their words, a registered function gives the zlib CRC of each run of one to
+three, made from the CRCs of its words, and the buckets of these are counted by text. The counts are spilled to Parquet in the shared
+folder, so every text is read once. Spark merges them into the bucket counts of the corpus and of the target, whose ratio gives each
+bucket its gain, and scores the texts from the spilled counts. The highest scores, noise added, are drawn without replacement: a range
+partition in that order, with the sizes of its parts, numbers them without gathering any rows.
 """
 
 from __future__ import annotations
@@ -28,76 +28,156 @@ BLOCK, MEMORY = 1 << 19, "1GB"
 
 #: ``texts`` (row, text) to (row, bucket, n).
 SQL = r"""
-WITH words AS (SELECT row, unnest(w) AS word, generate_subscripts(w, 1) AS place
-               FROM (SELECT row, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts)),
-     runs AS (SELECT row, word, lead(word) OVER own AS second, lead(word, 2) OVER own AS third FROM words WINDOW own AS (PARTITION BY row ORDER BY place)),
-     features AS (SELECT row, unnest([word, word || ' ' || second, word || ' ' || second || ' ' || third]) AS feature FROM runs)
-SELECT row, zlib_crc32(feature) % {buckets} AS bucket, count(*) AS n FROM features WHERE feature IS NOT NULL GROUP BY ALL ORDER BY row, bucket
+WITH words AS (SELECT row, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+     features AS (SELECT row, unnest(run_crcs(w)) % {buckets} AS bucket FROM words)
+SELECT row, bucket, count(*) AS n FROM features GROUP BY ALL ORDER BY row, bucket
 """
 
-COUNTED = T.StructType([T.StructField("n_features", T.LongType()), T.StructField("buckets", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.IntegerType()))])
+#: buckets and counts are packed: a text's in two bytes each (four beyond 65536 buckets) and one byte each, a count above 255 as several.
+COUNTED = T.StructType([T.StructField("n_features", T.LongType()), T.StructField("buckets", T.BinaryType()), T.StructField("counts", T.BinaryType())])
 
 
-def _crc32(column: pa.ChunkedArray | pa.Array) -> pa.Array:
-    """The unsigned CRC-32 of each string's bytes."""
+#: Words of more bytes get their CRC from zlib, one by one.
+LONG = 64
+#: What a zero byte makes of a CRC whose last byte is the index, but for the bytes before.
+_CRC = np.arange(256, dtype=np.uint32)
+for _ in range(8):
+    _CRC = np.where(_CRC & 1, _CRC >> 1 ^ np.uint32(0xEDB88320), _CRC >> 1)
+
+
+def _zeros(tables: np.ndarray, at: np.ndarray | int, crc: np.ndarray) -> np.ndarray:
+    """crc after the zero bytes whose four tables, one for each byte of a CRC, begin at ``at``."""
+    return tables[at + (crc & 255)] ^ tables[at + 256 + (crc >> 8 & 255)] ^ tables[at + 512 + (crc >> 16 & 255)] ^ tables[at + 768 + (crc >> 24)]
+
+
+def _zero_tables() -> list[np.ndarray]:
+    """Tables for 0 to 63 zero bytes, 0 to 63 times 64 of them, and so on to lengths of 36 bits."""
+    same = np.concatenate([np.arange(256, dtype=np.uint32) << np.uint32(8 * k) for k in range(4)])
+    once, out = _CRC[same & 255] ^ same >> 8, []
+    for _ in range(6):
+        made = [same]
+        for _ in range(64):
+            made.append(_zeros(once, 0, made[-1]))
+        once = made.pop()
+        out.append(np.concatenate(made))
+    return out
+
+
+_ZEROS = _zero_tables()
+
+
+def followed(crc: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """What the CRCs add to that of a string in which n bytes come after theirs: xor with the CRC of these gives that of both."""
+    out = _zeros(_ZEROS[0], (n & 63) << 10, crc)
+    for k in range(1, len(_ZEROS)):
+        far = np.flatnonzero(n >> 6 * k)
+        if not len(far):
+            break
+        out[far] = _zeros(_ZEROS[k], (n[far] >> 6 * k & 63) << 10, out[far])
+    return out
+
+
+def _word_crcs(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The CRC-32 of each of these spans of bytes, in steps of one byte of all spans that have it."""
+    out, order = np.empty(len(start), np.uint32), np.argsort(-np.minimum(size, LONG + 1).astype(np.int16), kind="stable")
+    long = np.count_nonzero(size > LONG)
+    for k in order[:long].tolist():
+        out[k] = zlib.crc32(buf[start[k] : start[k] + size[k]])
+    order = order[long:]
+    at, less = start[order], -size[order]
+    crc = np.full(len(order), 0xFFFFFFFF, np.uint32)
+    for k, n in enumerate(np.searchsorted(less, -np.arange(-less[0] if len(less) else 0)).tolist()):
+        crc[:n] = _CRC[(crc[:n] ^ buf[at[:n] + k]) & 255] ^ crc[:n] >> 8
+    out[order] = ~crc
+    return out
+
+
+def run_crcs(column: pa.ChunkedArray | pa.Array) -> pa.ChunkedArray:
+    """For each list of words the unsigned CRC-32 of the UTF-8 bytes of its runs of 1 to 3 words, joined by a space."""
     out = []
     for part in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
-        part = part.cast(pa.large_binary()).fill_null(b"")
-        _, where, data = part.buffers()
-        offs = np.frombuffer(where, np.int64)[part.offset : part.offset + len(part) + 1].tolist()
-        raw, crc = memoryview(data) if data is not None else memoryview(b""), zlib.crc32
-        out += [crc(raw[s:e]) for s, e in zip(offs, offs[1:], strict=False)]
-    return pa.array(out, pa.uint32())
+        lists, words = part.offsets.to_numpy().astype(np.int64), part.values.cast(pa.large_binary())
+        _, where, data = words.buffers()
+        offs = np.frombuffer(where, np.int64)[words.offset + lists[0] : words.offset + lists[-1] + 1] if len(words) else np.zeros(1, np.int64)
+        buf = np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8)
+        size, n = np.diff(offs), np.diff(lists)
+        crc = _word_crcs(buf, offs[:-1], size)
+        spaced = followed(np.full(len(crc), zlib.crc32(b" "), np.uint32), size) ^ crc  # of a space and the word
+        made = np.empty((len(crc), 3), np.uint32)
+        made[:, 0] = crc
+        for k in (1, 2):  # runs beyond the list's end are made too, and left out below
+            crc = followed(crc[: max(0, len(size) - k)], size[k:] + 1) ^ spaced[k:]
+            made[: len(crc), k] = crc
+        rest = np.repeat(lists[1:] - lists[0], n) - np.arange(len(size))
+        ends = np.cumsum(n + np.maximum(0, n - 1) + np.maximum(0, n - 2))
+        out.append(pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(made[rest[:, None] > np.arange(3)])))
+    return pa.chunked_array(out, pa.list_(pa.uint32()))
 
 
 def connect():
-    """An in-memory database with the function zlib_crc32, on one thread: the cores are Spark's."""
+    """An in-memory database with the function run_crcs, on one thread: the cores are Spark's."""
     import duckdb
 
     db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""})
-    db.create_function("zlib_crc32", _crc32, ["VARCHAR"], "UINTEGER", type="arrow", side_effects=False)
+    db.create_function("run_crcs", run_crcs, ["VARCHAR[]"], "UINTEGER[]", type="arrow", side_effects=False)
     return db
 
 
+def _kind(buckets: int) -> str:
+    return "<u2" if buckets <= 1 << 16 else "<u4"
+
+
+def _packed(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The bytes of so many values a row."""
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((ends * values.itemsize).astype(np.int32)), pa.py_buffer(values)])
+
+
+def _unpacked(buckets: pa.Array, counts: pa.Array, kind: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, buckets, counts, ends) of rows i to j-1, some hundred thousand counts at a time."""
+    for i, j, n, ends in text_blocks(counts, BLOCK):
+        yield i, j, next(text_blocks(buckets.slice(i, j - i), 1 << 62))[2].view(kind), n, ends
+
+
 def with_features(docs: DataFrame, text: str = "text", keep: list[str] | None = None, buckets: int = BUCKETS) -> DataFrame:
-    """docs with n_features, buckets (ascending) and counts: how many runs of 1 to 3 words fall into each bucket."""
+    """docs with n_features, buckets (ascending) and counts, packed: how many runs of 1 to 3 words fall into each bucket."""
 
     def count(column: pa.Array) -> dict[str, pa.Array]:
-        db, at, counts, ends = connect(), [], [], [np.zeros(1, np.int64)]
+        db, total, at, counts, ends = connect(), [], [], [], [np.zeros(1, np.int64)]
         for i, j, _, _ in text_blocks(column, BLOCK):
             texts = pa.table({"row": longs(np.arange(j - i)), "text": column.slice(i, j - i).fill_null("")})
             db.register("texts", texts)
             made = db.execute(SQL.format(buckets=buckets)).fetchnumpy()
             db.unregister("texts")
-            at.append(made["bucket"].astype(np.int32))
-            counts.append(made["n"].astype(np.int32))
-            ends.append(ends[-1][-1] + np.searchsorted(made["row"], np.arange(j - i), side="right"))
+            n, upto = made["n"], np.searchsorted(made["row"], np.arange(j - i), side="right")
+            total.append(np.diff(np.r_[0, np.cumsum(n)][upto], prepend=0))
+            times = (n + 254) // 255
+            last = np.cumsum(times)
+            small = np.full(last[-1] if len(last) else 0, 255, np.uint8)
+            small[last - 1] = n - 255 * (times - 1)
+            at.append(np.repeat(made["bucket"].astype(_kind(buckets)), times))
+            counts.append(small)
+            ends.append(ends[-1][-1] + np.r_[0, last][upto])
         db.close()
-        n, offs = np.concatenate(counts), np.concatenate(ends)
-        total = np.diff(np.r_[0, np.cumsum(n, dtype=np.int64)][offs])
-        lists = lambda x: pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(x))
-        return {"n_features": longs(total), "buckets": lists(np.concatenate(at)), "counts": lists(n)}
+        ends = np.concatenate(ends)
+        return {"n_features": longs(np.concatenate(total)), "buckets": _packed(np.concatenate(at), ends), "counts": _packed(np.concatenate(counts), ends)}
 
     return attach(docs, text, count, COUNTED, keep, 8 * BLOCK)
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bucket, n) of a partition's spilled counts."""
-    total = np.zeros(0, np.int64)
-    for batch in batches:
-        at, n = (batch.column(k).flatten().to_numpy(zero_copy_only=False) for k in (0, 1))
-        own = np.bincount(at, n, minlength=len(total)).astype(np.int64)
-        own[: len(total)] += total
-        total = own
-    at = np.flatnonzero(total)
-    if len(at):
-        yield pa.RecordBatch.from_arrays([longs(at), longs(total[at])], names=["bucket", "n"])
-
-
 def bucket_counts(features: DataFrame, buckets: int = BUCKETS) -> list[int]:
     """The count of each bucket over all rows; there are ``buckets`` of them, whatever the rows."""
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(buckets, np.int64)
+        for batch in batches:
+            for _, _, at, n, _ in _unpacked(batch.column(0), batch.column(1), _kind(buckets)):
+                total += np.bincount(at, n, minlength=buckets).astype(np.int64)
+        at = np.flatnonzero(total)
+        if len(at):
+            yield pa.RecordBatch.from_arrays([longs(at), longs(total[at])], names=["bucket", "n"])
+
     out = [0] * buckets
-    for r in features.select("buckets", "counts").mapInArrow(_merged, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+    for r in features.select("buckets", "counts").mapInArrow(merged, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         out[r["bucket"]] = r["n"]
     return out
 
@@ -121,9 +201,9 @@ def scored(features: DataFrame, gain: list[int], seed: int = SEED) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = values[batch.column(2).flatten().to_numpy(zero_copy_only=False)] * batch.column(3).flatten().to_numpy(zero_copy_only=False)
-            ends = np.cumsum(batch.column(2).value_lengths().to_numpy(zero_copy_only=False))
-            weight = np.diff(np.r_[0, np.cumsum(own)][ends], prepend=0)
+            weight = np.zeros(batch.num_rows, np.int64)
+            for i, j, at, n, ends in _unpacked(batch.column(2), batch.column(3), _kind(len(values))):
+                weight[i:j] = np.diff(np.r_[0, np.cumsum(values[at] * n)][ends])
             extra = np.array([noise(d, seed) for d in batch.column(0).to_pylist()], np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), longs(weight), longs(weight + extra)], names=schema.names)
 

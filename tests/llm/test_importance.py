@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from lexarium.llm import importance, queries
@@ -78,3 +79,46 @@ def test_resampling_empty_tables(spark):
 
 def test_features_of_words():
     assert [importance.features_of(n) for n in (0, 1, 2, 3, 20)] == [0, 1, 3, 6, 57]
+
+
+def test_run_crcs_are_those_of_zlib():
+    """Words of any length in bytes, empty lists, chunks and slices."""
+    words = ["é漢9"[k % 3] * (k // 2) + "a" * (k % 5 + 1) for k in range(150)]
+    lists = [[], ["a"], ["a", "b"], words, [], ["b" * n for n in (7, 63, 64, 65, 4095, 4096, 4097, 300000, 1)], words[:3], []]
+    want = [[zlib.crc32(" ".join(w[i : i + n]).encode()) for i in range(len(w)) for n in (1, 2, 3) if i + n <= len(w)] for w in lists]
+    chunks = pa.chunked_array([lists[:3], lists[3:]], pa.list_(pa.string()))
+    for column in (pa.array(lists), chunks, pa.array([["z", "y"], *lists, ["q"]]).slice(1, len(lists))):
+        assert importance.run_crcs(column).to_pylist() == want
+    assert importance.run_crcs(pa.array([[], []], pa.list_(pa.string()))).to_pylist() == [[], []]
+
+
+def test_runs_get_their_crcs_from_their_words(monkeypatch):
+    """The work of a run is a few table steps: no string is made of it, and zlib is not called for it."""
+    crc32, calls = zlib.crc32, []
+    monkeypatch.setattr(zlib, "crc32", lambda *a: calls.append(1) or crc32(*a))
+    db = importance.connect()
+    db.register("texts", pa.table({"row": [0, 1], "text": ["Some words here " * 500, "x" * 100 + " y"]}))
+    rows = db.execute(importance.SQL.format(buckets=10000)).fetchall()
+    assert len(calls) < 10
+    for k, text in enumerate(["Some words here " * 500, "x" * 100 + " y"]):
+        assert {b: n for r, b, n in rows if r == k} == features(text)[1]
+
+
+@pytest.mark.parametrize("buckets", [7, 1 << 16, 100_000])
+def test_features_are_packed_without_loss(spark, monkeypatch, buckets):
+    """Two or four bytes a bucket and one a count; counts of 255, 256 and many times that, rows without features, blocks of a few rows."""
+    texts = [None, "", "a " * 255, "b " * 256, "c " * 255 * 3, "one two three four", "", "d " * 5000 + "e", None]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    made = importance.with_features(df, keep=["doc_id"], buckets=buckets).orderBy("doc_id").toArrow().combine_chunks().to_batches()[0]
+    monkeypatch.setattr(importance, "BLOCK", 3)
+    got, total = [Counter() for _ in texts], Counter()
+    for i, j, at, n, ends in importance._unpacked(made["buckets"], made["counts"], importance._kind(buckets)):
+        for k in range(i, j):
+            for b, m in zip(at[ends[k - i] : ends[k - i + 1]].tolist(), n[ends[k - i] : ends[k - i + 1]].tolist()):
+                got[k][b] += m
+    for k, text in enumerate(texts):
+        w = WORD.findall(text or "")
+        want = Counter(zlib.crc32(" ".join(w[i : i + n]).encode()) % buckets for n in (1, 2, 3) for i in range(len(w) - n + 1))
+        assert got[k] == want and made["n_features"][k].as_py() == want.total()
+        total += want
+    assert Counter({b: n for b, n in enumerate(importance.bucket_counts(importance.with_features(df, keep=[], buckets=buckets), buckets)) if n}) == total
